@@ -27,6 +27,11 @@ recomputation (retries, several consumers) yields the same ids.  A key whose
 rows all share one sequence value cannot be cut by order and stays one chunk.
 The hot-key table is joined without a hint: AQE broadcasts it when its
 measured size is under the broadcast threshold.
+
+``split_hot_keys="auto"`` (default) first runs the exact per-key count as a
+small job and uses the chunked plan only if some key exceeds
+``hot_key_rows``; otherwise the single-shuffle plan (one window per key) is
+exact and cheapest.  ``True``/``False`` force either plan.
 """
 
 from __future__ import annotations
@@ -57,6 +62,21 @@ def _order_number(df: DataFrame, col: str) -> Column | None:
     return None
 
 
+def has_hot_keys(valid: DataFrame, keys: list[str], hot_key_rows: int) -> bool:
+    """True if some key has more than ``hot_key_rows`` rows.
+
+    A feed with at most ``hot_key_rows`` rows cannot have a hot key; that is
+    settled by a limited count, which stops reading once the limit is passed.
+    Only larger feeds pay for the exact per-key count.
+    """
+    if valid.limit(hot_key_rows + 1).count() <= hot_key_rows:
+        return False
+    return not (
+        valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > hot_key_rows).isEmpty()
+    )
+
+
 def with_chunks(valid: DataFrame, keys: list[str], sequence_by: str, hot_key_rows: int) -> DataFrame:
     """Add ``_scd_chunk`` (0 for ordinary keys) and ``_hot`` to the feed."""
     num = _order_number(valid, sequence_by)
@@ -87,7 +107,7 @@ def scd2_history(
     sequence_by: str,
     tiebreak: list[str] | tuple = (),
     track_columns: list[str] | None = None,
-    split_hot_keys: bool = True,
+    split_hot_keys: bool | str = "auto",
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     start_col: str = START_AT,
     end_col: str = END_AT,
@@ -100,6 +120,8 @@ def scd2_history(
     valid = changes.filter(valid_rule)
     out_cols = list(changes.columns)
 
+    if split_hot_keys == "auto":
+        split_hot_keys = has_hot_keys(valid, keys, hot_key_rows)
     if not split_hot_keys:
         return _history_by_key(valid, keys, order, track_columns, out_cols, start_col, end_col)
 

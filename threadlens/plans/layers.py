@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.operators import metrics, scd2
-from threadlens.operators.enrich import enrich_checkpoints
+from threadlens.operators.enrich import enrich_checkpoints, parse_checkpoints
 from threadlens.operators.expectations import Rule, apply_rules
 from threadlens.session import ensure_defaults
 from threadlens.sources import adapters
@@ -28,7 +28,7 @@ TRACKED = ["user_id", "team"]
 class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, *,
                  bronze: DataFrame | None = None, lookup: DataFrame | None = None,
-                 split_hot_keys: bool = True, hot_key_rows: int | None = None):
+                 split_hot_keys: bool | str = "auto", hot_key_rows: int | None = None):
         ensure_defaults(spark)
         self.spark = spark
         self.sf_dir = sf_dir
@@ -36,13 +36,16 @@ class Layers:
         self._lookup = lookup
         self.split_hot_keys = split_hot_keys
         self.hot_key_rows = hot_key_rows
+        self._tables: dict[str, DataFrame] = {}
 
     @classmethod
     def from_tables(cls, spark: SparkSession, bronze_dir: str, lookup_dir: str) -> "Layers":
         return cls(spark, bronze=spark.read.parquet(bronze_dir), lookup=spark.read.parquet(lookup_dir))
 
     def table(self, name: str) -> DataFrame:
-        return adapters.table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = adapters.table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     @cached_property
     def bronze(self) -> DataFrame:
@@ -101,5 +104,10 @@ class Layers:
         return metrics.gold_team_summary(self.silver)
 
     def newest_date(self) -> "F.Column":
-        """Newest checkpoint date, as a scalar subquery (no driver round trip)."""
-        return self.silver.agg(F.max("checkpoint_date")).scalar()
+        """Newest checkpoint date, as a scalar subquery (no driver round trip).
+
+        Silver keeps every parsed bronze row with a timestamp (the owner join
+        is a left join), so the newest date needs only the parse, not the
+        history or the join.
+        """
+        return parse_checkpoints(self.bronze).agg(F.max("checkpoint_date")).scalar()
