@@ -53,6 +53,24 @@ def _layout(df: DataFrame, cluster_by: list[str], num_files: int, zorder: bool,
     return df.repartitionByRange(num_files, *cluster_by).sortWithinPartitions(*cluster_by)
 
 
+def _as_number(df: DataFrame, col: str) -> Column:
+    """An order-preserving double for dates, timestamps and numbers; strings
+    are hashed (their clustering then groups equal values, not ranges)."""
+    from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+
+    t = df.schema[col].dataType
+    c = F.col(col)
+    if isinstance(t, TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(t, TimestampNTZType):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(t, DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(t, NumericType):
+        return c.cast("double")
+    return F.xxhash64(c).cast("double")
+
+
 def with_z_value(df: DataFrame, cols: list[str], bits: int = 10, out: str = "_z") -> DataFrame:
     """Add the Morton code of the columns' quantile ranks as ``out``.
 
@@ -68,7 +86,7 @@ def with_z_value(df: DataFrame, cols: list[str], bits: int = 10, out: str = "_z"
     probs = [i / levels for i in range(1, levels)]
     tmp_in = [f"_zin{j}" for j in range(len(cols))]
     tmp_out = [f"_zb{j}" for j in range(len(cols))]
-    base = df.select("*", *[F.col(c).cast("double").alias(t) for c, t in zip(cols, tmp_in)])
+    base = df.select("*", *[_as_number(df, c).alias(t) for c, t in zip(cols, tmp_in)])
     bounds = base.agg(*[
         F.percentile_approx(t, probs, 10000).alias(t) for t in tmp_in
     ]).first()

@@ -1,3 +1,147 @@
-"""Registered queries that need files or streams (rows-only checks)."""
+"""Registered queries that go through files and streams.
 
-QUERIES = {}
+Each query writes feed files derived from the driver's tables into a fresh
+folder under ``spark.checkpoint.dir`` (shared storage on a cluster), runs the
+streaming ingestion / CDC / upkeep job over them, and returns what the job
+wrote.  The work therefore grows with the tables.  Where the written result
+is deterministic, ``FILE_ORACLE_SQL`` holds its DuckDB equivalent.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from threadlens.functions.schemas import CHECKPOINT_FEED_COLUMNS, RESCUE_COLUMN
+from threadlens.operators import upkeep
+from threadlens.plans.layers import Layers
+from threadlens.session import work_dir
+from threadlens.streaming import ingest, scd2_stream
+
+LOOKUP_EVENT_COLUMNS = ["thread_id", "user_id", "team", "updated_at", "event_id"]
+TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def _layout_group(id_col: str) -> F.Column:
+    """0: columns in feed order, 1: reversed order, 2: feed order + extra column."""
+    return (F.substring(F.col(id_col), 2, 20).cast("bigint") % 3).cast("int")
+
+
+def write_csv_feed(df: DataFrame, out: str, group: F.Column, files_per_group: int = 2) -> str:
+    """Write ``df`` as header CSV files in three column layouts; returns the glob."""
+    cols = df.columns
+    tagged = df.withColumn("_g", group)
+    layouts = {
+        0: [F.col(c) for c in cols],
+        1: [F.col(c) for c in reversed(cols)],
+        2: [F.col(c) for c in cols] + [F.lit("feed_v2").alias("source_system")],
+    }
+    for g, sel in layouts.items():
+        (tagged.filter(F.col("_g") == g).select(*sel)
+         .repartition(files_per_group)
+         .write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+         .csv(f"{out}/layout{g}"))
+    return f"{out}/layout*/*.csv"
+
+
+def _ingest_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = Layers(spark, sf_dir)
+    base = work_dir(spark, "ingest_checkpoints")
+    feed = L.bronze.select(*CHECKPOINT_FEED_COLUMNS)
+    glob = write_csv_feed(feed, f"{base}/raw", _layout_group("checkpoint_id"))
+    ingest.ingest_csv(spark, glob, CHECKPOINT_FEED_COLUMNS, f"{base}/bronze", f"{base}/_chk")
+    t = ingest.read_table(spark, f"{base}/bronze")
+    return t.select(*CHECKPOINT_FEED_COLUMNS, F.col(RESCUE_COLUMN).isNotNull().alias("rescued"))
+
+
+def _lookup_text(L: Layers) -> DataFrame:
+    return L.lookup_feed.select(
+        "thread_id", "user_id", "team",
+        F.date_format("updated_at", TS_TEXT).alias("updated_at"),
+        F.col("event_id").cast("string").alias("event_id"),
+    )
+
+
+def _ingest_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = Layers(spark, sf_dir)
+    base = work_dir(spark, "ingest_lookup")
+    glob = write_csv_feed(_lookup_text(L), f"{base}/raw", (F.col("event_id").cast("bigint") % 3).cast("int"))
+    ingest.ingest_csv(spark, glob, LOOKUP_EVENT_COLUMNS, f"{base}/bronze", f"{base}/_chk")
+    t = ingest.read_table(spark, f"{base}/bronze")
+    return t.select(*LOOKUP_EVENT_COLUMNS, F.col(RESCUE_COLUMN).isNotNull().alias("rescued"))
+
+
+def _scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookup files -> ingestion stream -> CDC stream, one file per micro-batch."""
+    L = Layers(spark, sf_dir)
+    base = work_dir(spark, "scd2_stream")
+    glob = write_csv_feed(_lookup_text(L), f"{base}/raw", (F.col("event_id").cast("bigint") % 3).cast("int"))
+
+    def prepare(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("thread_id").isNotNull()).select(
+            "thread_id", "user_id", "team",
+            F.to_timestamp_ntz("updated_at").alias("updated_at"),
+            F.col("event_id").cast("bigint").alias("event_id"),
+        )
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        scd2_stream.apply_changes(
+            prepare(batch), batch_id, f"{base}/log", f"{base}/history",
+            keys=["thread_id"], sequence_by="updated_at", tiebreak=["event_id"],
+            track_columns=["user_id", "team"], buckets=16)
+
+    ingest.ingest_csv(spark, glob, LOOKUP_EVENT_COLUMNS, f"{base}/bronze", f"{base}/_chk",
+                      max_files_per_trigger=1, on_batch=fold)
+    return scd2_stream.read_history(spark, f"{base}/history").select(
+        "thread_id", "user_id", "team", "updated_at", "__START_AT", "__END_AT")
+
+
+def _small_files_copy(spark: SparkSession, L: Layers, name: str, files: int = 24) -> str:
+    path = work_dir(spark, name)
+    L.bronze.repartition(files).write.mode("overwrite").parquet(path)
+    return path
+
+
+def _file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = Layers(spark, sf_dir)
+    bronze = _small_files_copy(spark, L, "inventory_bronze")
+    hist = work_dir(spark, "inventory_history")
+    L.history.write.mode("overwrite").parquet(hist)
+    return upkeep.file_inventory(spark, {"bronze_checkpoints": bronze, "silver_thread_lookup_history": hist}).select(
+        "table_name", "num_files", "needs_compaction")
+
+
+def _compact(spark: SparkSession, sf_dir: str, zorder: bool) -> DataFrame:
+    L = Layers(spark, sf_dir)
+    src = _small_files_copy(spark, L, "compact_src")
+    dst = work_dir(spark, "compact_dst")
+    cols = ["ingested_at", "checkpoint_id"] if zorder else ["thread_id", "checkpoint_id"]
+    upkeep.compact(spark, src, dst, cols, target_file_mb=1, zorder=zorder)
+    return spark.read.parquet(dst)
+
+
+QUERIES = {
+    "ingest_checkpoints": _ingest_checkpoints,
+    "ingest_lookup": _ingest_lookup,
+    "scd2_stream": _scd2_stream,
+    "file_inventory": _file_inventory,
+    "compact": lambda spark, sf: _compact(spark, sf, zorder=False),
+    "compact_zorder": lambda spark, sf: _compact(spark, sf, zorder=True),
+}
+
+_BRONZE_ALL = ("thread_id, checkpoint_ns, checkpoint_id, parent_checkpoint_id, type, checkpoint, "
+               "metadata, _rescued_data, ingested_at")
+
+FILE_ORACLE_SQL = {
+    "ingest_checkpoints": """
+SELECT thread_id, checkpoint_ns, checkpoint_id, parent_checkpoint_id, type, checkpoint, metadata,
+  CAST(substr(checkpoint_id, 2) AS BIGINT) % 3 = 2 AS rescued
+FROM bronze""",
+    "ingest_lookup": """
+SELECT thread_id, user_id, team, strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f') AS updated_at,
+  CAST(event_id AS VARCHAR) AS event_id, event_id % 3 = 2 AS rescued
+FROM feed""",
+    "scd2_stream": "SELECT thread_id, user_id, team, updated_at, __START_AT, __END_AT FROM hist",
+    "compact": f"SELECT {_BRONZE_ALL} FROM bronze",
+    "compact_zorder": f"SELECT {_BRONZE_ALL} FROM bronze",
+}

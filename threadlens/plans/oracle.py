@@ -380,7 +380,9 @@ def _lag_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    from threadlens.plans.files_catalog import FILE_ORACLE_SQL
+
     out = {}
-    for name, body in QUERIES_SQL.items():
+    for name, body in {**QUERIES_SQL, **FILE_ORACLE_SQL}.items():
         out[name] = _lag_sql() if body == "__LAG__" else PRELUDE + body
     return out
