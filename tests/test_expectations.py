@@ -1,0 +1,63 @@
+"""Expectations: warn / drop / quarantine / fail and the report (Q1-Q7)."""
+
+import pytest
+
+from threadlens.operators.expectations import (
+    ExpectationFailed,
+    Rule,
+    apply_rules,
+    expectation_report,
+    observe_rules,
+    rescued_rows,
+)
+
+RULES = [Rule("has_ts", "ts IS NOT NULL"), Rule("positive", "n > 0")]
+
+
+@pytest.fixture
+def df(spark):
+    return spark.createDataFrame(
+        [(1, "x"), (2, None), (None, "y"), (-1, "z")], "n int, ts string")
+
+
+def test_drop_and_quarantine_partition_input(df):
+    kept = apply_rules(df, RULES, "drop")
+    bad = apply_rules(df, RULES, "quarantine")
+    assert kept.count() == 1 and bad.count() == 3
+    assert kept.count() + bad.count() == df.count()
+    # NULL rule result counts as a violation
+    assert bad.filter("n IS NULL").count() == 1
+
+
+def test_warn_keeps_all_and_counts(df):
+    out, obs = observe_rules(df, RULES)
+    assert out.count() == 4
+    assert obs.get == {"total": 4, "has_ts": 1, "positive": 2}
+    assert apply_rules(df, RULES, "warn").count() == 4
+
+
+def test_fail_raises_before_write(df):
+    with pytest.raises(ExpectationFailed):
+        apply_rules(df, RULES, "fail")
+    assert apply_rules(df.filter("n > 0 AND ts IS NOT NULL"), RULES, "fail").count() == 1
+
+
+def test_unknown_action(df):
+    with pytest.raises(ValueError):
+        apply_rules(df, RULES, "explode")
+
+
+def test_report(df):
+    rows = {r.rule: r for r in expectation_report(df, RULES, "t").collect()}
+    assert (rows["has_ts"].failed, rows["has_ts"].passed, rows["has_ts"].total) == (1, 3, 4)
+    assert rows["positive"].failed == 2 and rows["positive"].failed_pct == 50.0
+
+
+def test_report_empty_input(df):
+    rows = expectation_report(df.limit(0), RULES, "t").collect()
+    assert [(r.total, r.failed, r.failed_pct) for r in rows] == [(0, 0, None), (0, 0, None)]
+
+
+def test_rescued_rows(spark):
+    df = spark.createDataFrame([("a", None), ("b", '{"x":"1"}')], "id string, _rescued_data string")
+    assert rescued_rows(df).first().rescued_row_count == 1
