@@ -72,25 +72,39 @@ def null_wide(silver: DataFrame) -> DataFrame:
     )
 
 
-def _quoted_list(values: DataFrame, keys: list[str], col: str, distinct: bool) -> DataFrame:
-    """Per key, ``["a","b",...]`` of the non-NULL values, sorted.
-
-    Values are first counted per (key, value) -- a partial aggregate that is
-    skew-safe -- so only distinct values are gathered per key; repeats are
-    re-expanded from their counts (all-NULL gives ``[]``).
+def _quoted(values: Column, distinct: bool) -> Column:
+    """``["a","b",...]`` from an array of struct(v, n): non-NULL values,
+    sorted, each repeated n times (once if ``distinct``); all-NULL -> ``[]``."""
+    kept = F.array_sort(F.filter(values, lambda s: s["v"].isNotNull()))
+    quoted = F.transform(kept, lambda s: F.concat(F.lit('"'), s["v"], F.lit('"')))
+    if distinct:
+        items = F.array_distinct(quoted)
+    else:
+        items = F.flatten(F.transform(kept, lambda s: F.array_repeat(
+            F.concat(F.lit('"'), s["v"], F.lit('"')), s["n"].cast("int"))))
+    return F.concat(F.lit("["), F.concat_ws(",", items), F.lit("]"))
+
+
+def _dup_with_lists(df: DataFrame, keys: list[str], seen: str, distinct: bool) -> DataFrame:
+    """Keys with more than one row, with their sorted owner lists.
+
+    Two stacked aggregates, no join: rows are first counted per
+    (key, user, team) -- a partial aggregate, skew-safe -- and only those
+    combinations (not rows) are gathered per key, then re-expanded from
+    their counts.
     """
-    per_value = (
-        values.filter(F.col(col).isNotNull())
-        .groupBy(*keys, col)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    item = F.concat(F.lit('"'), F.col(col), F.lit('"'))
-    times = F.lit(1) if distinct else F.col("_n").cast("int")
-    gathered = per_value.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(item.alias("v"), times.alias("n")))).alias("_vals")
-    )
-    expanded = F.flatten(F.transform("_vals", lambda s: F.array_repeat(s["v"], s["n"])))
-    return gathered.select(*keys, F.concat(F.lit("["), F.concat_ws(",", expanded), F.lit("]")).alias(col))
+    combos = df.groupBy(*keys, "user_id", "team").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(seen).alias("_lo"), F.max(seen).alias("_hi"))
+    per_key = combos.groupBy(*keys).agg(
+        F.sum("_n").alias("duplicate_count"),
+        F.min("_lo").alias("first_seen"),
+        F.max("_hi").alias("last_seen"),
+        F.collect_list(F.struct(F.col("user_id").alias("v"), F.col("_n").alias("n"))).alias("_u"),
+        F.collect_list(F.struct(F.col("team").alias("v"), F.col("_n").alias("n"))).alias("_t"),
+    ).filter(F.col("duplicate_count") > 1)
+    return per_key.select(
+        *keys, _quoted(F.col("_u"), distinct).alias("user_id"), _quoted(F.col("_t"), distinct).alias("team"),
+        "duplicate_count", "first_seen", "last_seen")
 
 
 def _dup_frame(name, counts: DataFrame, users, teams, keys_out) -> DataFrame:
@@ -125,25 +139,15 @@ def dup_lookup(history: DataFrame, current_only: bool = False) -> DataFrame:
     """A11 (all versions) / C6 (open versions only): threads with >1 rows."""
     src = history.filter(F.col("__END_AT").isNull()) if current_only else history
     keys = ["thread_id"]
-    counts = _dup_counts(src, keys, "updated_at")
-    dup_src = src.join(counts.select(*keys), keys, "left_semi")
-    users = _quoted_list(dup_src, keys, "user_id", distinct=False)
-    teams = _quoted_list(dup_src, keys, "team", distinct=False)
-    full = counts.join(users, keys, "left").join(teams, keys, "left")
-    empty = F.lit("[]")
-    return _dup_frame(HISTORY_LAYER, full, F.coalesce("user_id", empty), F.coalesce("team", empty), keys)
+    full = _dup_with_lists(src, keys, "updated_at", distinct=False)
+    return _dup_frame(HISTORY_LAYER, full, F.col("user_id"), F.col("team"), keys)
 
 
 def dup_silver(silver: DataFrame) -> DataFrame:
     """Silver rows with the same (thread, ns, id), distinct owners listed."""
     keys = ["thread_id", "checkpoint_ns", "checkpoint_id"]
-    counts = _dup_counts(silver, keys, "checkpoint_ts")
-    dup_src = silver.join(counts.select(*keys), keys, "left_semi")
-    users = _quoted_list(dup_src, keys, "user_id", distinct=True)
-    teams = _quoted_list(dup_src, keys, "team", distinct=True)
-    full = counts.join(users, keys, "left").join(teams, keys, "left")
-    empty = F.lit("[]")
-    return _dup_frame("silver_checkpoints", full, F.coalesce("user_id", empty), F.coalesce("team", empty), keys)
+    full = _dup_with_lists(silver, keys, "checkpoint_ts", distinct=True)
+    return _dup_frame("silver_checkpoints", full, F.col("user_id"), F.col("team"), keys)
 
 
 def duplicates(bronze: DataFrame, history: DataFrame, silver: DataFrame, with_time: bool = True) -> DataFrame:

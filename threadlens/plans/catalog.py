@@ -37,7 +37,7 @@ def oracle_types(df: DataFrame) -> DataFrame:
 
 def _q(build: Callable[[Layers], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return oracle_types(build(Layers(spark, sf_dir)))
+        return oracle_types(build(Layers.shared(spark, sf_dir)))
     run.__doc__ = build.__doc__
     return run
 

@@ -38,6 +38,16 @@ class Layers:
         self.hot_key_rows = hot_key_rows
         self._tables: dict[str, DataFrame] = {}
 
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "Layers":
+        """One Layers per (session, folder): queries reuse the logical plans
+        (like temp views defined once).  Nothing is cached but plans; every
+        execution reads the files again."""
+        reg = spark.__dict__.setdefault("_threadlens_layers", {})
+        if sf_dir not in reg:
+            reg[sf_dir] = cls(spark, sf_dir)
+        return reg[sf_dir]
+
     @classmethod
     def from_tables(cls, spark: SparkSession, bronze_dir: str, lookup_dir: str) -> "Layers":
         return cls(spark, bronze=spark.read.parquet(bronze_dir), lookup=spark.read.parquet(lookup_dir))
