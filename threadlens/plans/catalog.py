@@ -120,6 +120,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "checks": _q(lambda L: checks.run_checks(
         L.bronze, L.lookup_feed, L.history, L.current_owner, L.silver, L.gold_user, L.gold_team,
         as_of=L.newest_date())),
+    "conversation_checkpoints": _q(lambda L: parse_checkpoints(
+        adapters.conversation_feed(L.table("conversations")))),
     "rescued_rows": _q(lambda L: expectations.rescued_rows(L.bronze)),
     "column_stats": _q(lambda L: upkeep.column_stats(L.bronze, STAT_COLUMNS, approx=False)),
 }

@@ -369,6 +369,20 @@ SELECT DISTINCT team FROM silver s WHERE team IS NOT NULL
     "expect_quarantine": f"SELECT {_SILVER_COLS} FROM silver_all WHERE checkpoint_ts IS NULL",
     "expect_report": _REPORT,
     "checks": _CHECKS,
+    "conversation_checkpoints": """
+SELECT thread_id, checkpoint_ns, checkpoint_id, parent_checkpoint_id, type, checkpoint_ts,
+  CAST(checkpoint_ts AS DATE) AS checkpoint_date, date_trunc('hour', checkpoint_ts) AS checkpoint_hour,
+  checkpoint_v, checkpoint_id_parsed, metadata_step_int, metadata_source, channel_versions_start
+FROM (
+  SELECT concat('conv', CAST(conv_id AS VARCHAR)) AS thread_id, role AS checkpoint_ns,
+    concat('k', CAST(conv_id AS VARCHAR), '_', CAST(turn AS VARCHAR)) AS checkpoint_id,
+    CAST(NULL AS VARCHAR) AS parent_checkpoint_id, 'checkpoint' AS type,
+    TIMESTAMP '2024-02-01 00:00:00' + turn * INTERVAL '1' MINUTE AS checkpoint_ts,
+    1 AS checkpoint_v,
+    concat('k', CAST(conv_id AS VARCHAR), '_', CAST(turn AS VARCHAR)) AS checkpoint_id_parsed,
+    CAST(turn AS INTEGER) AS metadata_step_int, role AS metadata_source,
+    CAST(NULL AS VARCHAR) AS channel_versions_start
+  FROM conversations)""",
     "rescued_rows": "SELECT count(*) FILTER (WHERE _rescued_data IS NOT NULL) AS rescued_row_count FROM bronze",
     "column_stats": _column_stats(),
 }

@@ -131,16 +131,18 @@ def orders_feed(orders: DataFrame) -> DataFrame:
 
 
 def conversation_feed(conversations: DataFrame) -> DataFrame:
-    """Conversations as checkpoints: thread = conv_id, step = turn, source = role."""
+    """Conversations as checkpoints: thread = conv_id, step = turn (a JSON
+    number), source = role; turn n happens n minutes after a fixed start."""
     cid = F.concat(F.lit("k"), _s(F.col("conv_id")), F.lit("_"), _s(F.col("turn")))
+    ts = F.timestamp_add("MINUTE", F.col("turn"), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
     return conversations.select(
         F.concat(F.lit("conv"), _s(F.col("conv_id"))).alias("thread_id"),
         F.col("role").alias("checkpoint_ns"),
         cid.alias("checkpoint_id"),
         F.lit(None).cast("string").alias("parent_checkpoint_id"),
         F.lit("checkpoint").alias("type"),
-        F.concat(F.lit('{"v":"1","id":"'), cid,
-                 F.lit('","ts":"2024-02-01 00:00:00","channel_versions":{}}')).alias("checkpoint"),
+        F.concat(F.lit('{"v":1,"id":"'), cid, F.lit('","ts":"'), F.date_format(ts, "yyyy-MM-dd HH:mm:ss"),
+                 F.lit('"}')).alias("checkpoint"),
         F.concat(F.lit('{"step":'), _s(F.col("turn")), F.lit(',"source":"'),
                  F.col("role"), F.lit('"}')).alias("metadata"),
     )

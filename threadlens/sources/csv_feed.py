@@ -98,9 +98,21 @@ def parse_by_name(lines: DataFrame, expected: list[str], options: dict | None =
     return named.select(*[cell(c).alias(c) for c in expected], rescue.alias(RESCUE_COLUMN))
 
 
+MAX_FILES = 10_000  # bound of the broadcast per-file header table
+
+
 def read_feed(spark: SparkSession, paths: str | list[str], expected: list[str],
               options: dict | None = None) -> DataFrame:
-    """Batch read of a CSV feed by header name, stamped with ``ingested_at``."""
-    return parse_by_name(lines_of(spark, paths), expected, options).withColumn(
+    """Batch read of a CSV feed by header name, stamped with ``ingested_at``.
+
+    The per-file header table is broadcast, so one read takes at most
+    ``MAX_FILES`` files; larger backfills go through the ingestion stream,
+    which takes them in bounded micro-batches.
+    """
+    lines = lines_of(spark, paths)
+    n_files = len(lines.inputFiles())
+    if n_files > MAX_FILES:
+        raise ValueError(f"{n_files} files exceed {MAX_FILES} per read; use streaming.ingest.ingest_csv")
+    return parse_by_name(lines, expected, options).withColumn(
         INGESTED_AT, F.current_timestamp()
     )

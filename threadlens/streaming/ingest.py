@@ -19,12 +19,14 @@ from threadlens.functions.schemas import INGESTED_AT
 from threadlens.sources.csv_feed import line_columns, parse_by_name
 
 BATCH_COL = "_batch"
+# Files per micro-batch.  It bounds the per-file header table that the
+# parser broadcasts (one row per file of the batch).
+MAX_FILES_PER_TRIGGER = 10_000
 
 
 def stream_lines(spark: SparkSession, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    reader = spark.readStream.format("text").option(
+        "maxFilesPerTrigger", str(max_files_per_trigger or MAX_FILES_PER_TRIGGER))
     return reader.load(source).select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
