@@ -41,6 +41,8 @@ def test_refresh_twice(spark, scratch):
     for view in ["monitoring_daily_counts", "monitoring_null_percentages", "monitoring_duplicates",
                  "monitoring_processing_lag"]:
         assert spark.read.parquet(f"{out}/{view}").count() > 0
+    log = spark.read.parquet(f"{out}/expectation_log").first()
+    assert (log.rule, log.total, log.failed) == ("checkpoint_ts_not_null", 5, 1)
     dups = spark.read.parquet(f"{out}/monitoring_duplicates")
     assert sorted(r.table_name for r in dups.collect()) == ["bronze_checkpoints", "silver_checkpoints"]
 

@@ -124,11 +124,19 @@ def compact(spark: SparkSession, src: str, dst: str, cluster_by: list[str],
 
 
 def write_clustered(df: DataFrame, path: str, cluster_by: list[str], partition_by: list[str] | None = None,
-                    num_partitions: int | None = None) -> None:
-    """K5/K6: clustered write; with ``partition_by`` only touched partitions are replaced."""
+                    num_partitions: int | None = None, after_layout=None) -> None:
+    """K5/K6: clustered write; with ``partition_by`` only touched partitions are replaced.
+
+    ``after_layout(df)`` runs on the range-partitioned rows, above the
+    exchange: observed metrics placed there are not also collected by the
+    range partitioner's sampling job.
+    """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = (partition_by or []) + [c for c in cluster_by if c not in (partition_by or [])]
-    out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    out = df.repartitionByRange(n, *keys)
+    if after_layout is not None:
+        out = after_layout(out)
+    out = out.sortWithinPartitions(*keys)
     writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)

@@ -17,6 +17,8 @@ each step a plain Spark job reading the previous step's table:
    clustered by the gold keys inside each date;
 5. the monitoring views (full recompute).
 
+Expectation counts of each update are appended to ``expectation_log``.
+
 Paths live under ``out_dir``; stream checkpoints under ``out_dir/_checkpoints``.
 """
 
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from threadlens.functions.schemas import CHECKPOINT_FEED_COLUMNS, LOOKUP_FEED_COLUMNS
 from threadlens.operators import metrics, monitor, scd2, upkeep
 from threadlens.operators.enrich import clean_thread_lookup, enrich_checkpoints
-from threadlens.operators.expectations import apply_rules
+from threadlens.operators.expectations import apply_rules, observe_rules
 from threadlens.plans.layers import LOOKUP_RULES, SILVER_RULES, TRACKED
 from threadlens.session import ensure_defaults
 from threadlens.streaming import ingest, scd2_stream
@@ -71,10 +73,19 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     bronze = spark.read.parquet(t.bronze_checkpoints)
     history = scd2_stream.read_history(spark, t.silver_thread_lookup_history)
 
-    # 3. silver (materialized view: full recompute)
+    # 3. silver (materialized view: full recompute); the expectation is
+    #    counted while the write runs (observe), not in an extra pass
     owners = scd2.current(history).select("thread_id", "user_id", "team")
-    silver = apply_rules(enrich_checkpoints(bronze.drop(ingest.BATCH_COL), owners), SILVER_RULES, "drop")
-    upkeep.write_clustered(silver, t.silver_checkpoints, ["thread_id"], partition_by=["checkpoint_date"])
+    enriched = enrich_checkpoints(bronze.drop(ingest.BATCH_COL), owners)
+    seen = {}
+
+    def checked(df: DataFrame) -> DataFrame:
+        observed, seen["obs"] = observe_rules(df, SILVER_RULES, "silver_checkpoints")
+        return apply_rules(observed, SILVER_RULES, "drop")
+
+    upkeep.write_clustered(enriched, t.silver_checkpoints, ["thread_id"], partition_by=["checkpoint_date"],
+                           after_layout=checked)
+    log_expectations(spark, t.expectation_log, "silver_checkpoints", SILVER_RULES, seen["obs"].get)
     silver = spark.read.parquet(t.silver_checkpoints)
 
     # 4. gold, touched dates only
@@ -103,6 +114,15 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     return new_batches
 
 
+def log_expectations(spark: SparkSession, path: str, dataset: str, rules, counts: dict) -> None:
+    """Append one row per rule (the observed counts of this update)."""
+    rows = [(dataset, r.name, r.condition, int(counts.get("total", 0)), int(counts.get(r.name, 0)))
+            for r in rules]
+    (spark.createDataFrame(rows, "dataset string, rule string, condition string, total bigint, failed bigint")
+     .withColumn("measured_at", F.current_timestamp())
+     .write.mode("append").parquet(path))
+
+
 def touched_dates(spark: SparkSession, t: Tables, silver: DataFrame, new_batches: dict) -> DataFrame:
     """Dates whose gold rows can change in this update (distributed, distinct)."""
     parts = []
