@@ -92,7 +92,7 @@ def with_z_value(df: DataFrame, cols: list[str], bits: int = 10, out: str = "_z"
     ]).first()
     splits = []
     for t in tmp_in:
-        qs = sorted(set(q for q in (bounds[t] or []) if q is not None))
+        qs = sorted(set(q for q in (bounds[t] or []) if q is not None)) or [0.0]  # empty input
         splits.append([float("-inf")] + qs + [float("inf")])
     bucketed = Bucketizer(splitsArray=splits, inputCols=tmp_in, outputCols=tmp_out,
                           handleInvalid="keep").transform(base.na.fill(0.0, subset=tmp_in))

@@ -92,7 +92,9 @@ def _scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ingest.ingest_csv(spark, glob, LOOKUP_EVENT_COLUMNS, f"{base}/bronze", f"{base}/_chk",
                       max_files_per_trigger=1, on_batch=fold)
-    return scd2_stream.read_history(spark, f"{base}/history").select(
+    schema = ("thread_id string, user_id string, team string, updated_at timestamp_ntz, "
+              "event_id bigint, __START_AT timestamp_ntz, __END_AT timestamp_ntz")
+    return scd2_stream.read_history(spark, f"{base}/history", schema).select(
         "thread_id", "user_id", "team", "updated_at", "__START_AT", "__END_AT")
 
 

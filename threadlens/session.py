@@ -84,3 +84,10 @@ def is_local_fs(path: str) -> bool:
 def makedirs(path: str) -> None:
     if is_local_fs(path):
         os.makedirs(local_path(path), exist_ok=True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists (any Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.operators.scd2 import scd2_history
+from threadlens.session import path_exists
 
 BATCH_COL = "_batch"
 BUCKET_COL = "bucket"
@@ -49,8 +50,13 @@ def apply_changes(changes: DataFrame, batch_id: int, log_dir: str, history_dir:
     hist.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(f"{history_dir}/{BATCH_COL}={batch_id}")
 
 
-def read_history(spark: SparkSession, history_dir: str) -> DataFrame:
-    """Per bucket, the rows written by the newest batch that touched it."""
+def read_history(spark: SparkSession, history_dir: str, schema: str | None = None) -> DataFrame:
+    """Per bucket, the rows written by the newest batch that touched it.
+
+    Before any batch has written history, an empty frame of ``schema``.
+    """
+    if schema is not None and not path_exists(spark, history_dir):
+        return spark.createDataFrame([], schema)
     files = spark.read.parquet(history_dir)
     newest = files.groupBy(BUCKET_COL).agg(F.max(BATCH_COL).alias(BATCH_COL))
     return files.join(newest, [BUCKET_COL, BATCH_COL], "left_semi").drop(BATCH_COL, BUCKET_COL)
