@@ -55,6 +55,15 @@ def _orders_history(L: Layers) -> DataFrame:
     )
 
 
+def _split_history(L: Layers) -> DataFrame:
+    """C2 through the hot-key plan: every thread with more than 16 deliveries
+    is treated as hot and cut into sequence chunks."""
+    return scd2.scd2_history(
+        L.lookup_feed, keys=["thread_id"], sequence_by="updated_at", tiebreak=L.lookup_tiebreak,
+        track_columns=["user_id", "team"], split_hot_keys=True, hot_key_rows=16,
+    ).select(*HISTORY_COLS)
+
+
 def _report_rules():
     return SILVER_RULES + [r for r in metrics.USER_TEAM_RULES if r.name != "valid_checkpoint_date"] + [
         r for r in metrics.USER_TEAM_RULES if r.name == "valid_checkpoint_date"]
@@ -86,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "team_daily": _q(lambda L: metrics.team_daily(L.gold_user)),
     "scd2_history": _q(lambda L: L.history_all.select(*HISTORY_COLS)),
     "scd2_collapsed": _q(lambda L: L.history.select(*HISTORY_COLS)),
+    "scd2_hot_split": _q(_split_history),
     "scd2_current": _q(lambda L: reports.current_ownership(L.history)),
     "scd2_asof": _q(lambda L: scd2.as_of(L.history, _feed_asof(L)).select(
         "thread_id", "user_id", "team", "__START_AT", "__END_AT")),

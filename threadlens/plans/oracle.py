@@ -305,6 +305,7 @@ SELECT team, checkpoint_date, sum(checkpoint_count) AS team_checkpoint_count,
 FROM gold_user GROUP BY team, checkpoint_date""",
     "scd2_history": "SELECT thread_id, user_id, team, updated_at, __START_AT, __END_AT FROM hist_all",
     "scd2_collapsed": "SELECT thread_id, user_id, team, updated_at, __START_AT, __END_AT FROM hist",
+    "scd2_hot_split": "SELECT thread_id, user_id, team, updated_at, __START_AT, __END_AT FROM hist",
     "scd2_current": "SELECT thread_id, user_id, team FROM cur",
     "scd2_asof": """
 SELECT thread_id, user_id, team, __START_AT, __END_AT FROM hist
