@@ -64,3 +64,23 @@ def test_required_columns(spark):
     L = Layers(spark, SMOKE)
     assert checks.missing_columns(L.silver, {"thread_id": None, "checkpoint_ts": None, "user_id": None}) == []
     assert checks.missing_columns(L.gold_user, {"first_checkpoint": None}) == ["first_checkpoint"]
+
+
+def test_processing_lag_hot_copy_group_without_pairs(spark):
+    import math
+
+    base = dt.datetime(2024, 1, 1, 12)
+    k = 60  # one checkpoint delivered k times: the SQL join would emit k * k pairs
+    silver = [("t1", "ns", "c1", base)] * k + [("t2", "ns", "c2", base)]
+    bronze = [("t1", "ns", "c1", base + dt.timedelta(seconds=7 * i)) for i in range(k)] + \
+             [("t2", "ns", "c2", base + dt.timedelta(seconds=30))]
+    s = spark.createDataFrame(silver, "thread_id string, checkpoint_ns string, checkpoint_id string, checkpoint_ts timestamp")
+    b = spark.createDataFrame(bronze, "thread_id string, checkpoint_ns string, checkpoint_id string, ingested_at timestamp")
+    r = monitor.processing_lag(s, b, with_time=False).first()
+    lags = sorted([7 * i for i in range(k) for _ in range(k)] + [30])  # brute force over all pairs
+    n = len(lags)
+    assert r.record_count == n
+    assert r.avg_lag_minutes == round(sum(lags) / n / 60, 2)
+    assert (r.min_lag_minutes, r.max_lag_minutes) == (0.0, round(max(lags) / 60, 2))
+    assert r.median_lag_minutes == round(lags[math.ceil(0.5 * n) - 1] / 60, 2)
+    assert r.p95_lag_minutes == round(lags[math.ceil(0.95 * n) - 1] / 60, 2)
