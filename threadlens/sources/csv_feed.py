@@ -57,20 +57,25 @@ def parse_by_name(lines: DataFrame, expected: list[str], options: dict | None =
     headers of this input (one small aggregate).
     """
     opts = {**CSV_OPTIONS, **(options or {})}
+    spark = lines.sparkSession
     firsts = (
         lines.filter(F.col("block_start") == 0)
         .groupBy("file_path")
         .agg(F.min_by(F.struct("line", "line_no"), F.col("line_no")).alias("_h"))
         .select("file_path", F.col("_h.line").alias("_header"), F.col("_h.line_no").alias("_header_no"))
     )
+    # One header per file (the files of one micro-batch, at most MAX_FILES):
+    # gathered once, so the lines are scanned once for headers and once for
+    # data, and broadcast back as a small table.
+    header_rows = firsts.collect()
     if max_columns is None:
-        widest = firsts.agg(F.max(F.size(F.split("_header", ",")))).first()[0]
-        max_columns = int(widest or len(expected))
+        max_columns = max([len(r["_header"].split(",")) for r in header_rows] or [len(expected)])
     width = max(max_columns, len(expected)) + 1  # one extra cell detects over-long rows
 
     header_cells = F.transform(_cells(F.col("_header"), width, opts), lambda c: F.trim(c))
-    # one row per file: broadcast size is bounded by the files of one batch
-    headers = firsts.select("file_path", "_header_no", header_cells.alias("_names"))
+    headers = spark.createDataFrame(
+        header_rows, "file_path string, _header string, _header_no bigint"
+    ).select("file_path", "_header_no", header_cells.alias("_names"))
     data = lines.join(F.broadcast(headers), "file_path", "inner").filter(
         F.col("line_no") != F.col("_header_no")
     ).filter(F.length(F.trim("line")) > 0)
