@@ -82,3 +82,27 @@ def test_current_asof_and_history(spark):
     keys = spark.createDataFrame([("t1",)], "thread_id string")
     assert [r.team for r in scd2.key_history(h, keys).collect()] == ["a", "b"]
     assert scd2.duplicate_current_versions(h, ["thread_id"]).count() == 0
+
+
+def test_hot_key_is_cut_into_bounded_chunks(spark):
+    """A key with a third of the rows is spread over many (key, chunk) tasks."""
+    from pyspark.sql import functions as F
+
+    n, hot_rows = 9000, 3000
+    df = spark.range(n).select(
+        F.when(F.col("id") < hot_rows, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))).alias("thread_id"),
+        F.lit("u").alias("user_id"),
+        (F.col("id") % 3).cast("string").alias("team"),
+        F.timestamp_seconds(F.col("id") * 7).alias("updated_at"),
+        F.col("id").alias("seq_no"),
+    )
+    assert scd2.has_hot_keys(df, ["thread_id"], 100)
+    sizes = (scd2.with_chunks(df, ["thread_id"], "updated_at", 100)
+             .groupBy("thread_id", "_scd_chunk").count())
+    hot = sizes.filter("thread_id = 'hot'")
+    assert hot.count() == 30
+    assert hot.agg(F.max("count")).first()[0] <= 2 * 100
+    kw = dict(keys=["thread_id"], sequence_by="updated_at", tiebreak=["seq_no"], track_columns=["team"])
+    a = scd2.scd2_history(df, split_hot_keys=True, hot_key_rows=100, **kw)
+    b = scd2.scd2_history(df, split_hot_keys=False, **kw)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
