@@ -72,3 +72,19 @@ def test_stream_scd2_matches_batch(spark, scratch):
     batch = spark.read.parquet(f"{scratch}/src")
     scd2_stream.apply_changes(batch.limit(0), 0, f"{scratch}/log", f"{scratch}/hist", buckets=4, **kw)
     assert scd2_stream.read_history(spark, f"{scratch}/hist").count() == want.count()
+
+
+def test_history_compaction_keeps_current_state(spark, scratch):
+    from threadlens.streaming.scd2_stream import compact_history, read_history
+
+    kw = dict(keys=["thread_id"], sequence_by="updated_at", tiebreak=["event_id"], track_columns=["team"], buckets=4)
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    feed = events.select(F.concat(F.lit("t"), (F.col("user_id") % 5).cast("string")).alias("thread_id"),
+                         F.concat(F.lit("team_"), (F.col("event_id") % 2).cast("string")).alias("team"),
+                         F.col("ts").alias("updated_at"), "event_id")
+    for i, part in enumerate(feed.randomSplit([0.5, 0.5], seed=7)):
+        scd2_stream.apply_changes(part, i, f"{scratch}/log", f"{scratch}/hist", **kw)
+    before = sorted(map(tuple, read_history(spark, f"{scratch}/hist").collect()))
+    compact_history(spark, f"{scratch}/hist", snapshot_batch=2)
+    after = sorted(map(tuple, read_history(spark, f"{scratch}/hist").collect()))
+    assert after == before and len(after) > 0

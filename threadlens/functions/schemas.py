@@ -6,13 +6,7 @@ the checkpoint JSON carries ``ts``, ``v``, ``id`` (strings) and
 ``step`` and ``source`` (strings).  Unknown JSON fields are ignored.
 """
 
-from pyspark.sql.types import (
-    MapType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampType,
-)
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 CHECKPOINT_JSON = StructType([
     StructField("ts", StringType(), True),
@@ -36,18 +30,6 @@ LOOKUP_FEED_COLUMNS = ["thread_id", "user_id", "team"]
 RESCUE_COLUMN = "_rescued_data"
 INGESTED_AT = "ingested_at"
 
-BRONZE_CHECKPOINTS = StructType(
-    [StructField(c, StringType(), True) for c in CHECKPOINT_FEED_COLUMNS]
-    + [StructField(RESCUE_COLUMN, StringType(), True),
-       StructField(INGESTED_AT, TimestampType(), True)]
-)
-
-BRONZE_LOOKUP = StructType(
-    [StructField(c, StringType(), True) for c in LOOKUP_FEED_COLUMNS]
-    + [StructField(RESCUE_COLUMN, StringType(), True),
-       StructField(INGESTED_AT, TimestampType(), True)]
-)
-
 # SCD2 bookkeeping columns of the history table.
 START_AT = "__START_AT"
 END_AT = "__END_AT"

@@ -9,7 +9,6 @@ that it lives on shared storage and survives executor loss.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -72,22 +71,32 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/threadlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few local-file helpers in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def is_local_fs(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def makedirs(path: str) -> None:
-    if is_local_fs(path):
-        os.makedirs(local_path(path), exist_ok=True)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists (any Hadoop file system)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def publish(spark: SparkSession, staged: str, final: str) -> None:
+    """Make a fully written folder visible under its final name.
+
+    Writers fill ``staged`` (a name starting with ``_`` and without ``=``,
+    which Spark's file listing skips), then one rename publishes it, so a
+    reader never lists half of a batch.  A retried batch replaces its own
+    earlier output.  The rename is atomic on HDFS and local file systems.
+    """
+    fs, src = _fs(spark, staged)
+    _, dst = _fs(spark, final)
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    if not fs.exists(src):
+        return
+    if not fs.rename(src, dst):
+        raise IOError(f"could not publish {staged} as {final}")

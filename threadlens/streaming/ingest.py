@@ -3,8 +3,9 @@
 A file stream source over the feed folder (glob allowed) hands every
 micro-batch the lines of the new files; ``foreachBatch`` parses them by
 header name (``threadlens.sources.csv_feed``), stamps ``ingested_at`` and
-writes them to ``<table>/_batch=<id>``.  The write of a batch id replaces its
-own folder, so a retried micro-batch does not duplicate rows; the stream
+writes them to ``<table>/_batch=<id>`` (staged, then published by one
+rename).  The write of a batch id replaces its own folder, so a retried
+micro-batch does not duplicate rows; the stream
 checkpoint records which files were consumed, so a re-run only adds new
 files.  ``trigger(availableNow=True)`` processes everything present and
 stops, like a scheduled pipeline update.
@@ -16,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.functions.schemas import INGESTED_AT
-from threadlens.sources.csv_feed import line_columns, parse_by_name
+from threadlens.session import publish
+from threadlens.sources.csv_feed import parse_by_name
 
 BATCH_COL = "_batch"
 # Files per micro-batch.  It bounds the per-file header table that the
@@ -50,7 +52,9 @@ def ingest_csv(spark: SparkSession, source: str, expected: list[str], table_dir:
         )
         rows = parse_by_name(lines, expected, options).withColumn(INGESTED_AT, F.current_timestamp())
         out = f"{table_dir.rstrip('/')}/{BATCH_COL}={batch_id}"
-        rows.write.mode("overwrite").parquet(out)
+        staged = f"{table_dir.rstrip('/')}/_staging_{batch_id}"
+        rows.write.mode("overwrite").parquet(staged)
+        publish(batch.sparkSession, staged, out)
         if on_batch is not None:
             on_batch(batch.sparkSession.read.parquet(out), batch_id)
 
@@ -69,5 +73,3 @@ def read_table(spark: SparkSession, table_dir: str) -> DataFrame:
     """The ingested table (all batch folders; ``_batch`` is a partition column)."""
     return spark.read.parquet(table_dir)
 
-
-__all__ = ["ingest_csv", "read_table", "stream_lines", "line_columns", "BATCH_COL"]

@@ -12,8 +12,9 @@ There is no MERGE on plain parquet, so each micro-batch (``foreachBatch``):
 
 The current table is, per bucket, the folder of the newest batch that wrote
 it (``read_history``).  Every write replaces only its own ``_batch=<id>``
-folder, so a retried micro-batch is idempotent and a reader never sees a
-folder being overwritten.  ``compact_history`` folds the newest state of every
+folder, so a retried micro-batch is idempotent; every folder is written
+under a staging name and published by one rename, so a reader never lists
+half of a batch.  ``compact_history`` folds the newest state of every
 bucket into one snapshot folder when many batches have accumulated.
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.operators.scd2 import scd2_history
-from threadlens.session import path_exists
+from threadlens.session import path_exists, publish
 
 BATCH_COL = "_batch"
 BUCKET_COL = "bucket"
@@ -39,7 +40,7 @@ def apply_changes(changes: DataFrame, batch_id: int, log_dir: str, history_dir:
     """Fold one micro-batch of change rows into the history (steps 1-3)."""
     spark = changes.sparkSession
     batch = with_bucket(changes, keys, buckets)
-    batch.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(f"{log_dir}/{BATCH_COL}={batch_id}")
+    _write_batch(batch, log_dir, batch_id)
     # at most `buckets` values reach the driver: they become a partition filter
     touched = [r[0] for r in batch.select(BUCKET_COL).distinct().collect()]
     if not touched:
@@ -47,7 +48,14 @@ def apply_changes(changes: DataFrame, batch_id: int, log_dir: str, history_dir:
     log = spark.read.parquet(log_dir).filter(F.col(BUCKET_COL).isin(touched)).drop(BATCH_COL)
     hist = scd2_history(log, keys=keys, sequence_by=sequence_by, tiebreak=tiebreak,
                         track_columns=track_columns)
-    hist.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(f"{history_dir}/{BATCH_COL}={batch_id}")
+    _write_batch(hist, history_dir, batch_id)
+
+
+def _write_batch(df: DataFrame, table_dir: str, batch_id: int) -> None:
+    """Write one batch folder, visible to readers only once complete."""
+    staged = f"{table_dir}/_staging_{batch_id}"
+    df.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staged)
+    publish(df.sparkSession, staged, f"{table_dir}/{BATCH_COL}={batch_id}")
 
 
 def read_history(spark: SparkSession, history_dir: str, schema: str | None = None) -> DataFrame:
@@ -91,5 +99,4 @@ def compact_history(spark: SparkSession, history_dir: str, snapshot_batch: int)
     current = spark.read.parquet(history_dir)
     newest = current.groupBy(BUCKET_COL).agg(F.max(BATCH_COL).alias(BATCH_COL))
     state = current.join(newest, [BUCKET_COL, BATCH_COL], "left_semi").drop(BATCH_COL)
-    state.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(
-        f"{history_dir}/{BATCH_COL}={snapshot_batch}")
+    _write_batch(state, history_dir, snapshot_batch)
