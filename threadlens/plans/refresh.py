@@ -8,16 +8,21 @@ each step a plain Spark job reading the previous step's table:
 2. lookup CSV files -> ``bronze_thread_lookup_stream``, and in the same
    micro-batch the cleaned, expectation-checked rows are folded into
    ``silver_thread_lookup_history`` (streaming SCD2 on parquet);
-3. ``silver_checkpoints``: full recompute (a materialized view), written
-   partitioned by ``checkpoint_date``;
+3. ``silver_checkpoints`` = parsed checkpoints LEFT JOIN the current owner.
+   Every bronze batch is parsed and checked once, as it arrives
+   (``checkpoints_parsed``, partitioned by batch and date); the silver table
+   itself is written in full, like the reference's view, unless
+   ``materialize_silver=False``;
 4. gold tables: recomputed for the touched dates only -- dates of newly
    ingested checkpoints, and every date of threads whose ownership changed
    (silver joins the *current* owner, so an ownership change re-attributes
-   old checkpoints) -- and written with dynamic partition overwrite,
+   old checkpoints).  They are read from the parsed table through date
+   partition pruning and written with dynamic partition overwrite,
    clustered by the gold keys inside each date;
 5. the monitoring views (full recompute).
 
-Expectation counts of each update are appended to ``expectation_log``.
+Expectation counts of every parsed batch are appended to ``expectation_log``
+(observed while the batch is written, no extra pass).
 
 Paths live under ``out_dir``; stream checkpoints under ``out_dir/_checkpoints``.
 """
@@ -31,10 +36,10 @@ from pyspark.sql import functions as F
 
 from threadlens.functions.schemas import CHECKPOINT_FEED_COLUMNS, LOOKUP_FEED_COLUMNS
 from threadlens.operators import metrics, monitor, scd2, upkeep
-from threadlens.operators.enrich import clean_thread_lookup, enrich_checkpoints
+from threadlens.operators.enrich import SILVER_COLUMNS, clean_thread_lookup, parse_checkpoints
 from threadlens.operators.expectations import apply_rules, observe_rules
 from threadlens.plans.layers import LOOKUP_RULES, SILVER_RULES, TRACKED
-from threadlens.session import ensure_defaults
+from threadlens.session import ensure_defaults, publish
 from threadlens.streaming import ingest, scd2_stream
 
 
@@ -48,16 +53,25 @@ class Tables:
 
 def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
             checkpoint_files: str = "checkpoints_*.csv", lookup_files: str = "thread_teams_*.csv",
-            buckets: int = 64, incremental_gold: bool = True) -> dict:
+            buckets: int = 64, incremental_gold: bool = True, materialize_silver: bool = True) -> dict:
     ensure_defaults(spark)
     t = Tables(out_dir)
     chk = f"{out_dir.rstrip('/')}/_checkpoints"
     new_batches: dict[str, list[int]] = {"checkpoints": [], "lookup": []}
 
-    # 1. bronze checkpoints
+    # 1. bronze checkpoints; each new batch is parsed and checked once, into
+    #    checkpoints_parsed/_batch=<id>/checkpoint_date=<d> (staged, published)
+    def parse_batch(batch: DataFrame, batch_id: int) -> None:
+        new_batches["checkpoints"].append(batch_id)
+        parsed, obs = observe_rules(parse_checkpoints(batch), SILVER_RULES, f"parse_{batch_id}")
+        staged = f"{t.checkpoints_parsed}/_staging_{batch_id}"
+        (apply_rules(parsed, SILVER_RULES, "drop")
+         .write.mode("overwrite").partitionBy("checkpoint_date").parquet(staged))
+        publish(spark, staged, f"{t.checkpoints_parsed}/{ingest.BATCH_COL}={batch_id}")
+        log_expectations(spark, t.expectation_log, "silver_checkpoints", SILVER_RULES, obs.get, batch_id)
+
     ingest.ingest_csv(spark, f"{raw_dir}/{checkpoint_files}", CHECKPOINT_FEED_COLUMNS,
-                      t.bronze_checkpoints, f"{chk}/bronze_checkpoints",
-                      on_batch=lambda df, i: new_batches["checkpoints"].append(i))
+                      t.bronze_checkpoints, f"{chk}/bronze_checkpoints", on_batch=parse_batch)
 
     # 2. bronze lookup + CDC into the history, per micro-batch
     def fold(batch: DataFrame, batch_id: int) -> None:
@@ -73,27 +87,25 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     bronze = spark.read.parquet(t.bronze_checkpoints)
     history = scd2_stream.read_history(spark, t.silver_thread_lookup_history)
 
-    # 3. silver (materialized view: full recompute); the expectation is
-    #    counted while the write runs (observe), not in an extra pass
+    # 3. silver = parsed checkpoints LEFT JOIN the current owner.  The parsed
+    #    rows are never re-parsed; the table is materialized in full (as the
+    #    reference's view) unless materialize_silver=False.
     owners = scd2.current(history).select("thread_id", "user_id", "team")
-    enriched = enrich_checkpoints(bronze.drop(ingest.BATCH_COL), owners)
-    seen = {}
-
-    def checked(df: DataFrame) -> DataFrame:
-        observed, seen["obs"] = observe_rules(df, SILVER_RULES, "silver_checkpoints")
-        return apply_rules(observed, SILVER_RULES, "drop")
-
-    upkeep.write_clustered(enriched, t.silver_checkpoints, ["thread_id"], partition_by=["checkpoint_date"],
-                           after_layout=checked)
-    log_expectations(spark, t.expectation_log, "silver_checkpoints", SILVER_RULES, seen["obs"].get)
-    silver = spark.read.parquet(t.silver_checkpoints)
+    parsed = spark.read.parquet(t.checkpoints_parsed).select(*SILVER_COLUMNS)
+    silver_view = parsed.join(owners, "thread_id", "left")
+    if materialize_silver:
+        upkeep.write_clustered(silver_view, t.silver_checkpoints, ["thread_id"], partition_by=["checkpoint_date"])
+        silver = spark.read.parquet(t.silver_checkpoints)
+    else:
+        silver = silver_view
 
-    # 4. gold, touched dates only
+    # 4. gold, touched dates only: the date filter prunes the parsed table's
+    #    date partitions, so the owner join runs on those dates only
     if incremental_gold and (new_batches["checkpoints"] or new_batches["lookup"]):
-        dates = touched_dates(spark, t, silver, new_batches)
-        source = silver.join(dates, "checkpoint_date", "left_semi")
+        dates = touched_dates(spark, t, silver_view, new_batches)
+        source = silver_view.join(dates, "checkpoint_date", "left_semi")
     else:
-        source = silver
+        source = silver_view
     upkeep.write_clustered(metrics.gold_user_team_metrics(source), t.gold_user_team_metrics,
                            ["team", "user_id"], partition_by=["checkpoint_date"])
     upkeep.write_clustered(metrics.gold_team_summary(source), t.gold_team_summary,
@@ -114,11 +126,12 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     return new_batches
 
 
-def log_expectations(spark: SparkSession, path: str, dataset: str, rules, counts: dict) -> None:
-    """Append one row per rule (the observed counts of this update)."""
-    rows = [(dataset, r.name, r.condition, int(counts.get("total", 0)), int(counts.get(r.name, 0)))
+def log_expectations(spark: SparkSession, path: str, dataset: str, rules, counts: dict, batch_id: int) -> None:
+    """Append one row per rule: the counts observed while a batch was written."""
+    rows = [(dataset, batch_id, r.name, r.condition, int(counts.get("total", 0)), int(counts.get(r.name, 0)))
             for r in rules]
-    (spark.createDataFrame(rows, "dataset string, rule string, condition string, total bigint, failed bigint")
+    (spark.createDataFrame(rows, "dataset string, batch_id bigint, rule string, condition string, "
+                                 "total bigint, failed bigint")
      .withColumn("measured_at", F.current_timestamp())
      .write.mode("append").parquet(path))
 
@@ -127,10 +140,10 @@ def touched_dates(spark: SparkSession, t: Tables, silver: DataFrame, new_batches
     """Dates whose gold rows can change in this update (distributed, distinct)."""
     parts = []
     if new_batches["checkpoints"]:
-        new_ids = (spark.read.parquet(t.bronze_checkpoints)
-                   .filter(F.col(ingest.BATCH_COL).isin(new_batches["checkpoints"]))
-                   .select("thread_id", "checkpoint_id").distinct())
-        parts.append(silver.join(new_ids, ["thread_id", "checkpoint_id"], "left_semi").select("checkpoint_date"))
+        # partition values of the new parsed batches: no data columns read
+        parts.append(spark.read.parquet(t.checkpoints_parsed)
+                     .filter(F.col(ingest.BATCH_COL).isin(new_batches["checkpoints"]))
+                     .select("checkpoint_date"))
     if new_batches["lookup"]:
         moved = (spark.read.parquet(t.bronze_thread_lookup_stream)
                  .filter(F.col(ingest.BATCH_COL).isin(new_batches["lookup"]))
