@@ -61,3 +61,11 @@ def test_refresh_twice(spark, scratch):
     history = read_history(spark, f"{out}/silver_thread_lookup_history")
     versions = sorted((r.team, r["__END_AT"] is None) for r in history.filter("thread_id = 'thread_2'").collect())
     assert versions == [("team_alpha", True), ("team_beta", False)]
+    from threadlens.plans.views import register_tables
+
+    names = register_tables(spark, out)
+    assert "expectation_log" in names and "silver_thread_lookup_history" in names
+    r = spark.sql("SELECT team, SUM(checkpoint_count) AS n FROM gold_user_team_metrics "
+                  "WHERE team = 'team_alpha' GROUP BY team").first()
+    assert r.n == spark.sql("SELECT COUNT(*) AS n FROM silver_checkpoints WHERE team = 'team_alpha' "
+                            "AND user_id IS NOT NULL").first().n
