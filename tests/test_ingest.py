@@ -88,3 +88,25 @@ def test_history_compaction_keeps_current_state(spark, scratch):
     compact_history(spark, f"{scratch}/hist", snapshot_batch=2)
     after = sorted(map(tuple, read_history(spark, f"{scratch}/hist").collect()))
     assert after == before and len(after) > 0
+
+
+MULTI = ('thread_id,user_id,team\nt1,"u\n1",a\n"t2",u2,"b, c"\n'
+         't3,u3,a,extra_cell\n')
+
+
+def test_multiline_batch(spark, scratch):
+    _write(f"{scratch}/raw/thread_teams_1.csv", MULTI)
+    _write(f"{scratch}/raw/thread_teams_2.csv", 'team,thread_id,user_id\n"x\ny",t4,u4\n')
+    rows = {r.thread_id: r for r in read_feed(spark, f"{scratch}/raw/*.csv", LOOKUP_FEED_COLUMNS,
+                                                multi_line=True).collect()}
+    assert rows["t1"].user_id == "u\n1" and rows["t2"].team == "b, c"
+    assert (rows["t4"].user_id, rows["t4"].team) == ("u4", "x\ny")
+    assert "_line" in rows["t3"]._rescued_data and rows["t1"]._rescued_data is None
+
+
+def test_multiline_stream(spark, scratch):
+    _write(f"{scratch}/raw/thread_teams_1.csv", MULTI)
+    ingest.ingest_csv(spark, f"{scratch}/raw/*.csv", LOOKUP_FEED_COLUMNS, f"{scratch}/bronze",
+                      f"{scratch}/chk", multi_line=True)
+    rows = {r.thread_id: r for r in ingest.read_table(spark, f"{scratch}/bronze").collect()}
+    assert rows["t1"].user_id == "u\n1" and len(rows) == 3

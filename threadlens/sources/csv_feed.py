@@ -14,8 +14,10 @@ pass, all with built-in expressions:
 4. cells under names that are not expected, and lines with more cells than
    the header, go to ``_rescued_data`` as JSON together with the file path.
 
-Lines are records (the feeds do not use multi-line quoted values).  The same
-function serves batch reads and streaming micro-batches (``foreachBatch``).
+By default lines are records (the reference's feeds do not set multi-line
+quoting).  With ``multi_line=True`` Spark's CSV reader splits records whose
+quoted values hold line breaks, and the same header binding and rescue
+apply.  The same functions serve batch reads and streaming micro-batches.
 """
 
 from __future__ import annotations
@@ -79,9 +81,16 @@ def parse_by_name(lines: DataFrame, expected: list[str], options: dict | None =
     data = lines.join(F.broadcast(headers), "file_path", "inner").filter(
         F.col("line_no") != F.col("_header_no")
     ).filter(F.length(F.trim("line")) > 0)
-    cells = _cells(F.col("line"), width, opts)
-    named = data.select("*", cells.alias("_cells"))
+    return bind_by_name(data.select("line", "file_path", "_names", _cells(F.col("line"), width, opts).alias("_cells")),
+                        expected)
 
+
+def bind_by_name(rows: DataFrame, expected: list[str]) -> DataFrame:
+    """Rows (line, file_path, _names, _cells) -> expected columns + rescue.
+
+    ``_names`` is the file's header, ``_cells`` the record's cells, both
+    positional; the record text ``line`` is kept only for rescued rows.
+    """
     n_names = F.size(F.filter("_names", lambda c: c.isNotNull()))
     n_cells = F.size(F.filter("_cells", lambda c: c.isNotNull()))
     too_long = n_cells > n_names
@@ -100,14 +109,54 @@ def parse_by_name(lines: DataFrame, expected: list[str], options: dict | None =
         .when(F.size(extra_names) > 0,
               F.to_json(F.map_concat(extras, F.create_map(F.lit("_file_path"), F.col("file_path")))))
     )
-    return named.select(*[cell(c).alias(c) for c in expected], rescue.alias(RESCUE_COLUMN))
+    return rows.select(*[cell(c).alias(c) for c in expected], rescue.alias(RESCUE_COLUMN))
+
+
+def multiline_records(reader, paths, width: int, options: dict | None = None) -> DataFrame:
+    """Records of CSV files whose quoted values may hold line breaks.
+
+    Spark's CSV reader (``multiLine``) splits the records into ``width``
+    positional text cells; each file is read by one task, in order, so its
+    first record is its header.  ``reader`` is ``spark.read`` or
+    ``spark.readStream``.
+    """
+    opts = {**CSV_OPTIONS, **(options or {})}
+    schema = ", ".join(f"c{i} STRING" for i in range(width)) + ", _raw STRING"
+    df = (reader.schema(schema).options(**opts).option("header", False).option("multiLine", True)
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_raw").csv(paths))
+    cells = F.array(*[F.col(f"c{i}") for i in range(width)])
+    return df.select(
+        cells.alias("_cells"),
+        F.coalesce(F.col("_raw"), F.concat_ws(",", cells)).alias("line"),
+        F.col("_metadata.file_path").alias("file_path"),
+    )
+
+
+def bind_multiline(records: DataFrame, expected: list[str]) -> DataFrame:
+    """Header per file (its first record), then ``bind_by_name``."""
+    spark = records.sparkSession
+    numbered = records.withColumn("_row_no", F.monotonically_increasing_id())
+    header_rows = (
+        numbered.groupBy("file_path")
+        .agg(F.min_by(F.struct("_cells", "_row_no"), F.col("_row_no")).alias("_h"))
+        .select("file_path", F.col("_h._cells").alias("_header"), F.col("_h._row_no").alias("_header_no"))
+        .collect()  # one row per file (bounded by MAX_FILES per read / batch)
+    )
+    headers = spark.createDataFrame(
+        header_rows, "file_path string, _header array<string>, _header_no bigint"
+    ).select("file_path", "_header_no", F.transform("_header", lambda c: F.trim(c)).alias("_names"))
+    data = numbered.join(F.broadcast(headers), "file_path", "inner").filter(
+        F.col("_row_no") != F.col("_header_no"))
+    return bind_by_name(data.select("line", "file_path", "_names", "_cells"), expected)
 
 
 MAX_FILES = 10_000  # bound of the broadcast per-file header table
+MULTILINE_EXTRA_COLUMNS = 16  # multi-line reads: cells kept beyond the expected columns
 
 
 def read_feed(spark: SparkSession, paths: str | list[str], expected: list[str],
-              options: dict | None = None) -> DataFrame:
+              options: dict | None = None, multi_line: bool = False,
+              max_columns: int | None = None) -> DataFrame:
     """Batch read of a CSV feed by header name, stamped with ``ingested_at``.
 
     The per-file header table is broadcast, so one read takes at most
@@ -118,6 +167,11 @@ def read_feed(spark: SparkSession, paths: str | list[str], expected: list[str],
     n_files = len(lines.inputFiles())
     if n_files > MAX_FILES:
         raise ValueError(f"{n_files} files exceed {MAX_FILES} per read; use streaming.ingest.ingest_csv")
-    return parse_by_name(lines, expected, options).withColumn(
+    if multi_line:
+        width = (max_columns or len(expected) + MULTILINE_EXTRA_COLUMNS) + 1
+        rows = bind_multiline(multiline_records(spark.read, paths, width, options), expected)
+    else:
+        rows = parse_by_name(lines, expected, options, max_columns)
+    return rows.withColumn(
         INGESTED_AT, F.current_timestamp()
     )

@@ -18,7 +18,12 @@ from pyspark.sql import functions as F
 
 from threadlens.functions.schemas import INGESTED_AT
 from threadlens.session import publish
-from threadlens.sources.csv_feed import parse_by_name
+from threadlens.sources.csv_feed import (
+    MULTILINE_EXTRA_COLUMNS,
+    bind_multiline,
+    multiline_records,
+    parse_by_name,
+)
 
 BATCH_COL = "_batch"
 # Files per micro-batch.  It bounds the per-file header table that the
@@ -38,19 +43,25 @@ def stream_lines(spark: SparkSession, source: str, max_files_per_trigger: int |
 
 def ingest_csv(spark: SparkSession, source: str, expected: list[str], table_dir: str,
                checkpoint: str, max_files_per_trigger: int | None = None,
-               options: dict | None = None, on_batch=None):
+               options: dict | None = None, on_batch=None, multi_line: bool = False,
+               max_columns: int | None = None):
     """Run the ingestion stream until the files present now are consumed.
 
     ``on_batch(batch_df, batch_id)`` is called after each batch was written
     (used to chain the change-data-capture step).  Returns the finished query.
     """
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
+    def parse(batch: DataFrame) -> DataFrame:
+        if multi_line:
+            return bind_multiline(batch, expected)
         lines = batch.select(
             F.col("value").alias("line"), "file_path", "block_start",
             F.monotonically_increasing_id().alias("line_no"),
         )
-        rows = parse_by_name(lines, expected, options).withColumn(INGESTED_AT, F.current_timestamp())
+        return parse_by_name(lines, expected, options, max_columns)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = parse(batch).withColumn(INGESTED_AT, F.current_timestamp())
         out = f"{table_dir.rstrip('/')}/{BATCH_COL}={batch_id}"
         staged = f"{table_dir.rstrip('/')}/_staging_{batch_id}"
         rows.write.mode("overwrite").parquet(staged)
@@ -58,8 +69,15 @@ def ingest_csv(spark: SparkSession, source: str, expected: list[str], table_dir:
         if on_batch is not None:
             on_batch(batch.sparkSession.read.parquet(out), batch_id)
 
+    if multi_line:
+        width = (max_columns or len(expected) + MULTILINE_EXTRA_COLUMNS) + 1
+        reader = spark.readStream.option(
+            "maxFilesPerTrigger", str(max_files_per_trigger or MAX_FILES_PER_TRIGGER))
+        source_df = multiline_records(reader, source, width, options)
+    else:
+        source_df = stream_lines(spark, source, max_files_per_trigger)
     query = (
-        stream_lines(spark, source, max_files_per_trigger)
+        source_df
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
