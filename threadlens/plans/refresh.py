@@ -94,7 +94,8 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     parsed = spark.read.parquet(t.checkpoints_parsed).select(*SILVER_COLUMNS)
     silver_view = parsed.join(owners, "thread_id", "left")
     if materialize_silver:
-        upkeep.write_clustered(silver_view, t.silver_checkpoints, ["thread_id"], partition_by=["checkpoint_date"])
+        replace_table(spark, t.silver_checkpoints, lambda path: upkeep.write_clustered(
+            silver_view, path, ["thread_id"], partition_by=["checkpoint_date"]))
         silver = spark.read.parquet(t.silver_checkpoints)
     else:
         silver = silver_view
@@ -114,18 +115,34 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     # 5. monitoring views
     gold_user = spark.read.parquet(t.gold_user_team_metrics)
     gold_team = spark.read.parquet(t.gold_team_summary)
-    monitor.daily_counts(bronze, history, silver, gold_user, gold_team) \
-        .write.mode("overwrite").parquet(t.monitoring_daily_counts)
-    monitor.null_profile([
-        ("bronze_checkpoints", bronze, ["thread_id", "checkpoint_id", "checkpoint_ns", "type", "metadata"]),
-        ("silver_thread_lookup_history", history, ["thread_id", "user_id", "team"]),
-        ("silver_checkpoints", silver, ["checkpoint_ts", "user_id", "team", "metadata_step_int", "metadata_source"]),
-    ]).write.mode("overwrite").parquet(t.monitoring_null_percentages)
-    monitor.duplicates(bronze, history, silver).write.mode("overwrite").parquet(t.monitoring_duplicates)
-    monitor.processing_lag(silver, bronze).write.mode("overwrite").parquet(t.monitoring_processing_lag)
+    views = {
+        t.monitoring_daily_counts: monitor.daily_counts(bronze, history, silver, gold_user, gold_team),
+        t.monitoring_null_percentages: monitor.null_profile([
+            ("bronze_checkpoints", bronze, ["thread_id", "checkpoint_id", "checkpoint_ns", "type", "metadata"]),
+            ("silver_thread_lookup_history", history, ["thread_id", "user_id", "team"]),
+            ("silver_checkpoints", silver, ["checkpoint_ts", "user_id", "team", "metadata_step_int",
+                                            "metadata_source"]),
+        ]),
+        t.monitoring_duplicates: monitor.duplicates(bronze, history, silver),
+        t.monitoring_processing_lag: monitor.processing_lag(silver, bronze),
+    }
+    for path, df in views.items():
+        replace_table(spark, path, lambda p, df=df: df.write.mode("overwrite").parquet(p))
     return new_batches
 
 
+def replace_table(spark: SparkSession, path: str, write) -> None:
+    """Full rewrite of a table: written beside it, then swapped in by rename.
+
+    A plain overwrite deletes the old files before writing, so a failed job
+    would leave the table empty; here readers see the old or the new table.
+    """
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    staged = f"{parent}/_staging_{name}"
+    write(staged)
+    publish(spark, staged, path)
+
+
 def log_expectations(spark: SparkSession, path: str, dataset: str, rules, counts: dict, batch_id: int) -> None:
     """Append one row per rule: the counts observed while a batch was written."""
     rows = [(dataset, batch_id, r.name, r.condition, int(counts.get("total", 0)), int(counts.get(r.name, 0)))

@@ -88,15 +88,26 @@ def publish(spark: SparkSession, staged: str, final: str) -> None:
     """Make a fully written folder visible under its final name.
 
     Writers fill ``staged`` (a name starting with ``_`` and without ``=``,
-    which Spark's file listing skips), then one rename publishes it, so a
-    reader never lists half of a batch.  A retried batch replaces its own
-    earlier output.  The rename is atomic on HDFS and local file systems.
+    which Spark's file listing skips), then a rename publishes it, so a
+    reader never lists half of a batch.  An existing folder of that name (a
+    retried batch, or the previous version of a table) is first renamed aside
+    and deleted once the new one is in place.  Renames are atomic on HDFS
+    and local file systems.
     """
     fs, src = _fs(spark, staged)
     _, dst = _fs(spark, final)
-    if fs.exists(dst):
-        fs.delete(dst, True)
     if not fs.exists(src):
         return
+    parent, name = final.rstrip("/").rsplit("/", 1)
+    _, old = _fs(spark, f"{parent}/_replaced_{name.replace('=', '_')}")
+    if fs.exists(old):
+        fs.delete(old, True)
+    had_old = fs.exists(dst)
+    if had_old and not fs.rename(dst, old):
+        raise IOError(f"could not move {final} aside")
     if not fs.rename(src, dst):
+        if had_old:
+            fs.rename(old, dst)
         raise IOError(f"could not publish {staged} as {final}")
+    if had_old:
+        fs.delete(old, True)
