@@ -4,11 +4,11 @@ There is no MERGE on plain parquet, so each micro-batch (``foreachBatch``):
 
 1. appends its cleaned change rows to a change log, partitioned by
    ``bucket = pmod(xxhash64(keys), buckets)``, at ``log/_batch=<id>``;
-2. recomputes the history of the buckets it touched from the whole log of
-   those buckets (partition pruning reads only them) with the batch
-   operator ``scd2_history`` -- late and out-of-order rows therefore land
-   in the right place;
-3. writes that history to ``history/_batch=<id>/bucket=<b>``.
+2. recomputes, with the batch operator ``scd2_history``, the history of the
+   keys it touched from their whole log (partition pruning reads only the
+   touched buckets), so late and out-of-order rows land in the right place;
+   the versions of other keys in those buckets are carried over unchanged;
+3. writes the touched buckets to ``history/_batch=<id>/bucket=<b>``.
 
 The current table is, per bucket, the folder of the newest batch that wrote
 it (``read_history``).  Every write replaces only its own ``_batch=<id>``
@@ -45,9 +45,17 @@ def apply_changes(changes: DataFrame, batch_id: int, log_dir: str, history_dir:
     touched = [r[0] for r in batch.select(BUCKET_COL).distinct().collect()]
     if not touched:
         return
-    log = spark.read.parquet(log_dir).filter(F.col(BUCKET_COL).isin(touched)).drop(BATCH_COL)
+    touched_keys = batch.select(*keys).distinct()
+    log = (spark.read.parquet(log_dir).filter(F.col(BUCKET_COL).isin(touched)).drop(BATCH_COL)
+           .join(touched_keys, keys, "left_semi"))
     hist = scd2_history(log, keys=keys, sequence_by=sequence_by, tiebreak=tiebreak,
                         track_columns=track_columns)
+    if path_exists(spark, history_dir):
+        # versions of keys this batch did not touch are carried over as they are
+        kept = (read_history(spark, history_dir, keep_bucket=True)
+                .filter(F.col(BUCKET_COL).isin(touched))
+                .join(touched_keys, keys, "left_anti"))
+        hist = hist.unionByName(kept)
     _write_batch(hist, history_dir, batch_id)
 
 
@@ -58,7 +66,8 @@ def _write_batch(df: DataFrame, table_dir: str, batch_id: int) -> None:
     publish(df.sparkSession, staged, f"{table_dir}/{BATCH_COL}={batch_id}")
 
 
-def read_history(spark: SparkSession, history_dir: str, schema: str | None = None) -> DataFrame:
+def read_history(spark: SparkSession, history_dir: str, schema: str | None = None,
+                 keep_bucket: bool = False) -> DataFrame:
     """Per bucket, the rows written by the newest batch that touched it.
 
     Before any batch has written history, an empty frame of ``schema``.
@@ -67,7 +76,8 @@ def read_history(spark: SparkSession, history_dir: str, schema: str | None = Non
         return spark.createDataFrame([], schema)
     files = spark.read.parquet(history_dir)
     newest = files.groupBy(BUCKET_COL).agg(F.max(BATCH_COL).alias(BATCH_COL))
-    return files.join(newest, [BUCKET_COL, BATCH_COL], "left_semi").drop(BATCH_COL, BUCKET_COL)
+    current = files.join(newest, [BUCKET_COL, BATCH_COL], "left_semi").drop(BATCH_COL)
+    return current if keep_bucket else current.drop(BUCKET_COL)
 
 
 def run_scd2_stream(spark: SparkSession, source_dir: str, log_dir: str, history_dir: str,
@@ -100,3 +110,4 @@ def compact_history(spark: SparkSession, history_dir: str, snapshot_batch: int)
     newest = current.groupBy(BUCKET_COL).agg(F.max(BATCH_COL).alias(BATCH_COL))
     state = current.join(newest, [BUCKET_COL, BATCH_COL], "left_semi").drop(BATCH_COL)
     _write_batch(state, history_dir, snapshot_batch)
+
