@@ -17,6 +17,7 @@ from pyspark.sql.types import TimestampType
 
 from threadlens.operators import checks, expectations, metrics, monitor, reports, scd2, upkeep
 from threadlens.operators.enrich import SILVER_COLUMNS, clean_thread_lookup, parse_checkpoints
+from threadlens.operators.expectations import Rule
 from threadlens.plans.layers import SILVER_RULES, Layers
 from threadlens.sources import adapters
 
@@ -64,9 +65,12 @@ def _split_history(L: Layers) -> DataFrame:
     ).select(*HISTORY_COLS)
 
 
-def _report_rules():
-    return SILVER_RULES + [r for r in metrics.USER_TEAM_RULES if r.name != "valid_checkpoint_date"] + [
-        r for r in metrics.USER_TEAM_RULES if r.name == "valid_checkpoint_date"]
+# The silver rule and the gold user-metrics rules, counted on the enriched rows.
+REPORT_RULES = SILVER_RULES + [
+    Rule("valid_user_id", "user_id IS NOT NULL"),
+    Rule("valid_team", "team IS NOT NULL"),
+    Rule("valid_checkpoint_date", "checkpoint_date IS NOT NULL"),
+]
 
 
 NULL_COLUMNS = {
@@ -126,7 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expect_quarantine": _q(lambda L: expectations.apply_rules(
         L.silver_unchecked, SILVER_RULES, "quarantine").select(*SILVER_OUT)),
     "expect_report": _q(lambda L: expectations.expectation_report(
-        L.silver_unchecked, _report_rules(), "silver_checkpoints")),
+        L.silver_unchecked, REPORT_RULES, "silver_checkpoints")),
     "checks": _q(lambda L: checks.run_checks(
         L.bronze, L.lookup_feed, L.history, L.current_owner, L.silver, L.gold_user, L.gold_team,
         as_of=L.newest_date())),

@@ -2,9 +2,10 @@
 
 ``Layers`` wires the operators the way the pipeline does: bronze feeds ->
 SCD2 ownership history -> enriched silver (current owner) -> gold.  Built
-from the driver's test tables through the adapters, or from written tables
-(``Layers.from_tables``).  Nothing here executes a job; every attribute is a
-logical plan that Catalyst optimises together with the consumer's query.
+from the driver's test tables through the adapters, or from given bronze and
+cleaned lookup DataFrames.  Every attribute is a logical plan that Catalyst
+optimises together with the consumer's query; the only job run while
+building is the SCD2 hot-key check (see ``scd2.has_hot_keys``).
 """
 
 from __future__ import annotations
@@ -48,10 +49,6 @@ class Layers:
             reg[sf_dir] = cls(spark, sf_dir)
         return reg[sf_dir]
 
-    @classmethod
-    def from_tables(cls, spark: SparkSession, bronze_dir: str, lookup_dir: str) -> "Layers":
-        return cls(spark, bronze=spark.read.parquet(bronze_dir), lookup=spark.read.parquet(lookup_dir))
-
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = adapters.table(self.spark, self.sf_dir, name)
