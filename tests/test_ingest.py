@@ -110,3 +110,9 @@ def test_multiline_stream(spark, scratch):
                       f"{scratch}/chk", multi_line=True)
     rows = {r.thread_id: r for r in ingest.read_table(spark, f"{scratch}/bronze").collect()}
     assert rows["t1"].user_id == "u\n1" and len(rows) == 3
+
+
+def test_byte_order_mark_in_header(spark, scratch):
+    _write(f"{scratch}/raw/thread_teams_1.csv", "\ufeffthread_id,user_id,team\nt1,u1,a\n")
+    r = read_feed(spark, f"{scratch}/raw/*.csv", LOOKUP_FEED_COLUMNS).first()
+    assert (r.thread_id, r.user_id, r._rescued_data) == ("t1", "u1", None)

@@ -30,6 +30,11 @@ from threadlens.functions.schemas import INGESTED_AT, RESCUE_COLUMN
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
 
+def _clean_name(c: Column) -> Column:
+    """Header name without surrounding blanks or a leading byte-order mark."""
+    return F.trim(F.regexp_replace(c, "^\ufeff", ""))
+
+
 def _cells(line: Column, width: int, options: dict) -> Column:
     schema = ", ".join(f"c{i} STRING" for i in range(width))
     parsed = F.from_csv(line, schema, options)
@@ -74,7 +79,7 @@ def parse_by_name(lines: DataFrame, expected: list[str], options: dict | None =
         max_columns = max([len(r["_header"].split(",")) for r in header_rows] or [len(expected)])
     width = max(max_columns, len(expected)) + 1  # one extra cell detects over-long rows
 
-    header_cells = F.transform(_cells(F.col("_header"), width, opts), lambda c: F.trim(c))
+    header_cells = F.transform(_cells(F.col("_header"), width, opts), _clean_name)
     headers = spark.createDataFrame(
         header_rows, "file_path string, _header string, _header_no bigint"
     ).select("file_path", "_header_no", header_cells.alias("_names"))
@@ -144,7 +149,7 @@ def bind_multiline(records: DataFrame, expected: list[str]) -> DataFrame:
     )
     headers = spark.createDataFrame(
         header_rows, "file_path string, _header array<string>, _header_no bigint"
-    ).select("file_path", "_header_no", F.transform("_header", lambda c: F.trim(c)).alias("_names"))
+    ).select("file_path", "_header_no", F.transform("_header", _clean_name).alias("_names"))
     data = numbered.join(F.broadcast(headers), "file_path", "inner").filter(
         F.col("_row_no") != F.col("_header_no"))
     return bind_by_name(data.select("line", "file_path", "_names", "_cells"), expected)
