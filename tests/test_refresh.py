@@ -41,6 +41,9 @@ def test_refresh_twice(spark, scratch):
     for view in ["monitoring_daily_counts", "monitoring_null_percentages", "monitoring_duplicates",
                  "monitoring_processing_lag"]:
         assert spark.read.parquet(f"{out}/{view}").count() > 0
+    checks = {r.check: r.passed for r in spark.read.parquet(f"{out}/check_results").collect()}
+    assert len(checks) == 14
+    assert [k for k, ok in checks.items() if not ok] == []
     log = spark.read.parquet(f"{out}/expectation_log").first()
     assert (log.rule, log.total, log.failed) == ("checkpoint_ts_not_null", 5, 1)
     dups = spark.read.parquet(f"{out}/monitoring_duplicates")

@@ -21,6 +21,8 @@ each step a plain Spark job reading the previous step's table:
    clustered by the gold keys inside each date;
 5. the monitoring views (full recompute).
 
+6. the cross-layer checks, run on the written tables, into ``check_results``.
+
 Expectation counts of every parsed batch are appended to ``expectation_log``
 (observed while the batch is written, no extra pass).
 
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.functions.schemas import CHECKPOINT_FEED_COLUMNS, LOOKUP_FEED_COLUMNS
-from threadlens.operators import metrics, monitor, scd2, upkeep
+from threadlens.operators import checks, metrics, monitor, scd2, upkeep
 from threadlens.operators.enrich import SILVER_COLUMNS, clean_thread_lookup, parse_checkpoints
 from threadlens.operators.expectations import apply_rules, observe_rules
 from threadlens.plans.layers import LOOKUP_RULES, SILVER_RULES, TRACKED
@@ -128,6 +130,13 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     }
     for path, df in views.items():
         replace_table(spark, path, lambda p, df=df: df.write.mode("overwrite").parquet(p))
+
+    # 6. cross-layer checks over the written tables (one row per check)
+    lookup = ingest.read_table(spark, t.bronze_thread_lookup_stream).drop(ingest.BATCH_COL)
+    newest = silver.agg(F.max("checkpoint_date")).scalar()
+    results = checks.run_checks(bronze, lookup, history, owners, silver, gold_user, gold_team, as_of=newest)
+    replace_table(spark, t.check_results, lambda p: results.withColumn(
+        "checked_at", F.current_timestamp()).write.mode("overwrite").parquet(p))
     return new_batches
 
 
@@ -170,3 +179,12 @@ def touched_dates(spark: SparkSession, t: Tables, silver: DataFrame, new_batches
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.filter(F.col("checkpoint_date").isNotNull()).distinct()
+
+
+if __name__ == "__main__":
+    import sys
+
+    if len(sys.argv) != 3:
+        sys.exit("usage: spark-submit threadlens/plans/refresh.py RAW_DIR OUT_DIR")
+    # the session of spark-submit (cluster), or a local one when run directly
+    print(refresh(SparkSession.builder.appName("threadlens-refresh").getOrCreate(), sys.argv[1], sys.argv[2]))
