@@ -10,6 +10,7 @@ building is the SCD2 hot-key check (see ``scd2.has_hot_keys``).
 
 from __future__ import annotations
 
+import weakref
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from threadlens.sources import adapters
 LOOKUP_RULES = [Rule("thread_id_not_null", "thread_id IS NOT NULL")]
 SILVER_RULES = [Rule("checkpoint_ts_not_null", "checkpoint_ts IS NOT NULL")]
 TRACKED = ["user_id", "team"]
+_SHARED: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
 
 
 class Layers:
@@ -44,7 +46,7 @@ class Layers:
         """One Layers per (session, folder): queries reuse the logical plans
         (like temp views defined once).  Nothing is cached but plans; every
         execution reads the files again."""
-        reg = spark.__dict__.setdefault("_threadlens_layers", {})
+        reg = _SHARED.setdefault(spark, {})
         if sf_dir not in reg:
             reg[sf_dir] = cls(spark, sf_dir)
         return reg[sf_dir]

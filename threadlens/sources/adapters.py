@@ -16,10 +16,13 @@ orphan users when user_id % 11 = 0, five teams, team re-assignment every
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_SCANS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
 SPREAD_TABLES = False  # also spread every raw table scan (measured slower; only the checkpoint feed is)
 
 
@@ -31,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     read-only).  Every execution still reads the files.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    cache = spark.__dict__.setdefault("_threadlens_scans", {})
+    cache = _SCANS.setdefault(spark, {})
     if path not in cache:
         scan = spark.read.parquet(path)
         cache[path] = spread(scan) if SPREAD_TABLES else scan
