@@ -72,3 +72,16 @@ def test_refresh_twice(spark, scratch):
                   "WHERE team = 'team_alpha' GROUP BY team").first()
     assert r.n == spark.sql("SELECT COUNT(*) AS n FROM silver_checkpoints WHERE team = 'team_alpha' "
                             "AND user_id IS NOT NULL").first().n
+
+
+def test_same_batch_deliveries_follow_file_order(spark, scratch):
+    raw, out = f"{scratch}/raw", f"{scratch}/out"
+    _write(f"{raw}/checkpoints_1.csv", HEADER + cp_line("thread_1", "checkpoint_1", "2026-04-01T10:00:00Z", 1))
+    _write(f"{raw}/thread_teams_1.csv", "thread_id,user_id,team\nthread_1,user_1,team_a\n"
+                                        "thread_1,user_1,team_b\nthread_1,user_1,team_c\n")
+    refresh(spark, raw, out)
+    hist = read_history(spark, f"{out}/silver_thread_lookup_history")
+    current = [r.team for r in hist.filter("__END_AT IS NULL").collect()]
+    assert current == ["team_c"] and hist.count() == 3
+    gold = spark.read.parquet(f"{out}/gold_user_team_metrics").first()
+    assert gold.team == "team_c"

@@ -22,12 +22,14 @@ SILVER_COLUMNS = [
 DIMENSION_COLUMNS = ["thread_id", "user_id", "team"]
 
 
-def clean_thread_lookup(df: DataFrame, updated_at: str | Column | None = None) -> DataFrame:
+def clean_thread_lookup(df: DataFrame, updated_at: str | Column | None = None,
+                        keep: list[str] | tuple = ()) -> DataFrame:
     """Cast the lookup ids to text and stamp ``updated_at``.
 
     ``updated_at`` defaults to the processing time, as in a live feed; pass a
     column to sequence by event time instead (tests, replays).  Duplicate rows
-    are kept.
+    are kept.  ``keep`` carries extra columns through (e.g. the source
+    position used as SCD2 tiebreak).
     """
     if updated_at is None:
         stamp = F.current_timestamp()
@@ -38,6 +40,7 @@ def clean_thread_lookup(df: DataFrame, updated_at: str | Column | None = None) -
         F.col("user_id").cast("string").alias("user_id"),
         F.col("team").cast("string").alias("team"),
         stamp.alias("updated_at"),
+        *keep,
     )
 
 

@@ -42,6 +42,7 @@ from threadlens.operators.enrich import SILVER_COLUMNS, clean_thread_lookup, par
 from threadlens.operators.expectations import apply_rules, observe_rules
 from threadlens.plans.layers import LOOKUP_RULES, SILVER_RULES, TRACKED
 from threadlens.session import ensure_defaults, publish
+from threadlens.sources.csv_feed import SOURCE_FILE, SOURCE_LINE
 from threadlens.streaming import ingest, scd2_stream
 
 
@@ -78,10 +79,13 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     # 2. bronze lookup + CDC into the history, per micro-batch
     def fold(batch: DataFrame, batch_id: int) -> None:
         new_batches["lookup"].append(batch_id)
-        cleaned = apply_rules(clean_thread_lookup(batch), LOOKUP_RULES, "drop")
+        # one processing time per micro-batch: deliveries of the same batch are
+        # ordered by their source file name and position in it
+        origin = [SOURCE_FILE, SOURCE_LINE]
+        cleaned = apply_rules(clean_thread_lookup(batch, keep=origin), LOOKUP_RULES, "drop")
         scd2_stream.apply_changes(cleaned, batch_id, t.thread_lookup_log, t.silver_thread_lookup_history,
-                                  keys=["thread_id"], sequence_by="updated_at", track_columns=TRACKED,
-                                  buckets=buckets)
+                                  keys=["thread_id"], sequence_by="updated_at", tiebreak=origin,
+                                  track_columns=TRACKED, buckets=buckets)
 
     ingest.ingest_csv(spark, f"{raw_dir}/{lookup_files}", LOOKUP_FEED_COLUMNS,
                       t.bronze_thread_lookup_stream, f"{chk}/bronze_thread_lookup_stream", on_batch=fold)

@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from threadlens.functions.schemas import INGESTED_AT, RESCUE_COLUMN
 
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
+SOURCE_FILE = "_source_file"
+SOURCE_LINE = "_source_line"
 
 
 def _clean_name(c: Column) -> Column:
@@ -86,15 +88,18 @@ def parse_by_name(lines: DataFrame, expected: list[str], options: dict | None =
     data = lines.join(F.broadcast(headers), "file_path", "inner").filter(
         F.col("line_no") != F.col("_header_no")
     ).filter(F.length(F.trim("line")) > 0)
-    return bind_by_name(data.select("line", "file_path", "_names", _cells(F.col("line"), width, opts).alias("_cells")),
-                        expected)
+    return bind_by_name(data.select("line", "file_path", F.col("line_no").alias("_pos"), "_names",
+                                    _cells(F.col("line"), width, opts).alias("_cells")), expected)
 
 
 def bind_by_name(rows: DataFrame, expected: list[str]) -> DataFrame:
-    """Rows (line, file_path, _names, _cells) -> expected columns + rescue.
+    """Rows (line, file_path, _pos, _names, _cells) -> expected columns + rescue.
 
     ``_names`` is the file's header, ``_cells`` the record's cells, both
-    positional; the record text ``line`` is kept only for rescued rows.
+    positional; the record text ``line`` is kept only for rescued rows.  The
+    record's origin is kept as ``_source_file`` and ``_source_line`` (its
+    position within the file's read order), which orders deliveries that
+    share an ingestion time.
     """
     n_names = F.size(F.filter("_names", lambda c: c.isNotNull()))
     n_cells = F.size(F.filter("_cells", lambda c: c.isNotNull()))
@@ -114,7 +119,8 @@ def bind_by_name(rows: DataFrame, expected: list[str]) -> DataFrame:
         .when(F.size(extra_names) > 0,
               F.to_json(F.map_concat(extras, F.create_map(F.lit("_file_path"), F.col("file_path")))))
     )
-    return rows.select(*[cell(c).alias(c) for c in expected], rescue.alias(RESCUE_COLUMN))
+    return rows.select(*[cell(c).alias(c) for c in expected], rescue.alias(RESCUE_COLUMN),
+                       F.col("file_path").alias(SOURCE_FILE), F.col("_pos").alias(SOURCE_LINE))
 
 
 def multiline_records(reader, paths, width: int, options: dict | None = None) -> DataFrame:
@@ -152,7 +158,8 @@ def bind_multiline(records: DataFrame, expected: list[str]) -> DataFrame:
     ).select("file_path", "_header_no", F.transform("_header", _clean_name).alias("_names"))
     data = numbered.join(F.broadcast(headers), "file_path", "inner").filter(
         F.col("_row_no") != F.col("_header_no"))
-    return bind_by_name(data.select("line", "file_path", "_names", "_cells"), expected)
+    return bind_by_name(data.select("line", "file_path", F.col("_row_no").alias("_pos"), "_names", "_cells"),
+                        expected)
 
 
 MAX_FILES = 10_000  # bound of the broadcast per-file header table
