@@ -61,6 +61,13 @@ def test_refresh_twice(spark, scratch):
     assert gold.select(cols).exceptAll(want.select(cols)).count() == 0
     assert want.select(cols).exceptAll(gold.select(cols)).count() == 0
     assert gold.filter("user_id = 'user_2'").count() == 0
+    # silver was rewritten for touched dates only, and equals a full recompute
+    full = spark.read.parquet(f"{out}/checkpoints_parsed").drop("_batch").join(
+        read_history(spark, f"{out}/silver_thread_lookup_history").filter("__END_AT IS NULL")
+        .select("thread_id", "user_id", "team"), "thread_id", "left")
+    scols = ["thread_id", "checkpoint_id", "checkpoint_date", "user_id", "team"]
+    assert silver.count() == full.count() == 5
+    assert silver.select(scols).exceptAll(full.select(scols)).count() == 0
     history = read_history(spark, f"{out}/silver_thread_lookup_history")
     versions = sorted((r.team, r["__END_AT"] is None) for r in history.filter("thread_id = 'thread_2'").collect())
     assert versions == [("team_alpha", True), ("team_beta", False)]

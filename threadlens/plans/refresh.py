@@ -11,8 +11,8 @@ each step a plain Spark job reading the previous step's table:
 3. ``silver_checkpoints`` = parsed checkpoints LEFT JOIN the current owner.
    Every bronze batch is parsed and checked once, as it arrives
    (``checkpoints_parsed``, partitioned by batch and date); the silver table
-   itself is written in full, like the reference's view, unless
-   ``materialize_silver=False``;
+   (skipped with ``materialize_silver=False``) is rewritten for the touched
+   dates only, like gold below;
 4. gold tables: recomputed for the touched dates only -- dates of newly
    ingested checkpoints, and every date of threads whose ownership changed
    (silver joins the *current* owner, so an ownership change re-attributes
@@ -56,7 +56,7 @@ class Tables:
 
 def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
             checkpoint_files: str = "checkpoints_*.csv", lookup_files: str = "thread_teams_*.csv",
-            buckets: int = 64, incremental_gold: bool = True, materialize_silver: bool = True) -> dict:
+            buckets: int = 64, incremental: bool = True, materialize_silver: bool = True) -> dict:
     ensure_defaults(spark)
     t = Tables(out_dir)
     chk = f"{out_dir.rstrip('/')}/_checkpoints"
@@ -99,20 +99,22 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     owners = scd2.current(history).select("thread_id", "user_id", "team")
     parsed = spark.read.parquet(t.checkpoints_parsed).select(*SILVER_COLUMNS)
     silver_view = parsed.join(owners, "thread_id", "left")
+
+    # Touched dates: the only silver/gold partitions this update can change.
+    # The date filter prunes the parsed table's date partitions, so the owner
+    # join and the aggregates run on those dates only.
+    if incremental and (new_batches["checkpoints"] or new_batches["lookup"]):
+        dates = touched_dates(spark, t, parsed, new_batches)
+        source = silver_view.join(dates, "checkpoint_date", "left_semi")
+    else:
+        source = silver_view
     if materialize_silver:
-        replace_table(spark, t.silver_checkpoints, lambda path: upkeep.write_clustered(
-            silver_view, path, ["thread_id"], partition_by=["checkpoint_date"]))
+        upkeep.write_clustered(source, t.silver_checkpoints, ["thread_id"], partition_by=["checkpoint_date"])
         silver = spark.read.parquet(t.silver_checkpoints)
     else:
         silver = silver_view
 
-    # 4. gold, touched dates only: the date filter prunes the parsed table's
-    #    date partitions, so the owner join runs on those dates only
-    if incremental_gold and (new_batches["checkpoints"] or new_batches["lookup"]):
-        dates = touched_dates(spark, t, silver_view, new_batches)
-        source = silver_view.join(dates, "checkpoint_date", "left_semi")
-    else:
-        source = silver_view
+    # 4. gold, touched dates only
     upkeep.write_clustered(metrics.gold_user_team_metrics(source), t.gold_user_team_metrics,
                            ["team", "user_id"], partition_by=["checkpoint_date"])
     upkeep.write_clustered(metrics.gold_team_summary(source), t.gold_team_summary,
@@ -166,8 +168,8 @@ def log_expectations(spark: SparkSession, path: str, dataset: str, rules, counts
      .write.mode("append").parquet(path))
 
 
-def touched_dates(spark: SparkSession, t: Tables, silver: DataFrame, new_batches: dict) -> DataFrame:
-    """Dates whose gold rows can change in this update (distributed, distinct)."""
+def touched_dates(spark: SparkSession, t: Tables, parsed: DataFrame, new_batches: dict) -> DataFrame:
+    """Dates whose silver and gold rows can change in this update (distributed, distinct)."""
     parts = []
     if new_batches["checkpoints"]:
         # partition values of the new parsed batches: no data columns read
@@ -178,7 +180,7 @@ def touched_dates(spark: SparkSession, t: Tables, silver: DataFrame, new_batches
         moved = (spark.read.parquet(t.bronze_thread_lookup_stream)
                  .filter(F.col(ingest.BATCH_COL).isin(new_batches["lookup"]))
                  .select("thread_id").distinct())
-        parts.append(silver.join(moved, "thread_id", "left_semi").select("checkpoint_date"))
+        parts.append(parsed.join(moved, "thread_id", "left_semi").select("checkpoint_date"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
