@@ -16,140 +16,110 @@ from threadlens.operators.metrics import USER_TEAM_RULES
 from threadlens.operators.expectations import all_pass
 
 
-def _row(name: str, frame: DataFrame, observed: Column, threshold: float, passed) -> DataFrame:
-    return frame.agg(observed.cast("double").alias("observed")).select(
-        F.lit(name).alias("check"),
-        "observed",
-        F.lit(float(threshold)).alias("threshold"),
-        passed(F.col("observed")).alias("passed"),
-    )
-
-
-def _pair(a: DataFrame, a_agg: Column, b: DataFrame, b_agg: Column, a_name: str, b_name: str) -> DataFrame:
-    """Two global aggregates of different frames side by side in one row.
+def _metrics(name_value_frames: list[DataFrame]) -> DataFrame:
+    """One row with every metric as a column, from one-row aggregate frames.
 
-    A union of the two one-row results folded by a global aggregate, rather
-    than a join without keys.
+    Each frame is unpivoted to (metric, value) rows, the frames are unioned
+    and folded back by one global aggregate: no join without keys.
     """
-    both = a.agg(a_agg.cast("double").alias("_v")).select(F.lit(0).alias("_w"), "_v").unionByName(
-        b.agg(b_agg.cast("double").alias("_v")).select(F.lit(1).alias("_w"), "_v"))
-    return both.agg(
-        F.max(F.when(F.col("_w") == 0, F.col("_v"))).alias(a_name),
-        F.max(F.when(F.col("_w") == 1, F.col("_v"))).alias(b_name),
-    )
-
-
-def _ratio_below(limit):
-    return lambda o: F.coalesce(o < limit, F.lit(True))
-
-
-def _ratio_at_least(limit):
-    return lambda o: F.coalesce(o >= limit, F.lit(True))
-
-
-def _zero(o):
-    return o == 0
+    long = None
+    for df in name_value_frames:
+        cols = df.columns
+        pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+        part = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (metric, value)")
+        long = part if long is None else long.unionByName(part)
+    names = [c for df in name_value_frames for c in df.columns]
+    return long.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
 
 
 def run_checks(bronze: DataFrame, lookup_feed: DataFrame, history: DataFrame,
                owners: DataFrame, silver: DataFrame, gold_user: DataFrame,
                gold_team: DataFrame, as_of=None) -> DataFrame:
-    cnt = F.count(F.lit(1))
-    rows: list[DataFrame] = []
-
-    # V1 history threads <= feed threads
-    rows.append(
-        _pair(history, F.countDistinct("thread_id"), lookup_feed, F.countDistinct("thread_id"),
-              "h", "n").select(
-            F.lit("history_threads_within_feed").alias("check"),
-            F.col("h").cast("double").alias("observed"),
-            F.col("n").cast("double").alias("threshold"),
-            (F.col("h") <= F.col("n")).alias("passed"),
-        )
-    )
+    """One row per check: (check, observed, threshold, passed).
 
-    # V2 orphan thread ratio < 0.5
-    threads = silver.select("thread_id").distinct()
-    marked = threads.join(
-        owners.select("thread_id", F.lit(1).alias("_owned")).distinct(), "thread_id", "left"
+    Checks on a single table share one aggregate over it (silver, gold and
+    bronze are each scanned once for all of them); only the distinct counts
+    and the reconciliations at equal grain have plans of their own.
+    """
+    cnt = F.count(F.lit(1))
+    lo, hi = F.lit("2020-01-01").cast("timestamp"), F.lit("2030-12-31").cast("timestamp")
+    ts = F.col("checkpoint_ts")
+    silver_m = silver.agg(
+        cnt.alias("s_rows"),
+        F.count_if(F.col("thread_id").isNull()).alias("s_null_thread"),
+        F.count_if(F.col("user_id").isNull()).alias("s_null_user"),
+        F.count_if((ts < lo) | (ts > hi)).alias("s_out_of_range"),
+        F.count_if(F.col("thread_id").isNotNull()).alias("s_with_thread"),
+        F.count_if(F.col("thread_id").isNotNull() & F.col("user_id").isNotNull()).alias("s_with_user"),
+        F.count_if(all_pass(USER_TEAM_RULES)).alias("s_gold_rows"),
+        F.unix_date(F.to_date(F.max(ts))).alias("s_newest_day"),
     )
-    rows.append(_row("orphan_thread_ratio", marked,
-                     F.try_divide(F.count_if(F.col("_owned").isNull()), cnt), 0.5, _ratio_below(0.5)))
-
-    # V3 sum of gold counts == silver rows that pass the gold rules
-    rows.append(
-        _pair(gold_user, F.coalesce(F.sum("checkpoint_count"), F.lit(0)),
-              silver, F.count_if(all_pass(USER_TEAM_RULES)), "g", "s").select(
-            F.lit("gold_sum_equals_silver_rows").alias("check"),
-            F.col("g").cast("double").alias("observed"),
-            F.col("s").cast("double").alias("threshold"),
-            (F.col("g") == F.col("s")).alias("passed"),
-        )
+    gold_m = gold_user.agg(
+        cnt.alias("g_rows"),
+        F.coalesce(F.sum("checkpoint_count"), F.lit(0)).alias("g_sum"),
+        F.count_if(F.col("checkpoint_count") <= 0).alias("g_nonpositive"),
+        F.count_if(F.col("first_checkpoint_ts") > F.col("last_checkpoint_ts")).alias("g_misordered"),
     )
-
-    # V4 no NULL thread ids; V5 NULL user ratio < 0.2
-    rows.append(_row("null_thread_ids", silver, F.count_if(F.col("thread_id").isNull()), 0, _zero))
-    rows.append(_row("null_user_ratio", silver,
-                     F.try_divide(F.count_if(F.col("user_id").isNull()), cnt), 0.2, _ratio_below(0.2)))
-
-    # V6 timestamps within 2020-01-01 .. 2030-12-31
-    lo, hi = F.lit("2020-01-01").cast("timestamp"), F.lit("2030-12-31").cast("timestamp")
-    rows.append(_row("timestamps_out_of_range", silver,
-                     F.count_if((F.col("checkpoint_ts") < lo) | (F.col("checkpoint_ts") > hi)), 0, _zero))
-
-    # V7 positive counts
-    rows.append(_row("nonpositive_counts", gold_user, F.count_if(F.col("checkpoint_count") <= 0), 0, _zero))
-
-    # V8 team summary == re-aggregated user metrics, per (team, date)
+    bronze_m = bronze.agg(cnt.alias("b_rows"))
+    # V1: distinct threads of the history and of the feed
+    hist_m = history.agg(F.countDistinct("thread_id").alias("h_threads"))
+    feed_m = lookup_feed.agg(F.countDistinct("thread_id").alias("f_threads"))
+    # V2: checkpoint threads without a current owner
+    marked = silver.select("thread_id").distinct().join(
+        owners.select("thread_id", F.lit(1).alias("_owned")).distinct(), "thread_id", "left")
+    orphan_m = marked.agg(cnt.alias("o_threads"), F.count_if(F.col("_owned").isNull()).alias("o_orphans"))
+    # V8: team summary == re-aggregated user metrics, per (team, date)
     from_users = gold_user.groupBy("team", "checkpoint_date").agg(
         F.sum("checkpoint_count").alias("_c"), F.countDistinct("user_id").alias("_u"))
-    cmp8 = gold_team.join(from_users, ["team", "checkpoint_date"], "full_outer")
-    rows.append(_row("team_totals_match_user_metrics", cmp8,
-                     F.count_if(~F.coalesce((F.col("checkpoint_count") == F.col("_c"))
-                                            & (F.col("user_count") == F.col("_u")), F.lit(False))),
-                     0, _zero))
-
-    # V9 user mapping coverage >= 0.8
-    valid = silver.filter(F.col("thread_id").isNotNull())
-    rows.append(_row("user_mapping_coverage", valid,
-                     F.try_divide(F.count_if(F.col("user_id").isNotNull()), cnt), 0.8, _ratio_at_least(0.8)))
-
-    # V10 team coverage >= 0.8
-    s_teams = silver.filter(F.col("team").isNotNull()).select("team").distinct()
-    g_teams = gold_team.select("team", F.lit(1).alias("_g")).distinct()
-    cov = s_teams.join(g_teams, "team", "left")
-    rows.append(_row("team_coverage", cov,
-                     F.try_divide(F.count_if(F.col("_g").isNotNull()), cnt), 0.8, _ratio_at_least(0.8)))
-
-    # V11 gold counts == silver detail, per (date, user, team)
+    v8_m = gold_team.join(from_users, ["team", "checkpoint_date"], "full_outer").agg(
+        F.count_if(~F.coalesce((F.col("checkpoint_count") == F.col("_c"))
+                               & (F.col("user_count") == F.col("_u")), F.lit(False))).alias("v8_mismatch"))
+    # Teams of silver present in the team summary
+    covered = silver.filter(F.col("team").isNotNull()).select("team").distinct().join(
+        gold_team.select("team", F.lit(1).alias("_g")).distinct(), "team", "left")
+    v10_m = covered.agg(cnt.alias("t_teams"), F.count_if(F.col("_g").isNotNull()).alias("t_covered"))
+    # Gold counts == silver detail, per (date, user, team)
     detail = silver.filter(all_pass(USER_TEAM_RULES)).groupBy(
-        "checkpoint_date", "user_id", "team").agg(F.count(F.lit(1)).alias("_n"))
-    cmp11 = gold_user.join(detail, ["checkpoint_date", "user_id", "team"], "full_outer")
-    rows.append(_row("gold_counts_match_silver_detail", cmp11,
-                     F.count_if(~F.coalesce(F.col("checkpoint_count") == F.col("_n"), F.lit(False))),
-                     0, _zero))
-
-    # V12 first <= last
-    rows.append(_row("first_not_after_last", gold_user,
-                     F.count_if(F.col("first_checkpoint_ts") > F.col("last_checkpoint_ts")), 0, _zero))
-
-    # V13 every layer non-empty (smallest layer row count)
-    sizes = (bronze.agg(cnt.alias("n"))
-             .unionByName(silver.agg(cnt.alias("n")))
-             .unionByName(gold_user.agg(cnt.alias("n"))))
-    rows.append(_row("smallest_layer_rows", sizes, F.min("n"), 1, lambda o: o >= 1))
-
-    # V14 freshness: newest checkpoint within 730 days of as_of
+        "checkpoint_date", "user_id", "team").agg(cnt.alias("_n"))
+    v11_m = gold_user.join(detail, ["checkpoint_date", "user_id", "team"], "full_outer").agg(
+        F.count_if(~F.coalesce(F.col("checkpoint_count") == F.col("_n"), F.lit(False))).alias("v11_mismatch"))
+
+    m = _metrics([silver_m, gold_m, bronze_m, hist_m, feed_m, orphan_m, v8_m, v10_m, v11_m])
+    c = F.col
+
+    def ratio(a: str, b: str):
+        return F.try_divide(c(a), c(b))
+
+    checks = [
+        ("history_threads_within_feed", c("h_threads"), c("f_threads"), c("h_threads") <= c("f_threads")),
+        ("orphan_thread_ratio", ratio("o_orphans", "o_threads"), F.lit(0.5),
+         F.coalesce(ratio("o_orphans", "o_threads") < 0.5, F.lit(True))),
+        ("gold_sum_equals_silver_rows", c("g_sum"), c("s_gold_rows"), c("g_sum") == c("s_gold_rows")),
+        ("null_thread_ids", c("s_null_thread"), F.lit(0.0), c("s_null_thread") == 0),
+        ("null_user_ratio", ratio("s_null_user", "s_rows"), F.lit(0.2),
+         F.coalesce(ratio("s_null_user", "s_rows") < 0.2, F.lit(True))),
+        ("timestamps_out_of_range", c("s_out_of_range"), F.lit(0.0), c("s_out_of_range") == 0),
+        ("nonpositive_counts", c("g_nonpositive"), F.lit(0.0), c("g_nonpositive") == 0),
+        ("team_totals_match_user_metrics", c("v8_mismatch"), F.lit(0.0), c("v8_mismatch") == 0),
+        ("user_mapping_coverage", ratio("s_with_user", "s_with_thread"), F.lit(0.8),
+         F.coalesce(ratio("s_with_user", "s_with_thread") >= 0.8, F.lit(True))),
+        ("team_coverage", ratio("t_covered", "t_teams"), F.lit(0.8),
+         F.coalesce(ratio("t_covered", "t_teams") >= 0.8, F.lit(True))),
+        ("gold_counts_match_silver_detail", c("v11_mismatch"), F.lit(0.0), c("v11_mismatch") == 0),
+        ("first_not_after_last", c("g_misordered"), F.lit(0.0), c("g_misordered") == 0),
+        ("smallest_layer_rows", F.least(c("b_rows"), c("s_rows"), c("g_rows")), F.lit(1.0),
+         F.least(c("b_rows"), c("s_rows"), c("g_rows")) >= 1),
+    ]
     if as_of is not None:
         day = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("date")
-        rows.append(_row("days_since_newest_checkpoint", silver,
-                         F.date_diff(day, F.to_date(F.max("checkpoint_ts"))), 730,
-                         lambda o: F.coalesce(o <= 730, F.lit(False))))
-
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+        age = (F.unix_date(day) - c("s_newest_day")).cast("double")
+        checks.append(("days_since_newest_checkpoint", age, F.lit(730.0), F.coalesce(age <= 730, F.lit(False))))
+    rows = F.array(*[
+        F.struct(F.lit(n).alias("check"), o.cast("double").alias("observed"),
+                 t.cast("double").alias("threshold"), p.alias("passed"))
+        for n, o, t, p in checks
+    ])
+    return m.select(F.inline(rows))
 
 
 def missing_columns(df: DataFrame, required: dict[str, DataType | None]) -> list[str]:
