@@ -92,3 +92,18 @@ def test_same_batch_deliveries_follow_file_order(spark, scratch):
     assert current == ["team_c"] and hist.count() == 3
     gold = spark.read.parquet(f"{out}/gold_user_team_metrics").first()
     assert gold.team == "team_c"
+
+
+def test_optimize_refresh_tables(spark, scratch):
+    from threadlens.operators.upkeep import optimize_tables
+
+    raw, out = f"{scratch}/raw", f"{scratch}/out"
+    for i in range(3):
+        _write(f"{raw}/checkpoints_{i}.csv", HEADER + cp_line("thread_1", f"checkpoint_{i}", f"2026-04-0{i + 1}T10:00:00Z", 1))
+    _write(f"{raw}/thread_teams_1.csv", "thread_id,user_id,team\nthread_1,user_1,team_a\n")
+    refresh(spark, raw, out)
+    before = sorted(map(tuple, spark.read.parquet(f"{out}/gold_user_team_metrics").collect()))
+    inv = {r.table_name: r.num_files for r in optimize_tables(spark, out, force=True).collect()}
+    after = sorted(map(tuple, spark.read.parquet(f"{out}/gold_user_team_metrics").collect()))
+    assert after == before and set(inv) == {"silver_checkpoints", "gold_user_team_metrics", "gold_team_summary"}
+    assert all(n >= 1 for n in inv.values())

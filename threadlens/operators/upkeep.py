@@ -123,6 +123,55 @@ def compact(spark: SparkSession, src: str, dst: str, cluster_by: list[str],
     return file_inventory(spark, {"compacted": dst})
 
 
+def optimize_table(spark: SparkSession, path: str, cluster_by: list[str],
+                   partition_by: list[str] | None = None, target_file_mb: int = 128,
+                   zorder: bool = False, bits: int = 10) -> None:
+    """M1 in place: rewrite a table clustered into files of about ``target_file_mb``.
+
+    The new layout is written beside the table and swapped in by rename
+    (``session.publish``), so readers see the old or the new table, never a
+    half-written one.  Partition folders (``partition_by``) are kept.
+    """
+    from threadlens.session import publish
+
+    df = spark.read.parquet(path)
+    num_files = max(1, -(-_input_bytes(df) // (target_file_mb * 1024 * 1024)))
+    keys = list(partition_by or [])
+    laid = _layout(df, keys + [c for c in cluster_by if c not in keys], num_files, zorder, bits)
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    staged = f"{parent}/_optimizing_{name}"
+    writer = laid.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(staged)
+    publish(spark, staged, path)
+
+
+# Layout of the tables written by ``plans.refresh``: (cluster columns, partition columns).
+# The streaming tables keep their per-batch folders and are not rewritten.
+REFRESH_LAYOUT = {
+    "silver_checkpoints": (["thread_id"], ["checkpoint_date"]),
+    "gold_user_team_metrics": (["team", "user_id"], ["checkpoint_date"]),
+    "gold_team_summary": (["team"], ["checkpoint_date"]),
+}
+
+
+def optimize_tables(spark: SparkSession, out_dir: str, force: bool = False,
+                    target_file_mb: int = 128) -> DataFrame:
+    """M1 for all tables of a refresh output: rewrite those with too many files.
+
+    The file inventory decides (``needs_compaction``) unless ``force``.  The
+    loop runs over the handful of table names; every rewrite is a Spark job.
+    Returns the inventory after the rewrites.
+    """
+    paths = {n: f"{out_dir.rstrip('/')}/{n}" for n in REFRESH_LAYOUT}
+    inventory = {r.table_name: r.needs_compaction for r in file_inventory(spark, paths).collect()}
+    for name, (cluster_by, partition_by) in REFRESH_LAYOUT.items():
+        if force or inventory.get(name):
+            optimize_table(spark, paths[name], cluster_by, partition_by, target_file_mb)
+    return file_inventory(spark, paths)
+
+
 def write_clustered(df: DataFrame, path: str, cluster_by: list[str], partition_by: list[str] | None = None,
                     num_partitions: int | None = None, after_layout=None) -> None:
     """K5/K6: clustered write; with ``partition_by`` only touched partitions are replaced.
