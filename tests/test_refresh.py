@@ -95,7 +95,7 @@ def test_same_batch_deliveries_follow_file_order(spark, scratch):
 
 
 def test_optimize_refresh_tables(spark, scratch):
-    from threadlens.operators.upkeep import optimize_tables
+    from threadlens.operators.upkeep import analyze_tables, optimize_tables
 
     raw, out = f"{scratch}/raw", f"{scratch}/out"
     for i in range(3):
@@ -107,3 +107,6 @@ def test_optimize_refresh_tables(spark, scratch):
     after = sorted(map(tuple, spark.read.parquet(f"{out}/gold_user_team_metrics").collect()))
     assert after == before and set(inv) == {"silver_checkpoints", "gold_user_team_metrics", "gold_team_summary"}
     assert all(n >= 1 for n in inv.values())
+    stats = {(r.table_name, r.column_name): r for r in analyze_tables(spark, out).collect()}
+    r = stats[("gold_user_team_metrics", "checkpoint_count")]
+    assert (r.row_count, r.null_count, r.min_value, r.max_value) == (3, 0, "1", "1")

@@ -172,6 +172,19 @@ def optimize_tables(spark: SparkSession, out_dir: str, force: bool = False,
     return file_inventory(spark, paths)
 
 
+def analyze_tables(spark: SparkSession, out_dir: str, approx: bool = True) -> DataFrame:
+    """M2 for all tables of a refresh output: ``column_stats`` per table.
+
+    One aggregate per table (every column at once), tagged with the table name.
+    """
+    out = None
+    for name in REFRESH_LAYOUT:
+        stats = column_stats(spark.read.parquet(f"{out_dir.rstrip('/')}/{name}"), approx=approx)
+        part = stats.select(F.lit(name).alias("table_name"), *stats.columns)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def write_clustered(df: DataFrame, path: str, cluster_by: list[str], partition_by: list[str] | None = None,
                     num_partitions: int | None = None, after_layout=None) -> None:
     """K5/K6: clustered write; with ``partition_by`` only touched partitions are replaced.
