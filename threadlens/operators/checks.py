@@ -15,6 +15,14 @@ from pyspark.sql.types import DataType
 from threadlens.operators.metrics import USER_TEAM_RULES
 from threadlens.operators.expectations import all_pass
 
+# Fixed values (thresholds of the reference's consistency checks):
+ORPHAN_RATIO_MAX = 0.5        # share of checkpoint threads without an owner
+NULL_USER_RATIO_MAX = 0.2     # share of silver rows without a user
+USER_COVERAGE_MIN = 0.8       # share of silver rows with a user
+TEAM_COVERAGE_MIN = 0.8       # share of silver teams present in the team summary
+TS_MIN, TS_MAX = "2020-01-01", "2030-12-31"   # plausible checkpoint time range
+FRESHNESS_DAYS = 730          # newest checkpoint at most this old
+
 
 def _metrics(name_value_frames: list[DataFrame]) -> DataFrame:
     """One row with every metric as a column, from one-row aggregate frames.
@@ -42,7 +50,7 @@ def run_checks(bronze: DataFrame, lookup_feed: DataFrame, history: DataFrame,
     and the reconciliations at equal grain have plans of their own.
     """
     cnt = F.count(F.lit(1))
-    lo, hi = F.lit("2020-01-01").cast("timestamp"), F.lit("2030-12-31").cast("timestamp")
+    lo, hi = F.lit(TS_MIN).cast("timestamp"), F.lit(TS_MAX).cast("timestamp")
     ts = F.col("checkpoint_ts")
     silver_m = silver.agg(
         cnt.alias("s_rows"),
@@ -92,19 +100,19 @@ def run_checks(bronze: DataFrame, lookup_feed: DataFrame, history: DataFrame,
 
     checks = [
         ("history_threads_within_feed", c("h_threads"), c("f_threads"), c("h_threads") <= c("f_threads")),
-        ("orphan_thread_ratio", ratio("o_orphans", "o_threads"), F.lit(0.5),
-         F.coalesce(ratio("o_orphans", "o_threads") < 0.5, F.lit(True))),
+        ("orphan_thread_ratio", ratio("o_orphans", "o_threads"), F.lit(ORPHAN_RATIO_MAX),
+         F.coalesce(ratio("o_orphans", "o_threads") < ORPHAN_RATIO_MAX, F.lit(True))),
         ("gold_sum_equals_silver_rows", c("g_sum"), c("s_gold_rows"), c("g_sum") == c("s_gold_rows")),
         ("null_thread_ids", c("s_null_thread"), F.lit(0.0), c("s_null_thread") == 0),
-        ("null_user_ratio", ratio("s_null_user", "s_rows"), F.lit(0.2),
-         F.coalesce(ratio("s_null_user", "s_rows") < 0.2, F.lit(True))),
+        ("null_user_ratio", ratio("s_null_user", "s_rows"), F.lit(NULL_USER_RATIO_MAX),
+         F.coalesce(ratio("s_null_user", "s_rows") < NULL_USER_RATIO_MAX, F.lit(True))),
         ("timestamps_out_of_range", c("s_out_of_range"), F.lit(0.0), c("s_out_of_range") == 0),
         ("nonpositive_counts", c("g_nonpositive"), F.lit(0.0), c("g_nonpositive") == 0),
         ("team_totals_match_user_metrics", c("v8_mismatch"), F.lit(0.0), c("v8_mismatch") == 0),
-        ("user_mapping_coverage", ratio("s_with_user", "s_with_thread"), F.lit(0.8),
-         F.coalesce(ratio("s_with_user", "s_with_thread") >= 0.8, F.lit(True))),
-        ("team_coverage", ratio("t_covered", "t_teams"), F.lit(0.8),
-         F.coalesce(ratio("t_covered", "t_teams") >= 0.8, F.lit(True))),
+        ("user_mapping_coverage", ratio("s_with_user", "s_with_thread"), F.lit(USER_COVERAGE_MIN),
+         F.coalesce(ratio("s_with_user", "s_with_thread") >= USER_COVERAGE_MIN, F.lit(True))),
+        ("team_coverage", ratio("t_covered", "t_teams"), F.lit(TEAM_COVERAGE_MIN),
+         F.coalesce(ratio("t_covered", "t_teams") >= TEAM_COVERAGE_MIN, F.lit(True))),
         ("gold_counts_match_silver_detail", c("v11_mismatch"), F.lit(0.0), c("v11_mismatch") == 0),
         ("first_not_after_last", c("g_misordered"), F.lit(0.0), c("g_misordered") == 0),
         ("smallest_layer_rows", F.least(c("b_rows"), c("s_rows"), c("g_rows")), F.lit(1.0),
@@ -113,7 +121,8 @@ def run_checks(bronze: DataFrame, lookup_feed: DataFrame, history: DataFrame,
     if as_of is not None:
         day = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("date")
         age = (F.unix_date(day) - c("s_newest_day")).cast("double")
-        checks.append(("days_since_newest_checkpoint", age, F.lit(730.0), F.coalesce(age <= 730, F.lit(False))))
+        checks.append(("days_since_newest_checkpoint", age, F.lit(float(FRESHNESS_DAYS)),
+                       F.coalesce(age <= FRESHNESS_DAYS, F.lit(False))))
     rows = F.array(*[
         F.struct(F.lit(n).alias("check"), o.cast("double").alias("observed"),
                  t.cast("double").alias("threshold"), p.alias("passed"))
