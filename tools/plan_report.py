@@ -29,6 +29,7 @@ def summarise(plan: str) -> dict:
         "nested-loop/cartesian": plan.count("NestedLoopJoin") + plan.count("CartesianProduct"),
         "Expand": plan.count("Expand ["),
         "Window": plan.count("Window ["),
+        "Generate": plan.count("Generate "),
         "read columns": sorted(set(re.findall(r"ReadSchema: (struct<[^>]*>)", plan))),
         "pushed filters": sorted(set(f for f in re.findall(r"PushedFilters: (\[[^\]]*\])", plan) if f != "[]")),
     }
