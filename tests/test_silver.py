@@ -78,3 +78,39 @@ def test_bad_payloads_drop_without_failing(spark):
 def test_empty_input(spark, thread_lookup, raw_checkpoints):
     out = enrich_checkpoints(raw_checkpoints.limit(0), thread_lookup)
     assert out.count() == 0
+
+
+def test_hot_thread_join_is_split_by_aqe(spark):
+    """A thread with a third of all checkpoints: AQE splits its join partition."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",          # force a shuffled join
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30000
+        cp = '{"v":"4","id":"c","ts":"2024-01-01 00:00:00"}'
+        facts = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), (F.col("id") % 997).cast("string"))).alias("thread_id"),
+            F.lit("ns").alias("checkpoint_ns"), F.col("id").cast("string").alias("checkpoint_id"),
+            F.lit(None).cast("string").alias("parent_checkpoint_id"), F.lit("checkpoint").alias("type"),
+            F.lit(cp).alias("checkpoint"), F.lit('{"step":"1"}').alias("metadata"))
+        owners = spark.range(997).select(F.concat(F.lit("t"), F.col("id").cast("string")).alias("thread_id"),
+                                         F.lit("u").alias("user_id"), F.lit("x").alias("team")) \
+            .unionByName(spark.createDataFrame([("hot", "uh", "y")], "thread_id string, user_id string, team string"))
+        per_team = enrich_checkpoints(facts, owners).groupBy("team").count()
+        rows = per_team.collect()
+        assert {r.team: r["count"] for r in rows} == {"y": n // 3, "x": n - n // 3}
+        plan = per_team._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
