@@ -110,3 +110,17 @@ def test_optimize_refresh_tables(spark, scratch):
     stats = {(r.table_name, r.column_name): r for r in analyze_tables(spark, out).collect()}
     r = stats[("gold_user_team_metrics", "checkpoint_count")]
     assert (r.row_count, r.null_count, r.min_value, r.max_value) == (3, 0, "1", "1")
+
+
+def test_refresh_without_new_files_rewrites_nothing(spark, scratch):
+    import os as _os
+
+    raw, out = f"{scratch}/raw", f"{scratch}/out"
+    _write(f"{raw}/checkpoints_1.csv", HEADER + cp_line("thread_1", "checkpoint_1", "2026-04-01T10:00:00Z", 1))
+    _write(f"{raw}/thread_teams_1.csv", "thread_id,user_id,team\nthread_1,user_1,team_a\n")
+    refresh(spark, raw, out)
+    gold_dir = f"{out}/gold_user_team_metrics/checkpoint_date=2026-04-01"
+    before = sorted(_os.listdir(gold_dir))
+    assert refresh(spark, raw, out) == {"checkpoints": [], "lookup": []}
+    assert sorted(_os.listdir(gold_dir)) == before
+    assert spark.read.parquet(f"{out}/gold_user_team_metrics").count() == 1

@@ -41,7 +41,7 @@ from threadlens.operators import checks, metrics, monitor, scd2, upkeep
 from threadlens.operators.enrich import SILVER_COLUMNS, clean_thread_lookup, parse_checkpoints
 from threadlens.operators.expectations import apply_rules, observe_rules
 from threadlens.plans.layers import LOOKUP_RULES, SILVER_RULES, TRACKED
-from threadlens.session import ensure_defaults, publish
+from threadlens.session import ensure_defaults, path_exists, publish
 from threadlens.sources.csv_feed import SOURCE_FILE, SOURCE_LINE
 from threadlens.streaming import ingest, scd2_stream
 
@@ -93,32 +93,37 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     bronze = spark.read.parquet(t.bronze_checkpoints)
     history = scd2_stream.read_history(spark, t.silver_thread_lookup_history)
 
-    # 3. silver = parsed checkpoints LEFT JOIN the current owner.  The parsed
-    #    rows are never re-parsed; the table is materialized in full (as the
-    #    reference's view) unless materialize_silver=False.
+    # 3. silver = parsed checkpoints LEFT JOIN the current owner; the parsed
+    #    rows are never parsed again.  Touched dates are the only silver/gold
+    #    partitions this update can change: the date filter prunes the parsed
+    #    table's partitions, so the owner join and the aggregates run on those
+    #    dates only.  An update without new files rewrites nothing.
     owners = scd2.current(history).select("thread_id", "user_id", "team")
     parsed = spark.read.parquet(t.checkpoints_parsed).select(*SILVER_COLUMNS)
     silver_view = parsed.join(owners, "thread_id", "left")
-
-    # Touched dates: the only silver/gold partitions this update can change.
-    # The date filter prunes the parsed table's date partitions, so the owner
-    # join and the aggregates run on those dates only.
-    if incremental and (new_batches["checkpoints"] or new_batches["lookup"]):
+    changed = bool(new_batches["checkpoints"] or new_batches["lookup"])
+    if incremental and changed:
         dates = touched_dates(spark, t, parsed, new_batches)
         source = silver_view.join(dates, "checkpoint_date", "left_semi")
     else:
-        source = silver_view
+        dates, source = None, silver_view
+    rewrite = changed or not incremental or not path_exists(spark, t.gold_user_team_metrics)
     if materialize_silver:
-        upkeep.write_clustered(source, t.silver_checkpoints, ["thread_id"], partition_by=["checkpoint_date"])
+        if rewrite:
+            upkeep.write_clustered(source, t.silver_checkpoints, ["thread_id"], partition_by=["checkpoint_date"])
         silver = spark.read.parquet(t.silver_checkpoints)
+        # gold reads the silver partitions just written instead of joining again
+        if dates is not None:
+            source = silver.join(dates, "checkpoint_date", "left_semi")
     else:
         silver = silver_view
 
     # 4. gold, touched dates only
-    upkeep.write_clustered(metrics.gold_user_team_metrics(source), t.gold_user_team_metrics,
-                           ["team", "user_id"], partition_by=["checkpoint_date"])
-    upkeep.write_clustered(metrics.gold_team_summary(source), t.gold_team_summary,
-                           ["team"], partition_by=["checkpoint_date"])
+    if rewrite:
+        upkeep.write_clustered(metrics.gold_user_team_metrics(source), t.gold_user_team_metrics,
+                               ["team", "user_id"], partition_by=["checkpoint_date"])
+        upkeep.write_clustered(metrics.gold_team_summary(source), t.gold_team_summary,
+                               ["team"], partition_by=["checkpoint_date"])
 
     # 5. monitoring views
     gold_user = spark.read.parquet(t.gold_user_team_metrics)
