@@ -121,6 +121,8 @@ def test_refresh_without_new_files_rewrites_nothing(spark, scratch):
     refresh(spark, raw, out)
     gold_dir = f"{out}/gold_user_team_metrics/checkpoint_date=2026-04-01"
     before = sorted(_os.listdir(gold_dir))
+    checks_before = sorted(_os.listdir(f"{out}/check_results"))
     assert refresh(spark, raw, out) == {"checkpoints": [], "lookup": []}
     assert sorted(_os.listdir(gold_dir)) == before
+    assert sorted(_os.listdir(f"{out}/check_results")) == checks_before
     assert spark.read.parquet(f"{out}/gold_user_team_metrics").count() == 1

@@ -125,7 +125,9 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
         upkeep.write_clustered(metrics.gold_team_summary(source), t.gold_team_summary,
                                ["team"], partition_by=["checkpoint_date"])
 
-    # 5. monitoring views
+    # 5. monitoring views (skipped, like 6, when nothing changed)
+    if not rewrite and path_exists(spark, t.check_results):
+        return new_batches
     gold_user = spark.read.parquet(t.gold_user_team_metrics)
     gold_team = spark.read.parquet(t.gold_team_summary)
     views = {
