@@ -116,3 +116,21 @@ def test_byte_order_mark_in_header(spark, scratch):
     _write(f"{scratch}/raw/thread_teams_1.csv", "\ufeffthread_id,user_id,team\nt1,u1,a\n")
     r = read_feed(spark, f"{scratch}/raw/*.csv", LOOKUP_FEED_COLUMNS).first()
     assert (r.thread_id, r.user_id, r._rescued_data) == ("t1", "u1", None)
+
+
+def test_failed_batch_is_replayed_without_duplicates(spark, scratch):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    _write(f"{scratch}/raw/thread_teams_1.csv", "thread_id,user_id,team\nt1,u1,a\nt2,u2,b\n")
+    args = (spark, f"{scratch}/raw/*.csv", LOOKUP_FEED_COLUMNS, f"{scratch}/bronze", f"{scratch}/chk")
+
+    def crash(df, batch_id):  # after the batch folder is published, before the commit
+        raise RuntimeError("executor lost")
+
+    with pytest.raises(StreamingQueryException):
+        ingest.ingest_csv(*args, on_batch=crash)
+    assert ingest.read_table(spark, f"{scratch}/bronze").count() == 2   # written once
+    ingest.ingest_csv(*args)                                             # replays batch 0
+    t = ingest.read_table(spark, f"{scratch}/bronze")
+    assert t.count() == 2 and sorted(r._batch for r in t.collect()) == [0, 0]
