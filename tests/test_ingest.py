@@ -134,3 +134,34 @@ def test_failed_batch_is_replayed_without_duplicates(spark, scratch):
     ingest.ingest_csv(*args)                                             # replays batch 0
     t = ingest.read_table(spark, f"{scratch}/bronze")
     assert t.count() == 2 and sorted(r._batch for r in t.collect()) == [0, 0]
+
+
+def test_scd2_batch_failing_between_log_and_history_is_replayed(spark, scratch, monkeypatch):
+    import pytest
+
+    kw = dict(keys=["thread_id"], sequence_by="updated_at", tiebreak=["event_id"], track_columns=["team"], buckets=4)
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    feed = events.select(F.concat(F.lit("t"), (F.col("user_id") % 5).cast("string")).alias("thread_id"),
+                         F.concat(F.lit("team_"), (F.col("event_id") % 3).cast("string")).alias("team"),
+                         F.col("ts").alias("updated_at"), "event_id")
+    first, second = feed.randomSplit([0.5, 0.5], seed=11)
+    scd2_stream.apply_changes(first, 0, f"{scratch}/log", f"{scratch}/hist", **kw)
+
+    real = scd2_stream._write_batch
+
+    def failing(df, table_dir, batch_id):
+        if table_dir.endswith("hist"):
+            raise RuntimeError("driver lost before the history was published")
+        real(df, table_dir, batch_id)
+
+    monkeypatch.setattr(scd2_stream, "_write_batch", failing)
+    with pytest.raises(RuntimeError):
+        scd2_stream.apply_changes(second, 1, f"{scratch}/log", f"{scratch}/hist", **kw)
+    monkeypatch.setattr(scd2_stream, "_write_batch", real)
+    scd2_stream.apply_changes(second, 1, f"{scratch}/log", f"{scratch}/hist", **kw)   # replay
+
+    got = sorted(map(tuple, scd2_stream.read_history(spark, f"{scratch}/hist")
+                     .select("thread_id", "team", "__START_AT", "__END_AT").collect()), key=repr)
+    want = sorted(map(tuple, scd2.scd2_history(feed, **{k: v for k, v in kw.items() if k != "buckets"})
+                      .select("thread_id", "team", "__START_AT", "__END_AT").collect()), key=repr)
+    assert got == want and len(got) > 0
