@@ -73,11 +73,19 @@ class Layers:
     def lookup_tiebreak(self) -> list[str]:
         return ["event_id"] if "event_id" in self.lookup_feed.columns else []
 
+    @cached_property
+    def _split(self) -> bool:
+        """The hot-key decision, taken once for both histories of the feed."""
+        if self.split_hot_keys != "auto":
+            return bool(self.split_hot_keys)
+        rows = self.hot_key_rows or scd2.DEFAULT_HOT_KEY_ROWS
+        return scd2.has_hot_keys(self.lookup_feed.filter(F.col("updated_at").isNotNull()), ["thread_id"], rows)
+
     def _history(self, track):
         return scd2.scd2_history(
             self.lookup_feed, keys=["thread_id"], sequence_by="updated_at",
             tiebreak=self.lookup_tiebreak, track_columns=track,
-            split_hot_keys=self.split_hot_keys,
+            split_hot_keys=self._split,
             **({"hot_key_rows": self.hot_key_rows} if self.hot_key_rows else {}),
         )
 
