@@ -30,3 +30,4 @@ def test_sql_reports_over_views(spark):
         ORDER BY team, checkpoint_date""")
     assert dash.count() == reports.team_dashboard(L.gold_team, L.newest_date(), 30).count()
     assert spark.sql("SELECT COUNT(*) AS n FROM bronze_checkpoints WHERE _rescued_data IS NOT NULL").first().n > 0
+    assert spark.sql("SELECT COUNT(*) AS n FROM monitoring_null_percentages").first().n == 13
