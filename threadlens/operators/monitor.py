@@ -11,6 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HISTORY_LAYER = "silver_thread_lookup_history"
+# The profiled columns of each layer (the NULL-percentage view).
+NULL_PROFILE_COLUMNS = {
+    "bronze_checkpoints": ["thread_id", "checkpoint_id", "checkpoint_ns", "type", "metadata"],
+    HISTORY_LAYER: ["thread_id", "user_id", "team"],
+    "silver_checkpoints": ["checkpoint_ts", "user_id", "team", "metadata_step_int", "metadata_source"],
+}
 
 
 def daily_counts(bronze: DataFrame, history: DataFrame, silver: DataFrame,
@@ -37,6 +43,13 @@ def _pct(part: Column, total: Column) -> Column:
     return F.when(total > 0, F.round(part.cast("double") * 100.0 / total, 2)).cast("double")
 
 
+def layer_null_profile(bronze: DataFrame, history: DataFrame, silver: DataFrame,
+                       with_time: bool = True) -> DataFrame:
+    """A9 over the three layers with ``NULL_PROFILE_COLUMNS``."""
+    frames = {"bronze_checkpoints": bronze, HISTORY_LAYER: history, "silver_checkpoints": silver}
+    return null_profile([(t, frames[t], cols) for t, cols in NULL_PROFILE_COLUMNS.items()], with_time)
+
+
 def null_profile(tables: list[tuple[str, DataFrame, list[str]]], with_time: bool = True) -> DataFrame:
     """NULL share of each listed column.
 

@@ -73,21 +73,10 @@ REPORT_RULES = SILVER_RULES + [
 ]
 
 
-NULL_COLUMNS = {
-    "bronze_checkpoints": ["thread_id", "checkpoint_id", "checkpoint_ns", "type", "metadata"],
-    "silver_thread_lookup_history": ["thread_id", "user_id", "team"],
-    "silver_checkpoints": ["checkpoint_ts", "user_id", "team", "metadata_step_int", "metadata_source"],
-}
 STAT_COLUMNS = ["thread_id", "checkpoint_ns", "checkpoint_id", "parent_checkpoint_id",
                 "type", "checkpoint", "metadata", "_rescued_data"]
 
 
-def _null_profile(L: Layers) -> DataFrame:
-    frames = {"bronze_checkpoints": L.bronze, "silver_thread_lookup_history": L.history,
-              "silver_checkpoints": L.silver}
-    return monitor.null_profile([(t, frames[t], cols) for t, cols in NULL_COLUMNS.items()], with_time=False)
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_cleaned": _q(lambda L: clean_thread_lookup(adapters.raw_lookup_feed(L.table("events")), "ts")),
     "checkpoint_json_fields": _q(lambda L: parse_checkpoints(L.bronze).select(
@@ -107,7 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "o_custkey", "o_orderstatus", "o_orderdate", "o_orderkey", "__START_AT", "__END_AT")),
     "thread_history": _q(lambda L: reports.thread_history(L.history, reports.most_changed_thread(L.history))),
     "daily_counts": _q(lambda L: monitor.daily_counts(L.bronze, L.history, L.silver, L.gold_user, L.gold_team)),
-    "null_profile": _q(_null_profile),
+    "null_profile": _q(lambda L: monitor.layer_null_profile(L.bronze, L.history, L.silver, with_time=False)),
     "null_wide": _q(lambda L: monitor.null_wide(L.silver)),
     "dup_bronze": _q(lambda L: monitor.dup_bronze(L.bronze)),
     "dup_lookup": _q(lambda L: monitor.dup_lookup(L.history)),

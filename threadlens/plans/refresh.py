@@ -132,12 +132,7 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     gold_team = spark.read.parquet(t.gold_team_summary)
     views = {
         t.monitoring_daily_counts: monitor.daily_counts(bronze, history, silver, gold_user, gold_team),
-        t.monitoring_null_percentages: monitor.null_profile([
-            ("bronze_checkpoints", bronze, ["thread_id", "checkpoint_id", "checkpoint_ns", "type", "metadata"]),
-            ("silver_thread_lookup_history", history, ["thread_id", "user_id", "team"]),
-            ("silver_checkpoints", silver, ["checkpoint_ts", "user_id", "team", "metadata_step_int",
-                                            "metadata_source"]),
-        ]),
+        t.monitoring_null_percentages: monitor.layer_null_profile(bronze, history, silver),
         t.monitoring_duplicates: monitor.duplicates(bronze, history, silver),
         t.monitoring_processing_lag: monitor.processing_lag(silver, bronze),
     }

@@ -33,12 +33,7 @@ def register_layers(L: Layers) -> list[str]:
         "gold_user_team_metrics": L.gold_user,
         "gold_team_summary": L.gold_team,
         "monitoring_daily_counts": monitor.daily_counts(L.bronze, L.history, L.silver, L.gold_user, L.gold_team),
-        "monitoring_null_percentages": monitor.null_profile([
-            ("bronze_checkpoints", L.bronze, ["thread_id", "checkpoint_id", "checkpoint_ns", "type", "metadata"]),
-            ("silver_thread_lookup_history", L.history, ["thread_id", "user_id", "team"]),
-            ("silver_checkpoints", L.silver, ["checkpoint_ts", "user_id", "team", "metadata_step_int",
-                                              "metadata_source"]),
-        ]),
+        "monitoring_null_percentages": monitor.layer_null_profile(L.bronze, L.history, L.silver),
         "monitoring_duplicates": monitor.duplicates(L.bronze, L.history, L.silver),
         "monitoring_processing_lag": monitor.processing_lag(L.silver, L.bronze),
     })
