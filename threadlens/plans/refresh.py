@@ -110,7 +110,7 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     rewrite = changed or not incremental or not path_exists(spark, t.gold_user_team_metrics)
     if materialize_silver:
         if rewrite:
-            upkeep.write_clustered(source, t.silver_checkpoints, ["thread_id"], partition_by=["checkpoint_date"])
+            _write_layer(source, t, "silver_checkpoints")
         silver = spark.read.parquet(t.silver_checkpoints)
         # gold reads the silver partitions just written instead of joining again
         if dates is not None:
@@ -120,10 +120,8 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
 
     # 4. gold, touched dates only
     if rewrite:
-        upkeep.write_clustered(metrics.gold_user_team_metrics(source), t.gold_user_team_metrics,
-                               ["team", "user_id"], partition_by=["checkpoint_date"])
-        upkeep.write_clustered(metrics.gold_team_summary(source), t.gold_team_summary,
-                               ["team"], partition_by=["checkpoint_date"])
+        _write_layer(metrics.gold_user_team_metrics(source), t, "gold_user_team_metrics")
+        _write_layer(metrics.gold_team_summary(source), t, "gold_team_summary")
 
     # 5. monitoring views (skipped, like 6, when nothing changed)
     if not rewrite and path_exists(spark, t.check_results):
@@ -148,6 +146,12 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     return new_batches
 
 
+def _write_layer(df: DataFrame, t: Tables, name: str) -> None:
+    """Clustered, date-partitioned write (dynamic partition overwrite) of a layer."""
+    cluster_by, partition_by = upkeep.REFRESH_LAYOUT[name]
+    upkeep.write_clustered(df, getattr(t, name), cluster_by, partition_by=partition_by)
+
+
 def replace_table(spark: SparkSession, path: str, write) -> None:
     """Full rewrite of a table: written beside it, then swapped in by rename.
 
