@@ -11,7 +11,9 @@ from threadlens.llm.shared import read_table
 
 #: query -> (module, table it works on)
 OPERATORS = {
+    "op2_token_fertility": ("fertility", "documents"),
     "op5_source_mix": ("mixing", "documents"),
+    "op8_ngram_jaccard": ("ngram_join", "documents"),
     "op10_hilbert_shards": ("hilbert", "documents"),
 }
 #: query -> name of its DuckDB SQL in that module
