@@ -11,12 +11,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlens.llm import hilbert, mixing
+from threadlens.llm import decontam, fertility, hilbert, mixing, ngram_join
 from threadlens.llm.shared import read_table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: Words of a shingle and least similarity, in hundredths, of near copies.
+SHINGLE, PERCENT = 5, 80
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents inside the fertility bands of their language."""
+    return fertility.keep_good(docs)
+
+
+def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return ngram_join.one_of_each(docs, SHINGLE, PERCENT)
+
+
+def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark passage."""
+    return decontam.keep_clean(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     return mixing.repeat_taken(docs)
@@ -27,7 +46,13 @@ def into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return hilbert.shard(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("mix", mix_sources), ("shards", into_shards)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_quality),
+    ("near_copies", no_near_copies),
+    ("decontamination", no_benchmark),
+    ("mixing", mix_sources),
+    ("sharding", into_shards),
+]
 #: Model verdicts, similarity components and the curve have no SQL form; the stages are tested one by one.
 ORACLE_SQL: str | None = None
 

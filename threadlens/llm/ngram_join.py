@@ -295,8 +295,11 @@ def op8_ngram_jaccard(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
-    """One row of each class of near copies (the first doc_id), with the columns of ``docs``; documents without a set all stay."""
-    columns = docs.columns
-    row = docs.select("*", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))
-    kept = similar(docs, k, percent).where("n_shingles = 0 or doc_id is null or doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return row.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("_row.*")
+    """One row of each class of near copies (of the smallest doc_id), with the columns of ``docs``.
+
+    Documents without a set stay, one row a doc_id; rows with a null doc_id all stay.
+    """
+    rows = docs.select("doc_id", F.xxhash64("text").alias("_text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    kept = similar(docs, k, percent).where("n_shingles = 0 or doc_id = component_id").select("doc_id").distinct()
+    named = rows.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("_row", "_text").alias("_row"))
+    return named.select("_row.*").unionByName(rows.where("doc_id is null").select("_row.*"))

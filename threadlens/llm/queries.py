@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from threadlens.llm.shared import read_table
 
-#: query -> (module, table it works on)
+#: query -> (module, tables it works on)
 OPERATORS = {
+    "op1_simhash_decontam": ("decontam", "documents", "benchmark"),
     "op2_token_fertility": ("fertility", "documents"),
     "op5_source_mix": ("mixing", "documents"),
     "op8_ngram_jaccard": ("ngram_join", "documents"),
@@ -22,17 +23,17 @@ SQL = {
 }
 
 
-def _query(name: str, module: str, table: str) -> Callable[[SparkSession, str], DataFrame]:
+def _query(name: str, module: str, *tables: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply = getattr(importlib.import_module(f"threadlens.llm.{module}"), name)
-        return apply(read_table(spark, sf_dir, table))
+        return apply(*[read_table(spark, sf_dir, table) for table in tables])
 
     run.__name__ = name
     return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(name, module, table) for name, (module, table) in OPERATORS.items()}
+    return {name: _query(name, *of) for name, of in OPERATORS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
