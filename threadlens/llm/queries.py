@@ -14,6 +14,7 @@ OPERATORS = {
     "op1_simhash_decontam": ("decontam", "documents", "benchmark"),
     "op2_token_fertility": ("fertility", "documents"),
     "op5_source_mix": ("mixing", "documents"),
+    "op7_credential_ownership": ("credentials", "documents"),
     "op8_ngram_jaccard": ("ngram_join", "documents"),
     "op10_hilbert_shards": ("hilbert", "documents"),
 }
