@@ -14,12 +14,14 @@ OPERATORS = {
     "op1_simhash_decontam": ("decontam", "documents", "benchmark"),
     "op2_token_fertility": ("fertility", "documents"),
     "op5_source_mix": ("mixing", "documents"),
+    "op6_license_dice": ("licenses", "documents"),
     "op7_credential_ownership": ("credentials", "documents"),
     "op8_ngram_jaccard": ("ngram_join", "documents"),
     "op10_hilbert_shards": ("hilbert", "documents"),
 }
 #: query -> name of its DuckDB SQL in that module
 SQL = {
+    "op6_license_dice": "OP6_SQL",
     "op5_source_mix": "OP5_SQL",
 }
 
