@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.llm import words as W
+from threadlens.llm.shared import ship
 
 #: Words of a shingle, least similarity, and radius of the fingerprints (a window of similarity t differs by 10 bits on average).
 K, SIMILARITY, RADIUS = 5, 0.8, 19
@@ -196,6 +197,7 @@ def _hits(words: np.ndarray, vocabulary: np.ndarray, k: int) -> np.ndarray:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, k: int = K, least: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """``docs`` (with a column ``text``) and ``leaks``: the items found, with similarity and place of the best window."""
     spark = docs.sparkSession
+    ship(spark)
     items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
     words = items.select(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     n = max(1, math.ceil(words / 2 / BLOCK_WORDS))

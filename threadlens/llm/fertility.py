@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.llm import words as W
-from threadlens.llm.shared import written
+from threadlens.llm.shared import ship, written
 
 TOKENIZERS = os.environ.get("CORPUS_TOKENIZERS", "/opt/tokenizers")
 BYTE_BPE, PIECE_BPE = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
@@ -196,6 +196,7 @@ _SPACES = {c: " " for c in range(0x09, 0x0E)}
 
 def measured(docs: DataFrame, folder: str = TOKENIZERS) -> DataFrame:
     """``docs`` without its text unless kept by the caller: every column but ``_text``, and the struct ``_m`` of METRICS."""
+    ship(docs.sparkSession)
     schema = T.StructType([f for f in docs.schema if f.name != "_text"] + [T.StructField("_m", METRICS)])
     kinds = pa.struct([(f.name, _ARROW[f.dataType]) for f in METRICS])
 

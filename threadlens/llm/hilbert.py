@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadlens.llm.shared import written
+from threadlens.llm.shared import ship, written
 
 BITS, SHARDS = 4, 16
 #: Category tables of up to this many values are broadcast.
@@ -79,6 +79,7 @@ def depth_codes(docs: DataFrame, column: str, bits: int = BITS) -> DataFrame:
 
 def with_curve(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """``docs`` with ``size`` (UTF-8 bytes and one), ``text_crc32`` and the ``curve`` index."""
+    ship(docs.sparkSession)
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
     out = docs.drop("size", "text_crc32", "curve").select(
         "*", size.alias("size"), F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"))

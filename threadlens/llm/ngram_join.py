@@ -8,14 +8,22 @@ min(l_x, l_y) prefix shingles.  l is chosen per document by the estimated
 cost: documents whose prefix holds widely shared shingles take a longer prefix
 and require more matches before verification.
 
-Identical sets are one node.  Nodes that share a prefix shingle are grouped by
-connected components of the (first holder, holder) edges, which are as many as
-the prefix shingles, never pairs.  A group is one task up to a fixed size; a
-larger one is cut by size class (similar sets differ by one class at most) and
-hash into blocks, and every pair of blocks that may link is a task.  In a task
-matches are counted by matrix products over shared shingles, candidates are
-verified exactly on whole sets, and only links per node and a spanning forest
-leave it.  No pair of nodes is emitted, dropped or capped.
+Finding the pairs.  Identical sets are one node.  Sets of similarity t differ
+in d <= n (1 - t) / t shingles, and each breaks one pair of neighbours at
+most, so with their first d + 2 shared shingles they share a pair that is
+adjacent in the order of both.  A node's keys are the adjacent pairs of that
+longer prefix: two matches at once, which chance and shared phrases rarely
+give.  Keys are sorted by range, so a key that most nodes hold is split over
+tasks; each run of a key links its nodes to its first one, and runs that cross
+tasks meet in a table of two rows a task.  These edges are as many as keys,
+never pairs of nodes; their connected components are the groups.
+
+A group is one task up to a fixed size; a larger one is cut by size class
+(similar sets differ by one class at most) and hash into blocks, and every
+pair of blocks that may link is a task.  In a task prefix matches are counted
+by matrix products over shared shingles, candidates are verified exactly on
+whole sets, and only links per node and a spanning forest leave it.  No pair
+of nodes is emitted, dropped or capped.
 
 Defined cases: a null or empty text has no set, links with nothing and is its
 own component; a text of fewer than four words is one shingle; rows of one
@@ -37,12 +45,12 @@ from pyspark.sql import functions as F
 
 from threadlens.llm import words as W
 from threadlens.llm.components import components
-from threadlens.llm.shared import written
+from threadlens.llm.shared import ship, written
 
 #: Words of a shingle; least similarity in hundredths.
 K, PERCENT = 4, 85
 #: Buckets of the count sketch: its size doesn't follow the corpus.
-SKETCH_BITS = 18
+SKETCH_BITS = 20
 #: Matches that may be required, and the cost of a candidate in postings.
 MATCHES, CANDIDATE_COST = (1, 2, 4, 8, 16), 4.0
 #: Nodes and shingles of a block (a larger document is a block of its own).
@@ -62,6 +70,7 @@ def doc_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
 
 def sketch_counts(docs: DataFrame, k: int = K) -> np.ndarray:
     """Shingles (with repeats) per hash bucket over all documents: a vector of fixed length."""
+    ship(docs.sparkSession)
     size = 1 << SKETCH_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,26 +122,81 @@ def prefix(shingles: np.ndarray, excess: np.ndarray, percent: int = PERCENT) ->
     return shingles[order[: n - need + matches]], matches
 
 
+def keys(shingles: np.ndarray, excess: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Hashes of the neighbours in the prefix that holds a common pair with every similar set."""
+    n = len(shingles)
+    differ = n * (100 - percent) // percent
+    if not differ:  # only equal sets are similar
+        return shingles[:0]
+    over = excess[(shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+    order = np.argsort(np.frexp(over)[1].astype(np.int8), kind="stable")
+    head = shingles[order[: differ + 2 + n + -percent * n // 100]]
+    return W.mix64(head[:-1] * np.uint64(0xD1342543DE82EF95) + head[1:])
+
+
 def _signed(docs: DataFrame, excess, k: int, percent: int) -> DataFrame:
-    """doc_id, n, two hashes of the set, and prefix of every document."""
+    """doc_id, n, two hashes of the set, and keys of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, a, b, heads = [], [], [], []
             for s in doc_sets(batch.column("text"), k):
-                head = prefix(s, excess.value, percent)[0] if len(s) else s
                 n.append(len(s))
                 a.append(int(np.add.reduce(W.mix64(s)).view(np.int64)) if len(s) else 0)
                 b.append(int(np.add.reduce(W.mix64(s ^ np.uint64(0xA5A5A5A55A5A5A5A))).view(np.int64)) if len(s) else 0)
-                heads.append(head.view(np.int64))
+                heads.append(keys(s, excess.value, percent).view(np.int64))
             ends = np.concatenate([[0], np.cumsum([len(h) for h in heads])]).astype(np.int32)
             flat = np.concatenate(heads) if heads else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))],
-                names=["doc_id", "n", "a", "b", "prefix"])
+                names=["doc_id", "n", "a", "b", "keys"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, a long, b long, keys array<long>")
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted (key, node) rows -> edges from each key's first node, and the first and last run of the task (edge false)."""
+    key = first = None
+    opened = False
+    for batch in batches:
+        k, x = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if not len(k):
+            continue
+        new = np.ones(len(k), bool)
+        new[1:] = k[1:] != k[:-1]
+        if opened and k[0] == key:
+            new[0] = False
+        begin = np.maximum.accumulate(np.where(new, np.arange(len(k)), -1))
+        lead = np.where(begin < 0, first if opened else 0, x[begin])
+        on = lead != x
+        pairs = np.unique(np.column_stack([lead[on], x[on]]), axis=0)
+        zero = np.zeros(len(pairs), np.int64)
+        edges = [pairs[:, 0], pairs[:, 1], zero, np.ones(len(pairs), bool)]
+        if not opened:
+            edges = [np.append(e, v) for e, v in zip(edges, (lead[0], lead[0], k[0], False))]
+            opened = True
+        key, first = k[-1], lead[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(e) for e in edges], names=["a", "b", "key", "edge"])
+    if opened:
+        yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([first]), pa.array([key]), pa.array([False])], names=["a", "b", "key", "edge"])
+
+
+def holders(signed: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect all nodes of each key."""
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, first = np.unique(np.column_stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()]), axis=0, return_index=True)
+            lists = batch.column(2).take(pa.array(first))
+            owner = np.repeat(batch.column(0).to_numpy()[first], np.diff(lists.offsets.to_numpy()))
+            yield pa.RecordBatch.from_arrays([lists.flatten(), pa.array(owner)], names=["key", "node"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, a long, b long, prefix array<long>")
+    rows = signed.where("n > 0 and size(keys) > 0").select("a", "b", "keys").mapInArrow(distinct, "key long, node long")
+    ranged = rows.repartitionByRange("key", "node").sortWithinPartitions("key", "node")
+    found = written(ranged.mapInArrow(_runs, "a long, b long, key long, edge boolean"), "jaccard-runs")
+    ends = found.where("not edge").select("key", "a").distinct()
+    met = ends.join(ends.groupBy("key").agg(F.min("a").alias("first")), "key").where("a <> first").select(F.col("first").alias("a"), F.col("a").alias("b"))
+    return found.where("edge").select("a", "b").union(met)
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -264,19 +328,14 @@ def _compare(excess, k: int, percent: int):
 def similar(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links of every document."""
     spark = docs.sparkSession
+    ship(spark)
     excess = spark.sparkContext.broadcast(excess_counts(sketch_counts(docs, k)).astype(np.float32))
     signed = written(_signed(docs, excess, k, percent), "jaccard-signed")
     sets = signed.where("n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
     sets = written(sets, "jaccard-sets")
-    # one row of each set carries the prefix on
-    firsts = signed.where("n > 0 and doc_id is not null").select("doc_id", "n", "a", "b", "prefix").join(
-        sets.select(F.col("node").alias("doc_id"), "n", "a", "b"), ["doc_id", "n", "a", "b"])
-    postings = firsts.select(F.col("doc_id").alias("node"), F.explode("prefix").alias("token"))
-    holders = postings.groupBy("token").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
-    edges = postings.join(holders, "token").where("node > first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    groups = components(edges)
-    nodes = sets.where("node is not null").groupBy("node").agg(F.max("n").alias("n"), F.max("copies").alias("copies")).join(
-        groups.select("node", F.col("component").alias("group")), "node")
+    groups = components(holders(signed))
+    nodes = sets.where("node is not null").groupBy("node").agg(F.max("n").alias("n"), F.max("copies").alias("copies"), F.min("a").alias("a")).join(
+        groups.select(F.col("node").alias("a"), F.col("component").alias("group")), "a")
     tasks = _tasks(written(nodes, "jaccard-nodes"))
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(tasks, "node")
     found = texts.groupBy("task").applyInArrow(_compare(excess, k, percent), "node long, root long, links long")
