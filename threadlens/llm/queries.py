@@ -18,6 +18,7 @@ OPERATORS = {
     "op6_license_dice": ("licenses", "documents"),
     "op7_credential_ownership": ("credentials", "documents"),
     "op8_ngram_jaccard": ("ngram_join", "documents"),
+    "op9_centroid_language": ("centroids", "documents"),
     "op10_hilbert_shards": ("hilbert", "documents"),
 }
 #: query -> name of its DuckDB SQL in that module
