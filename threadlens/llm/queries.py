@@ -13,6 +13,7 @@ from threadlens.llm.shared import read_table
 OPERATORS = {
     "op1_simhash_decontam": ("decontam", "documents", "benchmark"),
     "op2_token_fertility": ("fertility", "documents"),
+    "op3_bilstm_pii": ("pii", "documents"),
     "op4_main_text": ("blocks", "pages"),
     "op5_source_mix": ("mixing", "documents"),
     "op6_license_dice": ("licenses", "documents"),
