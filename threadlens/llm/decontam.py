@@ -1,6 +1,6 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
-Text is lower-cased words of letters and digits; a passage is the multiset of
+Text is lower-cased (ASCII and Latin-1) words of letters and digits; a passage is the multiset of
 its 5-word shingles.  For every benchmark item, windows of the item's length
 slide over the whole document.  A window and an item of equal length can only
 reach the similarity t if 2t/(1+t) of the window's shingles are the
@@ -120,6 +120,11 @@ def build_index(ids: list[int], texts: list[str], k: int = K) -> Index | None:
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> W.Words:
+    at = np.flatnonzero(data[:-1] == 0xC3) + 1
+    at = at[(data[at] >= 0x80) & (data[at] <= 0x9E) & (data[at] != 0x97)]
+    if len(at):  # capital Latin-1 letters
+        data = data.copy()
+        data[at] += 0x20
     return W.find_words(data, offsets, W.PUNCT, lower=True)
 
 
