@@ -6,18 +6,23 @@ mis-read.  The feeds here are instead read as text lines and parsed in one
 pass, all with built-in expressions:
 
 1. the first line of every file is its header (``_metadata.file_path``,
-   ``file_block_start = 0`` and the smallest row id within the split);
+   ``file_block_start = 0`` and the smallest row id within the split); the
+   header table is joined to the lines in the same plan;
 2. every other line is parsed positionally with ``from_csv`` (same quote and
-   escape rules as the header) into an array of cells;
-3. each expected column takes the cell at the position of its name in the
-   file's header (a missing column gives NULL);
-4. cells under names that are not expected, and lines with more cells than
-   the header, go to ``_rescued_data`` as JSON together with the file path.
+   escape rules as the header) into an array of cells, as wide as the widest
+   line of this input (one small aggregate);
+3. each expected column takes the cell at the first position of its name in
+   the file's header (a missing column gives NULL);
+4. every other cell goes to ``_rescued_data`` as JSON together with the file
+   path, under its header name; a repeated name gets its position appended, a
+   nameless column is ``_c<position>``.  A line with more cells than the header
+   is rescued whole (``_line``).  So no cell is lost, whatever the header.
 
 By default lines are records (the reference's feeds do not set multi-line
 quoting).  With ``multi_line=True`` Spark's CSV reader splits records whose
 quoted values hold line breaks, and the same header binding and rescue
-apply.  The same functions serve batch reads and streaming micro-batches.
+apply; records wider than the widest header are rescued whole.  The same
+functions serve batch reads and streaming micro-batches.
 """
 
 from __future__ import annotations
@@ -30,6 +35,9 @@ from threadlens.functions.schemas import INGESTED_AT, RESCUE_COLUMN
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
 SOURCE_FILE = "_source_file"
 SOURCE_LINE = "_source_line"
+SOURCE_TIME = "_source_time"
+# The order of deliveries that share an ingestion time: files by age, lines by place.
+DELIVERY_ORDER = [SOURCE_TIME, SOURCE_FILE, SOURCE_LINE]
 
 
 def _clean_name(c: Column) -> Column:
@@ -43,6 +51,12 @@ def _cells(line: Column, width: int, options: dict) -> Column:
     return F.array(*[parsed[f"c{i}"] for i in range(width)])
 
 
+def _cell_count(line: Column) -> Column:
+    """Cells of a CSV record: delimiters outside quoted parts, plus one."""
+    plain = F.regexp_replace(line, '"[^"]*"', "")
+    return F.length(plain) - F.length(F.replace(plain, F.lit(","), F.lit(""))) + 1
+
+
 def lines_of(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Text lines with their file, split offset and an in-split order."""
     return spark.read.text(paths).select(*line_columns())
@@ -53,6 +67,7 @@ def line_columns() -> list[Column]:
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
+        F.col("_metadata.file_modification_time").alias("file_time"),
         F.monotonically_increasing_id().alias("line_no"),
     ]
 
@@ -61,66 +76,67 @@ def parse_by_name(lines: DataFrame, expected: list[str], options: dict | None =
                   max_columns: int | None = None) -> DataFrame:
     """Parse header-bearing CSV lines into ``expected`` columns (+ rescue).
 
-    ``lines`` has (line, file_path, block_start, line_no).  ``max_columns``
-    bounds the cells read per line; by default it is measured from the
-    headers of this input (one small aggregate).
+    ``lines`` has (line, file_path, block_start, file_time, line_no).
+    ``max_columns`` is the number of cells parsed per line; by default the
+    widest line of this input.  Lines with more cells are rescued whole.
     """
     opts = {**CSV_OPTIONS, **(options or {})}
-    spark = lines.sparkSession
-    firsts = (
+    if max_columns is None:
+        max_columns = lines.agg(F.max(_cell_count(F.col("line")))).first()[0] or 1
+    width = max(max_columns, len(expected))
+    headers = (
         lines.filter(F.col("block_start") == 0)
         .groupBy("file_path")
-        .agg(F.min_by(F.struct("line", "line_no"), F.col("line_no")).alias("_h"))
-        .select("file_path", F.col("_h.line").alias("_header"), F.col("_h.line_no").alias("_header_no"))
+        .agg(F.min(F.struct("line_no", "line")).alias("_h"))
+        .select("file_path", F.col("_h.line_no").alias("_header_no"), F.col("_h.line").alias("_header"))
+        .select("file_path", "_header_no", _cell_count(F.col("_header")).alias("_n_names"),
+                F.transform(_cells(F.col("_header"), width, opts), _clean_name).alias("_names"))
     )
-    # One header per file (the files of one micro-batch, at most MAX_FILES):
-    # gathered once, so the lines are scanned once for headers and once for
-    # data, and broadcast back as a small table.
-    header_rows = firsts.collect()
-    if max_columns is None:
-        max_columns = max([len(r["_header"].split(",")) for r in header_rows] or [len(expected)])
-    width = max(max_columns, len(expected)) + 1  # one extra cell detects over-long rows
-
-    header_cells = F.transform(_cells(F.col("_header"), width, opts), _clean_name)
-    headers = spark.createDataFrame(
-        header_rows, "file_path string, _header string, _header_no bigint"
-    ).select("file_path", "_header_no", header_cells.alias("_names"))
-    data = lines.join(F.broadcast(headers), "file_path", "inner").filter(
+    data = lines.join(headers, "file_path").filter(
         F.col("line_no") != F.col("_header_no")
     ).filter(F.length(F.trim("line")) > 0)
-    return bind_by_name(data.select("line", "file_path", F.col("line_no").alias("_pos"), "_names",
-                                    _cells(F.col("line"), width, opts).alias("_cells")), expected)
+    return bind_by_name(data.select("line", "file_path", "file_time", F.col("line_no").alias("_pos"), "_names", "_n_names",
+                                    _cells(F.col("line"), width, opts).alias("_cells"),
+                                    _cell_count(F.col("line")).alias("_n_cells")), expected)
 
 
 def bind_by_name(rows: DataFrame, expected: list[str]) -> DataFrame:
-    """Rows (line, file_path, _pos, _names, _cells) -> expected columns + rescue.
+    """Rows (line, file_path, file_time, _pos, _names, _n_names, _cells, _n_cells) -> expected columns + rescue.
 
     ``_names`` is the file's header, ``_cells`` the record's cells, both
-    positional; the record text ``line`` is kept only for rescued rows.  The
-    record's origin is kept as ``_source_file`` and ``_source_line`` (its
-    position within the file's read order), which orders deliveries that
+    positional; ``_n_names`` and ``_n_cells`` are their true counts; the record
+    text ``line`` is kept only for rescued rows.  The record's origin is kept
+    as ``_source_time`` (age of its file), ``_source_file`` and ``_source_line``
+    (its position within the file's read order), which order deliveries that
     share an ingestion time.
     """
-    n_names = F.size(F.filter("_names", lambda c: c.isNotNull()))
-    n_cells = F.size(F.filter("_cells", lambda c: c.isNotNull()))
-    too_long = n_cells > n_names
-
     def cell(name: str) -> Column:
         pos = F.array_position("_names", F.lit(name))
         return F.when(pos > 0, F.element_at("_cells", pos.cast("int")))
 
-    extra_names = F.filter("_names", lambda n: n.isNotNull() & ~n.isin(*expected))
-    extras = F.map_from_arrays(
-        extra_names,
-        F.transform(extra_names, lambda n: F.element_at("_cells", F.array_position("_names", n).cast("int"))),
-    )
+    # positions (from 1) of the cells that no expected column takes, and their unique names
+    place = F.sequence(F.lit(1), F.least(F.col("_n_names"), F.size("_names")).cast("int"))
+    taken = F.array(*[F.array_position("_names", F.lit(c)).cast("int") for c in expected])
+    others = F.filter(place, lambda p: ~F.array_contains(taken, p))
+
+    def named(p: Column) -> Column:
+        name = F.element_at("_names", p)
+        unnamed = name.isNull() | (name == "")
+        again = (F.array_position("_names", name) < p) | name.isin("_file_path", "_line")
+        return (F.when(unnamed, F.concat(F.lit("_c"), p.cast("string")))
+                .when(again, F.concat_ws("_", name, p.cast("string"))).otherwise(name))
+
+    names = F.transform(others, named)
+    clash = F.size(F.array_distinct(names)) < F.size(names)
+    whole = (F.col("_n_cells") > F.col("_n_names")) | (F.col("_n_cells") > F.size("_cells")) | clash
+    extras = F.map_from_arrays(F.concat(names, F.array(F.lit("_file_path"))),
+                               F.concat(F.transform(others, lambda p: F.element_at("_cells", p)), F.array(F.col("file_path"))))
     rescue = (
-        F.when(too_long, F.to_json(F.struct(F.col("line").alias("_line"), F.col("file_path").alias("_file_path"))))
-        .when(F.size(extra_names) > 0,
-              F.to_json(F.map_concat(extras, F.create_map(F.lit("_file_path"), F.col("file_path")))))
+        F.when(whole, F.to_json(F.struct(F.col("line").alias("_line"), F.col("file_path").alias("_file_path"))))
+        .when(F.size(names) > 0, F.to_json(extras))
     )
     return rows.select(*[cell(c).alias(c) for c in expected], rescue.alias(RESCUE_COLUMN),
-                       F.col("file_path").alias(SOURCE_FILE), F.col("_pos").alias(SOURCE_LINE))
+                       F.col("file_time").alias(SOURCE_TIME), F.col("file_path").alias(SOURCE_FILE), F.col("_pos").alias(SOURCE_LINE))
 
 
 def multiline_records(reader, paths, width: int, options: dict | None = None) -> DataFrame:
@@ -136,54 +152,43 @@ def multiline_records(reader, paths, width: int, options: dict | None = None) ->
     df = (reader.schema(schema).options(**opts).option("header", False).option("multiLine", True)
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_raw").csv(paths))
     cells = F.array(*[F.col(f"c{i}") for i in range(width)])
+    # the reader keeps the text of every record that isn't exactly ``width`` cells wide
     return df.select(
         cells.alias("_cells"),
-        F.coalesce(F.col("_raw"), F.concat_ws(",", cells)).alias("line"),
+        F.coalesce(F.col("_raw"), F.to_csv(F.struct(*[f"c{i}" for i in range(width)]), opts)).alias("line"),
+        F.coalesce(_cell_count(F.col("_raw")), F.lit(width)).alias("_n_cells"),
         F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_modification_time").alias("file_time"),
     )
 
 
+def widest_header(spark: SparkSession, paths: str | list[str]) -> int:
+    """Cells of the widest first line of these files (one small aggregate; 0 without files)."""
+    firsts = lines_of(spark, paths).filter(F.col("block_start") == 0).groupBy("file_path").agg(F.min(F.struct("line_no", "line")).alias("h"))
+    return firsts.agg(F.max(_cell_count(F.col("h.line")))).first()[0] or 0
+
+
 def bind_multiline(records: DataFrame, expected: list[str]) -> DataFrame:
     """Header per file (its first record), then ``bind_by_name``."""
-    spark = records.sparkSession
     numbered = records.withColumn("_row_no", F.monotonically_increasing_id())
-    header_rows = (
+    headers = (
         numbered.groupBy("file_path")
-        .agg(F.min_by(F.struct("_cells", "_row_no"), F.col("_row_no")).alias("_h"))
-        .select("file_path", F.col("_h._cells").alias("_header"), F.col("_h._row_no").alias("_header_no"))
-        .collect()  # one row per file (bounded by MAX_FILES per read / batch)
+        .agg(F.min(F.struct("_row_no", "_cells", "_n_cells")).alias("_h"))
+        .select("file_path", F.col("_h._row_no").alias("_header_no"), F.col("_h._n_cells").alias("_n_names"),
+                F.transform("_h._cells", _clean_name).alias("_names"))
     )
-    headers = spark.createDataFrame(
-        header_rows, "file_path string, _header array<string>, _header_no bigint"
-    ).select("file_path", "_header_no", F.transform("_header", _clean_name).alias("_names"))
-    data = numbered.join(F.broadcast(headers), "file_path", "inner").filter(
-        F.col("_row_no") != F.col("_header_no"))
-    return bind_by_name(data.select("line", "file_path", F.col("_row_no").alias("_pos"), "_names", "_cells"),
-                        expected)
-
-
-MAX_FILES = 10_000  # bound of the broadcast per-file header table
-MULTILINE_EXTRA_COLUMNS = 16  # multi-line reads: cells kept beyond the expected columns
+    data = numbered.join(headers, "file_path").filter(F.col("_row_no") != F.col("_header_no"))
+    return bind_by_name(data.select("line", "file_path", "file_time", F.col("_row_no").alias("_pos"), "_names", "_n_names",
+                                    "_cells", "_n_cells"), expected)
 
 
 def read_feed(spark: SparkSession, paths: str | list[str], expected: list[str],
               options: dict | None = None, multi_line: bool = False,
               max_columns: int | None = None) -> DataFrame:
-    """Batch read of a CSV feed by header name, stamped with ``ingested_at``.
-
-    The per-file header table is broadcast, so one read takes at most
-    ``MAX_FILES`` files; larger backfills go through the ingestion stream,
-    which takes them in bounded micro-batches.
-    """
-    lines = lines_of(spark, paths)
-    n_files = len(lines.inputFiles())
-    if n_files > MAX_FILES:
-        raise ValueError(f"{n_files} files exceed {MAX_FILES} per read; use streaming.ingest.ingest_csv")
+    """Batch read of a CSV feed by header name, stamped with ``ingested_at``."""
     if multi_line:
-        width = (max_columns or len(expected) + MULTILINE_EXTRA_COLUMNS) + 1
+        width = max(max_columns or widest_header(spark, paths), len(expected))
         rows = bind_multiline(multiline_records(spark.read, paths, width, options), expected)
     else:
-        rows = parse_by_name(lines, expected, options, max_columns)
-    return rows.withColumn(
-        INGESTED_AT, F.current_timestamp()
-    )
+        rows = parse_by_name(lines_of(spark, paths), expected, options, max_columns)
+    return rows.withColumn(INGESTED_AT, F.current_timestamp())

@@ -19,15 +19,14 @@ from pyspark.sql import functions as F
 from threadlens.functions.schemas import INGESTED_AT
 from threadlens.session import publish
 from threadlens.sources.csv_feed import (
-    MULTILINE_EXTRA_COLUMNS,
     bind_multiline,
     multiline_records,
     parse_by_name,
+    widest_header,
 )
 
 BATCH_COL = "_batch"
-# Files per micro-batch.  It bounds the per-file header table that the
-# parser broadcasts (one row per file of the batch).
+# Files per micro-batch (the rest come in the next ones).
 MAX_FILES_PER_TRIGGER = 10_000
 
 
@@ -38,6 +37,7 @@ def stream_lines(spark: SparkSession, source: str, max_files_per_trigger: int |
         "value",
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
+        F.col("_metadata.file_modification_time").alias("file_time"),
     )
 
 
@@ -55,7 +55,7 @@ def ingest_csv(spark: SparkSession, source: str, expected: list[str], table_dir:
         if multi_line:
             return bind_multiline(batch, expected)
         lines = batch.select(
-            F.col("value").alias("line"), "file_path", "block_start",
+            F.col("value").alias("line"), "file_path", "block_start", "file_time",
             F.monotonically_increasing_id().alias("line_no"),
         )
         return parse_by_name(lines, expected, options, max_columns)
@@ -70,7 +70,8 @@ def ingest_csv(spark: SparkSession, source: str, expected: list[str], table_dir:
             on_batch(batch.sparkSession.read.parquet(out), batch_id)
 
     if multi_line:
-        width = (max_columns or len(expected) + MULTILINE_EXTRA_COLUMNS) + 1
+        # of the files present now; records of later, wider files are rescued whole
+        width = max(max_columns or widest_header(spark, source), len(expected))
         reader = spark.readStream.option(
             "maxFilesPerTrigger", str(max_files_per_trigger or MAX_FILES_PER_TRIGGER))
         source_df = multiline_records(reader, source, width, options)
