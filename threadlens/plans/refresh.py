@@ -26,6 +26,12 @@ each step a plain Spark job reading the previous step's table:
 Expectation counts of every parsed batch are appended to ``expectation_log``
 (observed while the batch is written, no extra pass).
 
+What is still to be applied is read from the tables, not from memory:
+``applied_batches`` holds the last batch of either feed that silver, gold, the
+views and the checks include, and is replaced after all of them are written.
+An update that fails at any step leaves it as it was, and the next one takes
+the same batches up again.  A feed without a file yet is an empty table.
+
 Paths live under ``out_dir``; stream checkpoints under ``out_dir/_checkpoints``.
 """
 
@@ -36,13 +42,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.functions.schemas import CHECKPOINT_FEED_COLUMNS, LOOKUP_FEED_COLUMNS
+from threadlens.functions.schemas import (
+    CHECKPOINT_FEED_COLUMNS,
+    END_AT,
+    INGESTED_AT,
+    LOOKUP_FEED_COLUMNS,
+    RESCUE_COLUMN,
+    START_AT,
+)
 from threadlens.operators import checks, metrics, monitor, scd2, upkeep
 from threadlens.operators.enrich import SILVER_COLUMNS, clean_thread_lookup, parse_checkpoints
 from threadlens.operators.expectations import apply_rules, observe_rules
 from threadlens.plans.layers import LOOKUP_RULES, SILVER_RULES, TRACKED
-from threadlens.session import ensure_defaults, path_exists, publish
-from threadlens.sources.csv_feed import SOURCE_FILE, SOURCE_LINE
+from threadlens.session import batch_ids, ensure_defaults, path_exists, publish
+from threadlens.sources.csv_feed import DELIVERY_ORDER, SOURCE_FILE, SOURCE_LINE, SOURCE_TIME
 from threadlens.streaming import ingest, scd2_stream
 
 
@@ -60,12 +73,10 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     ensure_defaults(spark)
     t = Tables(out_dir)
     chk = f"{out_dir.rstrip('/')}/_checkpoints"
-    new_batches: dict[str, list[int]] = {"checkpoints": [], "lookup": []}
 
     # 1. bronze checkpoints; each new batch is parsed and checked once, into
     #    checkpoints_parsed/_batch=<id>/checkpoint_date=<d> (staged, published)
     def parse_batch(batch: DataFrame, batch_id: int) -> None:
-        new_batches["checkpoints"].append(batch_id)
         parsed, obs = observe_rules(parse_checkpoints(batch), SILVER_RULES, f"parse_{batch_id}")
         staged = f"{t.checkpoints_parsed}/_staging_{batch_id}"
         (apply_rules(parsed, SILVER_RULES, "drop")
@@ -78,20 +89,22 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
 
     # 2. bronze lookup + CDC into the history, per micro-batch
     def fold(batch: DataFrame, batch_id: int) -> None:
-        new_batches["lookup"].append(batch_id)
         # one processing time per micro-batch: deliveries of the same batch are
-        # ordered by their source file name and position in it
-        origin = [SOURCE_FILE, SOURCE_LINE]
-        cleaned = apply_rules(clean_thread_lookup(batch, keep=origin), LOOKUP_RULES, "drop")
+        # ordered by the age of their file, then its name and their position in it
+        cleaned = apply_rules(clean_thread_lookup(batch, keep=DELIVERY_ORDER), LOOKUP_RULES, "drop")
         scd2_stream.apply_changes(cleaned, batch_id, t.thread_lookup_log, t.silver_thread_lookup_history,
-                                  keys=["thread_id"], sequence_by="updated_at", tiebreak=origin,
+                                  keys=["thread_id"], sequence_by="updated_at", tiebreak=DELIVERY_ORDER,
                                   track_columns=TRACKED, buckets=buckets)
+        scd2_stream.write_owner_changes(cleaned, batch_id, t.silver_thread_lookup_history, t.owner_changes,
+                                        keys=["thread_id"], track_columns=TRACKED)
 
     ingest.ingest_csv(spark, f"{raw_dir}/{lookup_files}", LOOKUP_FEED_COLUMNS,
                       t.bronze_thread_lookup_stream, f"{chk}/bronze_thread_lookup_stream", on_batch=fold)
 
-    bronze = spark.read.parquet(t.bronze_checkpoints)
-    history = scd2_stream.read_history(spark, t.silver_thread_lookup_history)
+    bronze = _table(spark, t.bronze_checkpoints, _empty_feed(spark, CHECKPOINT_FEED_COLUMNS))
+    lookup = _table(spark, t.bronze_thread_lookup_stream, _empty_feed(spark, LOOKUP_FEED_COLUMNS)).drop(ingest.BATCH_COL)
+    history = scd2_stream.read_history(spark, t.silver_thread_lookup_history, HISTORY_SCHEMA)
+    new_batches = pending_batches(spark, t)
 
     # 3. silver = parsed checkpoints LEFT JOIN the current owner; the parsed
     #    rows are never parsed again.  Touched dates are the only silver/gold
@@ -99,19 +112,21 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     #    table's partitions, so the owner join and the aggregates run on those
     #    dates only.  An update without new files rewrites nothing.
     owners = scd2.current(history).select("thread_id", "user_id", "team")
-    parsed = spark.read.parquet(t.checkpoints_parsed).select(*SILVER_COLUMNS)
+    parsed = _table(spark, t.checkpoints_parsed, parse_checkpoints(bronze.limit(0))).select(*SILVER_COLUMNS)
     silver_view = parsed.join(owners, "thread_id", "left")
     changed = bool(new_batches["checkpoints"] or new_batches["lookup"])
-    if incremental and changed:
+    targets = [t.gold_user_team_metrics, t.gold_team_summary] + ([t.silver_checkpoints] if materialize_silver else [])
+    missing = not all(path_exists(spark, p) for p in targets)
+    if incremental and changed and not missing:
         dates = touched_dates(spark, t, parsed, new_batches)
         source = silver_view.join(dates, "checkpoint_date", "left_semi")
     else:
         dates, source = None, silver_view
-    rewrite = changed or not incremental or not path_exists(spark, t.gold_user_team_metrics)
+    rewrite = changed or not incremental or missing
     if materialize_silver:
         if rewrite:
             _write_layer(source, t, "silver_checkpoints")
-        silver = spark.read.parquet(t.silver_checkpoints)
+        silver = spark.read.schema(silver_view.schema).parquet(t.silver_checkpoints)
         # gold reads the silver partitions just written instead of joining again
         if dates is not None:
             source = silver.join(dates, "checkpoint_date", "left_semi")
@@ -119,15 +134,16 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
         silver = silver_view
 
     # 4. gold, touched dates only
+    gold_user, gold_team = metrics.gold_user_team_metrics(source), metrics.gold_team_summary(source)
     if rewrite:
-        _write_layer(metrics.gold_user_team_metrics(source), t, "gold_user_team_metrics")
-        _write_layer(metrics.gold_team_summary(source), t, "gold_team_summary")
+        _write_layer(gold_user, t, "gold_user_team_metrics")
+        _write_layer(gold_team, t, "gold_team_summary")
 
     # 5. monitoring views (skipped, like 6, when nothing changed)
     if not rewrite and path_exists(spark, t.check_results):
         return new_batches
-    gold_user = spark.read.parquet(t.gold_user_team_metrics)
-    gold_team = spark.read.parquet(t.gold_team_summary)
+    gold_user = spark.read.schema(gold_user.schema).parquet(t.gold_user_team_metrics)
+    gold_team = spark.read.schema(gold_team.schema).parquet(t.gold_team_summary)
     views = {
         t.monitoring_daily_counts: monitor.daily_counts(bronze, history, silver, gold_user, gold_team),
         t.monitoring_null_percentages: monitor.layer_null_profile(bronze, history, silver),
@@ -138,14 +154,51 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
         replace_table(spark, path, lambda p, df=df: df.write.mode("overwrite").parquet(p))
 
     # 6. cross-layer checks over the written tables (one row per check)
-    lookup = ingest.read_table(spark, t.bronze_thread_lookup_stream).drop(ingest.BATCH_COL)
     newest = silver.agg(F.max("checkpoint_date")).scalar()
     results = checks.run_checks(bronze, lookup, history, owners, silver, gold_user, gold_team, as_of=newest)
     replace_table(spark, t.check_results, lambda p: results.withColumn(
         "checked_at", F.current_timestamp()).write.mode("overwrite").parquet(p))
+
+    # all of the above includes these batches
+    done = [(feed, max(ids)) for feed, ids in new_batches.items() if ids]
+    if done:
+        kept = [(feed, last) for feed, last in applied_batches(spark, t).items() if feed not in dict(done)]
+        marker = spark.createDataFrame(done + kept, "feed string, batch_id bigint")
+        replace_table(spark, t.applied_batches, lambda p: marker.write.mode("overwrite").parquet(p))
     return new_batches
 
 
+# Columns of the ownership history before any batch has written it.
+HISTORY_SCHEMA = (f"thread_id string, user_id string, team string, updated_at timestamp, {SOURCE_TIME} timestamp, "
+                  f"{SOURCE_FILE} string, {SOURCE_LINE} bigint, {START_AT} timestamp, {END_AT} timestamp")
+
+
+def _empty_feed(spark: SparkSession, columns: list[str]) -> DataFrame:
+    """A bronze table of which no file has arrived yet."""
+    cells = ", ".join(f"{c} string" for c in [*columns, RESCUE_COLUMN])
+    return spark.createDataFrame([], f"{cells}, {SOURCE_TIME} timestamp, {SOURCE_FILE} string, {SOURCE_LINE} bigint, "
+                                     f"{INGESTED_AT} timestamp, {ingest.BATCH_COL} int")
+
+
+def _table(spark: SparkSession, path: str, empty: DataFrame) -> DataFrame:
+    """A table of batch folders; ``empty`` as long as it has none."""
+    return spark.read.parquet(path) if batch_ids(spark, path) else empty
+
+
+def applied_batches(spark: SparkSession, t: Tables) -> dict[str, int]:
+    """Per feed, the last batch that the output tables include."""
+    if not path_exists(spark, t.applied_batches):
+        return {}
+    return {r.feed: r.batch_id for r in spark.read.parquet(t.applied_batches).collect()}
+
+
+def pending_batches(spark: SparkSession, t: Tables) -> dict[str, list[int]]:
+    """Per feed, the published batches that the output tables don't include yet."""
+    applied = applied_batches(spark, t)
+    tables = {"checkpoints": t.checkpoints_parsed, "lookup": t.bronze_thread_lookup_stream}
+    return {feed: [b for b in batch_ids(spark, path) if b > applied.get(feed, -1)] for feed, path in tables.items()}
+
+
 def _write_layer(df: DataFrame, t: Tables, name: str) -> None:
     """Clustered, date-partitioned write (dynamic partition overwrite) of a layer."""
     cluster_by, partition_by = upkeep.REFRESH_LAYOUT[name]
@@ -165,13 +218,13 @@ def replace_table(spark: SparkSession, path: str, write) -> None:
 
 
 def log_expectations(spark: SparkSession, path: str, dataset: str, rules, counts: dict, batch_id: int) -> None:
-    """Append one row per rule: the counts observed while a batch was written."""
+    """One row per rule: the counts observed while a batch was written (a retried batch replaces its own)."""
     rows = [(dataset, batch_id, r.name, r.condition, int(counts.get("total", 0)), int(counts.get(r.name, 0)))
             for r in rules]
     (spark.createDataFrame(rows, "dataset string, batch_id bigint, rule string, condition string, "
                                  "total bigint, failed bigint")
      .withColumn("measured_at", F.current_timestamp())
-     .write.mode("append").parquet(path))
+     .write.mode("overwrite").parquet(f"{path}/{ingest.BATCH_COL}={batch_id}"))
 
 
 def touched_dates(spark: SparkSession, t: Tables, parsed: DataFrame, new_batches: dict) -> DataFrame:
@@ -183,7 +236,7 @@ def touched_dates(spark: SparkSession, t: Tables, parsed: DataFrame, new_batches
                      .filter(F.col(ingest.BATCH_COL).isin(new_batches["checkpoints"]))
                      .select("checkpoint_date"))
     if new_batches["lookup"]:
-        moved = (spark.read.parquet(t.bronze_thread_lookup_stream)
+        moved = (spark.read.parquet(t.owner_changes)
                  .filter(F.col(ingest.BATCH_COL).isin(new_batches["lookup"]))
                  .select("thread_id").distinct())
         parts.append(parsed.join(moved, "thread_id", "left_semi").select("checkpoint_date"))

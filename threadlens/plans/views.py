@@ -50,7 +50,7 @@ def register_tables(spark: SparkSession, out_dir: str) -> list[str]:
         frames["silver_thread_lookup_history"] = scd2_stream.read_history(spark, t.silver_thread_lookup_history)
     for name in ["silver_checkpoints", "gold_user_team_metrics", "gold_team_summary", "expectation_log",
                  "monitoring_daily_counts", "monitoring_null_percentages", "monitoring_duplicates",
-                 "monitoring_processing_lag"]:
+                 "monitoring_processing_lag", "check_results"]:
         if path_exists(spark, getattr(t, name)):
             frames[name] = spark.read.parquet(getattr(t, name))
     return _register(frames)

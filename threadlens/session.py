@@ -78,6 +78,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def batch_ids(spark: SparkSession, table_dir: str, column: str = "_batch") -> list[int]:
+    """Ids of a table's published batch folders, ascending (a listing of folder names)."""
+    if not path_exists(spark, table_dir):
+        return []
+    fs, p = _fs(spark, table_dir)
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{column}="))
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

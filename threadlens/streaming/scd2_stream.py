@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadlens.functions.schemas import END_AT
 from threadlens.operators.scd2 import scd2_history
 from threadlens.session import path_exists, publish
 
@@ -67,19 +68,46 @@ def _write_batch(df: DataFrame, table_dir: str, batch_id: int) -> None:
 
 
 def read_history(spark: SparkSession, history_dir: str, schema: str | None = None,
-                 keep_bucket: bool = False) -> DataFrame:
+                 keep_bucket: bool = False, until: int | None = None) -> DataFrame:
     """Per bucket, the rows written by the newest batch that touched it.
 
     Before any batch has written history, an empty frame of ``schema``.
+    ``until`` reads the state after that batch.
     """
     if schema is not None and not path_exists(spark, history_dir):
         return spark.createDataFrame([], schema)
     files = spark.read.parquet(history_dir)
+    if until is not None:
+        files = files.filter(F.col(BATCH_COL) <= until)
     newest = files.groupBy(BUCKET_COL).agg(F.max(BATCH_COL).alias(BATCH_COL))
     current = files.join(newest, [BUCKET_COL, BATCH_COL], "left_semi").drop(BATCH_COL)
     return current if keep_bucket else current.drop(BUCKET_COL)
 
 
+def write_owner_changes(changes: DataFrame, batch_id: int, history_dir: str, out_dir: str, *,
+                        keys: list[str], track_columns: list[str], end_col: str = END_AT) -> None:
+    """Keys whose open version differs before and after a batch, at ``out_dir/_batch=<id>``.
+
+    Both states come from the history's batch folders, so a retried batch
+    writes the same rows.
+    """
+    spark = changes.sparkSession
+    touched = changes.select(*keys).distinct()
+
+    def open_versions(until: int, name: str) -> DataFrame:
+        state = read_history(spark, history_dir, until=until).filter(F.col(end_col).isNull())
+        return state.join(touched, keys, "left_semi").select(*keys, F.struct(*track_columns).alias(name))
+
+    if path_exists(spark, history_dir):
+        before, after = open_versions(batch_id - 1, "_before"), open_versions(batch_id, "_after")
+        moved = after.join(before, keys, "full").filter(~F.col("_before").eqNullSafe(F.col("_after"))).select(*keys)
+    else:  # no valid row so far
+        moved = touched.limit(0)
+    staged = f"{out_dir}/_staging_{batch_id}"
+    moved.write.mode("overwrite").parquet(staged)
+    publish(spark, staged, f"{out_dir}/{BATCH_COL}={batch_id}")
+
+
 def run_scd2_stream(spark: SparkSession, source_dir: str, log_dir: str, history_dir: str,
                     checkpoint: str, prepare=None, max_files_per_trigger: int | None = None,
                     **scd2_args) -> None:
