@@ -14,91 +14,56 @@ total, otherwise equal sequence values are ordered arbitrarily.
 
 Skew.  A plain ``lead() OVER (PARTITION BY key)`` sends every row of a key to
 one task, so a key holding a third of the feed becomes a third of the job in
-one task.  Here exact per-key statistics (count, min and max sequence; a
-partial aggregate) mark keys with more than ``hot_key_rows`` rows as hot.  A
-hot key's sequence range is cut into ``ceil(count / hot_key_rows)`` equal
-spans; the span index (``chunk``) is a monotone function of the sequence, so
-each chunk is a contiguous run of the key's order.  Windows run per
-(key, chunk).  The neighbour of a chunk's first/last row lives in the
-previous/next non-empty chunk; it comes from a table with one row per hot
-chunk (at most rows / hot_key_rows entries), joined back on (key, chunk).
-Chunk ids are computed from the row and exact aggregates only, so every
-recomputation (retries, several consumers) yields the same ids.  A key whose
-rows all share one sequence value cannot be cut by order and stays one chunk.
-The hot-key table is joined without a hint: AQE broadcasts it when its
-measured size is under the broadcast threshold.
-
-``split_hot_keys="auto"`` (default) first runs the exact per-key count as a
-small job and uses the chunked plan only if some key exceeds
-``hot_key_rows``; otherwise the single-shuffle plan (one window per key) is
-exact and cheapest.  ``True``/``False`` force either plan.
+one task.  Here an exact per-key count (a partial aggregate, whatever the size of
+the feed) marks keys with more than ``hot_key_rows`` rows as hot.  Their rows
+are cut by range on the total order (key, sequence, tiebreak, hash of the row),
+so the cuts fall on quantiles of the rows: neither equal sequence values nor
+outliers make a large chunk.  The cut rows are written to the shared scratch
+folder, so that every consumer and every retry sees the same chunks.  Windows
+run per (key, chunk).  The neighbour of a chunk's first/last row lives in the
+previous/next chunk of its key; it comes from a table with one row per hot
+chunk, joined back on (key, chunk).  All other keys take one shuffle.
+
+``split_hot_keys=False`` leaves out the count, for feeds whose keys are known
+to be small.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from threadlens.functions.schemas import END_AT, START_AT
+from threadlens.session import work_dir
 
 _CHUNK = "_scd_chunk"
 DEFAULT_HOT_KEY_ROWS = 1_000_000
 
 
-def _order_number(df: DataFrame, col: str) -> Column | None:
-    """A numeric, order-preserving image of the sequence column (or None)."""
-    t = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(t, TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(t, TimestampNTZType):
-        # the session is pinned to UTC, where this conversion is monotone
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(t, DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(t, NumericType):
-        return c.cast("double")
-    return None
-
-
-def has_hot_keys(valid: DataFrame, keys: list[str], hot_key_rows: int) -> bool:
-    """True if some key has more than ``hot_key_rows`` rows.
-
-    A feed with at most ``hot_key_rows`` rows cannot have a hot key; that is
-    settled by a limited count, which stops reading once the limit is passed.
-    Only larger feeds pay for the exact per-key count.
-    """
-    if valid.limit(hot_key_rows + 1).count() <= hot_key_rows:
-        return False
-    return not (
-        valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_key_rows).isEmpty()
-    )
-
-
-def with_chunks(valid: DataFrame, keys: list[str], sequence_by: str, hot_key_rows: int) -> DataFrame:
-    """Add ``_scd_chunk`` (0 for ordinary keys) and ``_hot`` to the feed."""
-    num = _order_number(valid, sequence_by)
-    if num is None:
-        return valid.withColumn(_CHUNK, F.lit(0)).withColumn("_hot", F.lit(False))
-    hot = (
-        valid.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(num).alias("_lo"), F.max(num).alias("_hi"))
-        .filter(F.col("_n") > hot_key_rows)
-        .select(*keys, F.ceil(F.col("_n") / hot_key_rows).alias("_k"), "_lo", "_hi")
-    )
-    width = (F.col("_hi") - F.col("_lo")) / F.col("_k")
-    chunk = F.when(
-        F.col("_k").isNotNull() & (width > 0),
-        F.least(F.floor((num - F.col("_lo")) / width), F.col("_k") - 1),
-    ).otherwise(F.lit(0)).cast("long")
-    return (
-        valid.join(hot, keys, "left")
-        .withColumn(_CHUNK, chunk)
-        .withColumn("_hot", F.col("_k").isNotNull())
-        .drop("_k", "_lo", "_hi")
+def hot_keys(valid: DataFrame, keys: list[str], hot_key_rows: int) -> DataFrame:
+    """Keys with more than ``hot_key_rows`` rows, with their counts ``_n``."""
+    return valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_key_rows)
+
+
+def with_chunks(valid: DataFrame, keys: list[str], order: list[str], hot_key_rows: int) -> DataFrame | None:
+    """The feed with ``_scd_chunk`` (rising with the order; -1 for ordinary keys) and ``_hot``; None without hot keys."""
+    hot = hot_keys(valid, keys, hot_key_rows)
+    rows = hot.agg(F.sum("_n")).first()[0]
+    if not rows:
+        return None
+    ranks = [*keys, *order, "_row_hash"]
+    # half as many rows again as parts: the range bounds come from a sample
+    parts = -(-3 * rows // (2 * hot_key_rows))
+    cut = (
+        valid.join(hot.select(*keys), keys, "left_semi").select(*valid.columns)
+        .withColumn("_row_hash", F.xxhash64(*valid.columns))
+        .repartitionByRange(parts, *ranks).withColumn(_CHUNK, F.spark_partition_id().cast("long")).drop("_row_hash")
     )
+    path = work_dir(valid.sparkSession, "scd2_hot")
+    cut.write.parquet(path)
+    hot_rows = valid.sparkSession.read.schema(cut.schema).parquet(path)
+    cold = valid.join(hot.select(*keys), keys, "left_anti").select(*valid.columns).withColumn(_CHUNK, F.lit(-1).cast("long"))
+    return cold.withColumn("_hot", F.lit(False)).unionByName(hot_rows.withColumn("_hot", F.lit(True)))
 
 
 def scd2_history(
@@ -107,7 +72,7 @@ def scd2_history(
     sequence_by: str,
     tiebreak: list[str] | tuple = (),
     track_columns: list[str] | None = None,
-    split_hot_keys: bool | str = "auto",
+    split_hot_keys: bool = True,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     start_col: str = START_AT,
     end_col: str = END_AT,
@@ -120,12 +85,10 @@ def scd2_history(
     valid = changes.filter(valid_rule)
     out_cols = list(changes.columns)
 
-    if split_hot_keys == "auto":
-        split_hot_keys = has_hot_keys(valid, keys, hot_key_rows)
-    if not split_hot_keys:
+    chunked = with_chunks(valid, keys, order, hot_key_rows) if split_hot_keys else None
+    if chunked is None:
         return _history_by_key(valid, keys, order, track_columns, out_cols, start_col, end_col)
 
-    chunked = with_chunks(valid, keys, sequence_by, hot_key_rows)
     part = keys + [_CHUNK]
     w = Window.partitionBy(*part).orderBy(*order)
     by_chunk = Window.partitionBy(*keys).orderBy(_CHUNK)  # over one row per hot chunk

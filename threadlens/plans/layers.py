@@ -5,7 +5,7 @@ SCD2 ownership history -> enriched silver (current owner) -> gold.  Built
 from the driver's test tables through the adapters, or from given bronze and
 cleaned lookup DataFrames.  Every attribute is a logical plan that Catalyst
 optimises together with the consumer's query; the only job run while
-building is the SCD2 hot-key check (see ``scd2.has_hot_keys``).
+building is the SCD2 hot-key count (see ``scd2.with_chunks``).
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ _SHARED: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictio
 class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None, *,
                  bronze: DataFrame | None = None, lookup: DataFrame | None = None,
-                 split_hot_keys: bool | str = "auto", hot_key_rows: int | None = None):
+                 split_hot_keys: bool = True, hot_key_rows: int | None = None):
         ensure_defaults(spark)
         self.spark = spark
         self.sf_dir = sf_dir
@@ -73,19 +73,11 @@ class Layers:
     def lookup_tiebreak(self) -> list[str]:
         return ["event_id"] if "event_id" in self.lookup_feed.columns else []
 
-    @cached_property
-    def _split(self) -> bool:
-        """The hot-key decision, taken once for both histories of the feed."""
-        if self.split_hot_keys != "auto":
-            return bool(self.split_hot_keys)
-        rows = self.hot_key_rows or scd2.DEFAULT_HOT_KEY_ROWS
-        return scd2.has_hot_keys(self.lookup_feed.filter(F.col("updated_at").isNotNull()), ["thread_id"], rows)
-
     def _history(self, track):
         return scd2.scd2_history(
             self.lookup_feed, keys=["thread_id"], sequence_by="updated_at",
             tiebreak=self.lookup_tiebreak, track_columns=track,
-            split_hot_keys=self._split,
+            split_hot_keys=self.split_hot_keys,
             **({"hot_key_rows": self.hot_key_rows} if self.hot_key_rows else {}),
         )
 

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 
 _SCANS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-SPREAD_TABLES = False  # also spread every raw table scan (measured slower; only the checkpoint feed is)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,27 +35,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     cache = _SCANS.setdefault(spark, {})
     if path not in cache:
-        scan = spark.read.parquet(path)
-        cache[path] = spread(scan) if SPREAD_TABLES else scan
+        cache[path] = spark.read.parquet(path)
     return cache[path]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A small table stored as one parquet row group is read by one task, and
-    every narrow step after it would run on one core.  Used before the
-    CPU-heavy JSON building and parsing of the checkpoint feed only; large
-    inputs have many splits and are returned unchanged, so no shuffle is
-    added at scale.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def _s(col: Column) -> Column:
     return col.cast("string")
 
@@ -71,7 +53,7 @@ def checkpoint_feed(events: DataFrame) -> DataFrame:
     # every 50th event is delivered a second time: one row per delivery,
     # generated from the same scan (no second pass, no self-union)
     eid = F.col("event_id")
-    deliveries = events_with_threads(spread(events)).select(
+    deliveries = events_with_threads(events).select(
         "thread_id", "event_id", "ts", "user_id", "event_type",
         F.explode(F.when(eid % 50 == 0, F.array(F.lit(0), F.lit(1)))
                   .otherwise(F.array(F.lit(0)))).alias("_d"),
