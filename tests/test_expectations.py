@@ -61,3 +61,14 @@ def test_report_empty_input(df):
 def test_rescued_rows(spark):
     df = spark.createDataFrame([("a", None), ("b", '{"x":"1"}')], "id string, _rescued_data string")
     assert rescued_rows(df).first().rescued_row_count == 1
+
+
+def test_warn_counts_can_be_read(spark):
+    from pyspark.sql import Observation
+
+    from threadlens.operators.expectations import Rule, apply_rules
+
+    obs = Observation("warned")
+    df = spark.createDataFrame([(1,), (None,), (3,)], "n int")
+    assert apply_rules(df, [Rule("known", "n IS NOT NULL")], "warn", observation=obs).count() == 3
+    assert obs.get == {"total": 3, "known": 1}

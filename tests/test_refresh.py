@@ -103,7 +103,7 @@ def test_optimize_refresh_tables(spark, scratch):
     _write(f"{raw}/thread_teams_1.csv", "thread_id,user_id,team\nthread_1,user_1,team_a\n")
     refresh(spark, raw, out)
     before = sorted(map(tuple, spark.read.parquet(f"{out}/gold_user_team_metrics").collect()))
-    inv = {r.table_name: r.num_files for r in optimize_tables(spark, out, force=True).collect()}
+    inv = {r.table_name: r.num_files for r in optimize_tables(spark, out).collect()}
     after = sorted(map(tuple, spark.read.parquet(f"{out}/gold_user_team_metrics").collect()))
     assert after == before and set(inv) == {"silver_checkpoints", "gold_user_team_metrics", "gold_team_summary"}
     assert all(n >= 1 for n in inv.values())

@@ -42,7 +42,9 @@ def all_pass(rules: list[Rule]) -> Column:
     return cond
 
 
-def apply_rules(df: DataFrame, rules: list[Rule], action: str = "drop") -> DataFrame:
+def apply_rules(df: DataFrame, rules: list[Rule], action: str = "drop",
+                observation: Observation | None = None) -> DataFrame:
+    """``df`` under one of ACTIONS; with ``warn``, ``observation.get`` has the counts once ``df`` was executed."""
     if action not in ACTIONS:
         raise ValueError(f"unknown action {action!r}; expected one of {ACTIONS}")
     if not rules:
@@ -57,17 +59,16 @@ def apply_rules(df: DataFrame, rules: list[Rule], action: str = "drop") -> DataF
         if bad:
             raise ExpectationFailed(f"expectations violated: {bad}")
         return df
-    df, _ = observe_rules(df, rules)
-    return df
+    return observe_rules(df, rules, observation=observation)[0]
 
 
-def observe_rules(df: DataFrame, rules: list[Rule], name: str = "expectations"):
+def observe_rules(df: DataFrame, rules: list[Rule], name: str = "expectations", observation: Observation | None = None):
     """Attach violation counters that fill in when ``df`` is executed.
 
     Works for batch and for streaming DataFrames (there the counters are
     reported per micro-batch in the query progress).
     """
-    obs = Observation(name)
+    obs = observation or Observation(name)
     metrics = [F.count(F.lit(1)).alias("total")] + [
         F.count_if(~r.passes()).alias(r.name) for r in rules
     ]

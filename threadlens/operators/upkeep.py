@@ -7,12 +7,13 @@
 * ``write_clustered``the clustered write used for gold (K5), optionally
                      partitioned by date with dynamic partition overwrite (K6)
 * ``file_inventory`` files, bytes and a needs-compaction flag per table,
-                     from the scan's ``_metadata`` (distributed, no listing
-                     loop on the driver)
+                     from the file listing alone (no file is opened)
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,8 +55,8 @@ def _layout(df: DataFrame, cluster_by: list[str], num_files: int, zorder: bool,
 
 
 def _as_number(df: DataFrame, col: str) -> Column:
-    """An order-preserving double for dates, timestamps and numbers; strings
-    are hashed (their clustering then groups equal values, not ranges)."""
+    """An order-preserving double for dates, timestamps and numbers; for strings
+    the rank among sampled values."""
     from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
     t = df.schema[col].dataType
@@ -68,7 +69,30 @@ def _as_number(df: DataFrame, col: str) -> Column:
         return F.unix_date(c).cast("double")
     if isinstance(t, NumericType):
         return c.cast("double")
-    return F.xxhash64(c).cast("double")
+    return _string_rank(df, col)(c.cast("string"))
+
+
+# Values sampled per string column for its range bounds.
+SAMPLED_VALUES = 20_000
+
+
+def _string_rank(df: DataFrame, col: str):
+    """A function to the position of a string among sampled values of its column (bounded sample, sorted)."""
+    c = F.col(col).cast("string")
+    rows = df.count()
+    share = min(1.0, SAMPLED_VALUES / rows) if rows else 1.0
+    picked = df.select(c.alias("v")).where("v is not null").sample(share, seed=7).distinct()
+    values = np.array(sorted(r.v for r in picked.collect()), dtype=object)  # about SAMPLED_VALUES at most
+
+    @F.pandas_udf("double")
+    def rank(text: pd.Series) -> pd.Series:
+        known = text.notna().to_numpy()
+        out = np.zeros(len(text))
+        if len(values):
+            out[known] = np.searchsorted(values, text[known].to_numpy(dtype=object))
+        return pd.Series(out)
+
+    return rank
 
 
 def with_z_value(df: DataFrame, cols: list[str], bits: int = 10, out: str = "_z") -> DataFrame:
@@ -156,19 +180,19 @@ REFRESH_LAYOUT = {
 }
 
 
-def optimize_tables(spark: SparkSession, out_dir: str, force: bool = False,
-                    target_file_mb: int = 128) -> DataFrame:
-    """M1 for all tables of a refresh output: rewrite those with too many files.
+def optimize_tables(spark: SparkSession, out_dir: str, names: list[str] | None = None,
+                    target_file_mb: int = 128, dry_run: bool = False) -> DataFrame:
+    """M1 for the named tables of a refresh output (default: all with a layout).
 
-    The file inventory decides (``needs_compaction``) unless ``force``.  The
-    loop runs over the handful of table names; every rewrite is a Spark job.
-    Returns the inventory after the rewrites.
+    The loop runs over the handful of table names; every rewrite is a Spark
+    job.  Returns the inventory after the rewrites; with ``dry_run`` nothing
+    is rewritten.  Which tables need it says ``file_inventory``.
     """
-    paths = {n: f"{out_dir.rstrip('/')}/{n}" for n in REFRESH_LAYOUT}
-    inventory = {r.table_name: r.needs_compaction for r in file_inventory(spark, paths).collect()}
-    for name, (cluster_by, partition_by) in REFRESH_LAYOUT.items():
-        if force or inventory.get(name):
-            optimize_table(spark, paths[name], cluster_by, partition_by, target_file_mb)
+    paths = {n: f"{out_dir.rstrip('/')}/{n}" for n in names or REFRESH_LAYOUT}
+    for name, path in paths.items():
+        cluster_by, partition_by = REFRESH_LAYOUT[name]
+        if not dry_run:
+            optimize_table(spark, path, cluster_by, partition_by, target_file_mb)
     return file_inventory(spark, paths)
 
 
@@ -214,13 +238,11 @@ def file_inventory(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     """M3: per table: files, MB, average file MB, newest write, compaction flag."""
     out = None
     for name, path in tables.items():
+        # the listing only: no content column is selected, so no file is opened
         files = (
-            spark.read.parquet(path)
-            .select(F.col("_metadata.file_path").alias("file_path"),
-                    F.col("_metadata.file_size").alias("file_size"),
-                    F.col("_metadata.file_modification_time").alias("mtime"))
-            .groupBy("file_path")
-            .agg(F.max("file_size").alias("file_size"), F.max("mtime").alias("mtime"))
+            spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true").load(path)
+            .select(F.col("length").alias("file_size"), F.col("modificationTime").alias("mtime"))
         )
         arm = files.agg(
             F.lit(name).alias("table_name"),
