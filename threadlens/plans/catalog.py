@@ -11,14 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from threadlens.operators import checks, expectations, metrics, monitor, reports, scd2, upkeep
 from threadlens.operators.enrich import SILVER_COLUMNS, clean_thread_lookup, parse_checkpoints
 from threadlens.operators.expectations import Rule
-from threadlens.plans.layers import SILVER_RULES, Layers
+from threadlens.plans.layers import LOOKUP_RULES, SILVER_RULES, Layers
 from threadlens.sources import adapters
 
 HISTORY_COLS = ["thread_id", "user_id", "team", "updated_at", "__START_AT", "__END_AT"]
@@ -73,6 +73,23 @@ REPORT_RULES = SILVER_RULES + [
 ]
 
 
+_THIRD_OF_USERS = "CAST(substr(user_id, 2) AS BIGINT) % 3 = 0"
+
+
+def _with_null_threads(feed: DataFrame) -> DataFrame:
+    """The lookup feed with a NULL key in every 17th delivery (Q1 must drop them)."""
+    return feed.withColumn("thread_id", F.when(F.col("event_id") % 17 != 0, F.col("thread_id")))
+
+
+def _warned(L: Layers) -> DataFrame:
+    """Q6: the counts that ``warn`` observed while the enriched rows were written."""
+    seen = Observation("warned")
+    rows = expectations.apply_rules(L.silver_unchecked, SILVER_RULES, "warn", observation=seen)
+    rows.write.format("noop").mode("overwrite").save()
+    return L.spark.createDataFrame([(r.name, seen.get["total"], seen.get[r.name]) for r in SILVER_RULES],
+                                   "rule string, total bigint, failed bigint")
+
+
 STAT_COLUMNS = ["thread_id", "checkpoint_ns", "checkpoint_id", "parent_checkpoint_id",
                 "type", "checkpoint", "metadata", "_rescued_data"]
 
@@ -116,6 +133,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expect_lookup": _q(lambda L: L.lookup_feed.select("thread_id", "user_id", "team", "updated_at")),
     "expect_silver": _q(lambda L: expectations.apply_rules(
         L.silver_unchecked, SILVER_RULES, "warn").select(*SILVER_OUT)),
+    "expect_lookup_nulls": _q(lambda L: expectations.apply_rules(
+        _with_null_threads(L.lookup_feed), LOOKUP_RULES, "drop").select("thread_id", "user_id", "team", "updated_at")),
+    "expect_warn_counts": _q(_warned),
+    "open_version_duplicates": _q(lambda L: scd2.duplicate_current_versions(
+        L.history.unionByName(L.history.filter(_THIRD_OF_USERS)), ["thread_id"])),
+    "missing_teams_found": _q(lambda L: reports.missing_teams(L.silver, L.gold_team.filter("team <> 'team_0'"))),
     "expect_quarantine": _q(lambda L: expectations.apply_rules(
         L.silver_unchecked, SILVER_RULES, "quarantine").select(*SILVER_OUT)),
     "expect_report": _q(lambda L: expectations.expectation_report(

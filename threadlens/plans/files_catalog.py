@@ -71,6 +71,16 @@ def _ingest_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select(*LOOKUP_EVENT_COLUMNS, F.col(RESCUE_COLUMN).isNotNull().alias("rescued"))
 
 
+def _rescue_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rescued text of every delivery whose file has an unexpected column."""
+    L = Layers(spark, sf_dir)
+    base = work_dir(spark, "rescue_feed")
+    glob = write_csv_feed(_lookup_text(L), f"{base}/raw", (F.col("event_id").cast("bigint") % 3).cast("int"))
+    ingest.ingest_csv(spark, glob, LOOKUP_EVENT_COLUMNS, f"{base}/bronze", f"{base}/_chk")
+    return ingest.read_table(spark, f"{base}/bronze").select(
+        "event_id", F.get_json_object(RESCUE_COLUMN, "$.source_system").alias("rescued"))
+
+
 def _scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lookup files -> ingestion stream -> CDC stream, one file per micro-batch."""
     L = Layers(spark, sf_dir)
@@ -125,6 +135,7 @@ def _compact(spark: SparkSession, sf_dir: str, zorder: bool) -> DataFrame:
 QUERIES = {
     "ingest_checkpoints": _ingest_checkpoints,
     "ingest_lookup": _ingest_lookup,
+    "rescue_feed": _rescue_feed,
     "scd2_stream": _scd2_stream,
     "file_inventory": _file_inventory,
     "compact": lambda spark, sf: _compact(spark, sf, zorder=False),
@@ -143,6 +154,8 @@ FROM bronze""",
 SELECT thread_id, user_id, team, strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f') AS updated_at,
   CAST(event_id AS VARCHAR) AS event_id, event_id % 3 = 2 AS rescued
 FROM feed""",
+    "rescue_feed": """
+SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_id % 3 = 2 THEN 'feed_v2' END AS rescued FROM feed""",
     "scd2_stream": "SELECT thread_id, user_id, team, updated_at, __START_AT, __END_AT FROM hist",
     "compact": f"SELECT {_BRONZE_ALL} FROM bronze",
     "compact_zorder": f"SELECT {_BRONZE_ALL} FROM bronze",

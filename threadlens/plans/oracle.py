@@ -367,6 +367,17 @@ SELECT DISTINCT team FROM silver s WHERE team IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM gold_team g WHERE g.team = s.team)""",
     "expect_lookup": "SELECT thread_id, user_id, team, updated_at FROM feed WHERE thread_id IS NOT NULL",
     "expect_silver": f"SELECT {_SILVER_COLS} FROM silver_all",
+    "expect_lookup_nulls": "SELECT thread_id, user_id, team, updated_at FROM feed WHERE event_id % 17 <> 0",
+    "expect_warn_counts": """
+SELECT 'checkpoint_ts_not_null' AS rule, count(*) AS total, count(*) FILTER (WHERE checkpoint_ts IS NULL) AS failed
+FROM silver_all""",
+    "open_version_duplicates": """
+SELECT thread_id, count(*) AS open_versions FROM (
+  SELECT thread_id FROM cur UNION ALL SELECT thread_id FROM cur WHERE CAST(substr(user_id, 2) AS BIGINT) % 3 = 0) z
+GROUP BY thread_id HAVING count(*) > 1""",
+    "missing_teams_found": """
+SELECT DISTINCT team FROM silver s WHERE team IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM gold_team g WHERE g.team = s.team AND g.team <> 'team_0')""",
     "expect_quarantine": f"SELECT {_SILVER_COLS} FROM silver_all WHERE checkpoint_ts IS NULL",
     "expect_report": _REPORT,
     "checks": _CHECKS,
