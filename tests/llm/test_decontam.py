@@ -48,15 +48,12 @@ def test_query_equals_brute_force_on_planted_and_given_rows(spark):
     assert found > 20
 
 
-def test_blocks_find_every_fingerprint_within_the_radius():
+def test_blocks_find_every_fingerprint_within_the_radius(monkeypatch):
     rng = np.random.default_rng(1)
     prints = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
-    index = D.Index(np.arange(300), np.full(300, 9), [], np.zeros(0, np.uint64), prints, [])
-    for b in range(D.BLOCKS):
-        own = ((prints >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.int64)
-        order = np.argsort(own, kind="stable")
-        values, first = np.unique(own[order], return_index=True)
-        index.blocks.append((values, np.append(first, 300), order))
+    monkeypatch.setattr(D, "simhash", lambda sums, starts, size: sums)
+    monkeypatch.setattr(D, "bit_sums", lambda g: g)
+    index = D.index_of(9, list(range(300)), [np.array([x]) for x in prints])
     asked = prints[:100].copy()
     for i in range(100):
         for bit in rng.choice(63, int(rng.integers(0, 26)), replace=False):

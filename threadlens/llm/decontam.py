@@ -8,7 +8,7 @@ benchmark's, so other windows are never fingerprinted; the rest get a 64-bit
 SimHash of their weighted shingles.  Fingerprints meet through a multi-index:
 four blocks of 16 bits, and every item with a block within a quarter of the
 radius is a candidate, which finds all fingerprints within the radius
-(pigeonhole).  Candidates are verified by the exact weighted Jaccard
+(pigeonhole); there is one multi-index per item length.  Candidates are verified by the exact weighted Jaccard
 similarity of the shingle multisets.
 
 The benchmark reaches the tasks in blocks of at most BLOCK_WORDS words, one
@@ -42,7 +42,7 @@ K, SIMILARITY, RADIUS = 5, 0.8, 19
 #: Benchmark words that one pass holds in memory (some 100 bytes each).
 BLOCK_WORDS = 1_000_000
 BLOCKS = 4
-#: Windows that are fingerprinted at once.
+#: Window starts of a stretch of text that is fingerprinted at once.
 CHUNK_WINDOWS = 4096
 
 _POP = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
@@ -50,17 +50,20 @@ LEAKS = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.Stru
                                   T.StructField("word", T.LongType()), T.StructField("words", T.LongType())]))
 
 
-def simhash(grams: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
-    """64-bit SimHash of windows of k consecutive shingles: a shingle weighs as often as it occurs."""
-    first, out = int(starts.min()), np.zeros(len(starts), np.uint64)
-    span = W.mix64(grams[first: int(starts.max()) + k] ^ np.uint64(0x5851F42D4C957F2D))
-    for bit in range(64):
-        on = np.concatenate([[0], np.cumsum(((span >> np.uint64(bit)) & np.uint64(1)).astype(np.int32))])
-        ones = on[starts - first + k] - on[starts - first]
-        out |= (2 * ones > k).astype(np.uint64) << np.uint64(bit)
+def bit_sums(grams: np.ndarray) -> np.ndarray:
+    """(64, n + 1) running counts of each fingerprint bit over a run of shingles."""
+    spread = W.mix64(grams ^ np.uint64(0x5851F42D4C957F2D))
+    out = np.zeros((64, len(grams) + 1), np.int32)
+    np.cumsum((spread[None, :] >> np.arange(64, dtype=np.uint64)[:, None]) & np.uint64(1), axis=1, out=out[:, 1:])
     return out
 
 
+def simhash(sums: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """64-bit SimHash of windows of ``size`` consecutive shingles: a shingle weighs as often as it occurs."""
+    ones = sums[:, starts + size] - sums[:, starts]
+    return ((2 * ones > size).astype(np.uint64) << np.arange(64, dtype=np.uint64)[:, None]).sum(axis=0, dtype=np.uint64)
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Weighted Jaccard similarity of two multisets of shingles."""
     ua, ca = np.unique(a, return_counts=True)
@@ -72,12 +75,11 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 @dataclass
 class Index:
-    """Items of one block of the benchmark."""
+    """The multi-index of the items of one length."""
 
+    length: int  # words
     ids: np.ndarray
-    lengths: np.ndarray  # words
     grams: list[np.ndarray]
-    vocabulary: np.ndarray  # sorted shingles of all items
     prints: np.ndarray
     blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # distinct values, first, items in order of value
 
@@ -98,25 +100,37 @@ class Index:
         return w[far <= radius], i[far <= radius]
 
 
-def build_index(ids: list[int], texts: list[str], k: int = K) -> Index | None:
-    found = _words(*W.buffers(pa.array(texts, pa.string())))
-    keep, grams, lengths = [], [], []
-    for i in range(len(ids)):
-        own = found.of(i)
-        if len(own):
-            keep.append(ids[i])
-            grams.append(W.shingles(own, k))
-            lengths.append(len(own))
-    if not keep:
-        return None
-    prints = np.array([simhash(g, np.zeros(1, np.int64), len(g))[0] for g in grams], np.uint64)
+@dataclass
+class Items:
+    """One block of the benchmark: an index per length, and the sorted shingles of all items."""
+
+    lengths: list[Index]
+    vocabulary: np.ndarray
+
+
+def index_of(length: int, ids: list[int], grams: list[np.ndarray]) -> Index:
+    prints = np.array([simhash(bit_sums(g), np.zeros(1, np.int64), len(g))[0] for g in grams], np.uint64)
     blocks = []
     for b in range(BLOCKS):
         own = ((prints >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.int64)
         order = np.argsort(own, kind="stable")
         values, first = np.unique(own[order], return_index=True)
         blocks.append((values, np.append(first, len(own)), order))
-    return Index(np.array(keep, np.int64), np.array(lengths), grams, np.unique(np.concatenate(grams)), prints, blocks)
+    return Index(length, np.array(ids, np.int64), grams, prints, blocks)
+
+
+def build_items(ids: list[int], texts: list[str], k: int = K) -> Items | None:
+    found = _words(*W.buffers(pa.array(texts, pa.string())))
+    by_length: dict[int, tuple[list[int], list[np.ndarray]]] = {}
+    for i in range(len(ids)):
+        own = found.of(i)
+        if len(own):
+            kept = by_length.setdefault(len(own), ([], []))
+            kept[0].append(ids[i])
+            kept[1].append(W.shingles(own, k))
+    if not by_length:
+        return None
+    return Items([index_of(n, *by_length[n]) for n in sorted(by_length)], np.unique(np.concatenate([g for _, gs in by_length.values() for g in gs])))
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> W.Words:
@@ -128,37 +142,49 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> W.Words:
     return W.find_words(data, offsets, W.PUNCT, lower=True)
 
 
-def search(words: np.ndarray, index: Index, hit: np.ndarray, k: int, least: float, radius: int) -> dict[int, tuple[float, int, int]]:
+def search(words: np.ndarray, items: Items, hit: np.ndarray, k: int, least: float, radius: int) -> dict[int, tuple[float, int, int]]:
     """item -> (similarity, first word, words) of its best window in one document.
 
     ``hit`` marks the positions whose k-word shingle is the benchmark's (for
     lengths of at least k).
     """
     best: dict[int, tuple[float, int, int]] = {}
-    n = len(words)
+    n, whole = len(words), None
     total = np.concatenate([[0], np.cumsum(hit)])
-    for length in np.unique(index.lengths):
-        length = int(length)
-        if length > n:
+    asked = []  # (index, shingles, window starts) of each length with a window that may be similar
+    for index in items.lengths:
+        if index.length > n:
             break
-        size = max(length - k + 1, 1)
-        grams = W.shingles(words, min(k, length)) if length < k else None
-        if grams is None:
+        size = max(index.length - k + 1, 1)
+        if index.length < k:
+            grams = W.shingles(words, index.length)
+            starts = np.flatnonzero(np.isin(grams, items.vocabulary))
+        else:
             enough = math.ceil(2 * least / (1 + least) * size - 1e-9)
+            if total[-1] < enough:
+                continue
+            whole = W.shingles(words, k) if whole is None else whole
+            grams = whole
             starts = np.flatnonzero(total[size: n - k + 2] - total[: n - k + 2 - size] >= enough)
-        else:
-            starts = np.flatnonzero(np.isin(grams, index.vocabulary))
-        if not len(starts):
-            continue
-        grams = W.shingles(words, k) if grams is None else grams
-        for lo in range(0, len(starts), CHUNK_WINDOWS):
-            at = starts[lo: lo + CHUNK_WINDOWS]
-            w, items = index.candidates(simhash(grams, at, size), radius)
-            for x, i in zip(at[w].tolist(), items.tolist()):
-                if index.lengths[i] == length:
-                    s = similarity(grams[x: x + size], index.grams[i])
-                    if s >= least and s > best.get(i, (0.0,))[0]:
-                        best[i] = (s, x, length)
+        if len(starts):
+            asked.append((index, grams, size, starts))
+    # windows of all lengths share the bit counts of a stretch of the text
+    for at in sorted({int(c) for *_, starts in asked for c in np.unique(starts // CHUNK_WINDOWS)}):
+        sums: dict[int, tuple[int, np.ndarray]] = {}
+        for index, grams, size, starts in asked:
+            own = starts[(starts >= at * CHUNK_WINDOWS) & (starts < (at + 1) * CHUNK_WINDOWS)]
+            if not len(own):
+                continue
+            if id(grams) not in sums:
+                mine = [(s[s // CHUNK_WINDOWS == at], m) for _, g, m, s in asked if g is grams]
+                lo, hi = min(int(s[0]) for s, _ in mine if len(s)), max(int(s[-1]) + m for s, m in mine if len(s))
+                sums[id(grams)] = lo, bit_sums(grams[lo:hi])
+            lo, counts = sums[id(grams)]
+            w, found = index.candidates(simhash(counts, own - lo, size), radius)
+            for x, i in zip(own[w].tolist(), found.tolist()):
+                s, item = similarity(grams[x: x + size], index.grams[i]), int(index.ids[i])
+                if s >= least and s > best.get(item, (0.0,))[0]:
+                    best[item] = (s, x, index.length)
     return best
 
 
@@ -172,12 +198,12 @@ def _pass(index, k: int, least: float, radius: int, at: int):
             for lo, hi in W.slices(offsets):
                 words = _words(data[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo])
                 hits = _hits(words.hashes, items.vocabulary, k)
-                short = bool((items.lengths < k).any())
+                short = items.lengths[0].length < k
                 for i in range(hi - lo):
                     own = words.of(i)
                     hit = hits[words.first[i]: max(words.first[i + 1] - k + 1, words.first[i])]
                     got = search(own, items, hit, k, least, radius) if len(own) and (short or hit.any()) else {}
-                    found.append([{"item_id": int(items.ids[x]), "similarity": s, "word": w, "words": m} for x, (s, w, m) in sorted(got.items())])
+                    found.append([{"item_id": x, "similarity": s, "word": w, "words": m} for x, (s, w, m) in sorted(got.items())])
             new = pa.array(found, _LEAKS)
             old = batch.column(batch.num_columns - 1)
             new = pa.array([a + b for a, b in zip(old.to_pylist(), found)], _LEAKS) if old.null_count == 0 and len(old.flatten()) else new
@@ -210,9 +236,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, k: int = K, least: float =
     at = out.columns.index("text")
     for b in range(n):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).orderBy("item_id").toArrow() if n > 1 else items.orderBy("item_id").toArrow()
-        index = build_index(own["item_id"].to_pylist(), own["text"].to_pylist(), k)
-        if index is not None:
-            out = out.mapInArrow(_pass(spark.sparkContext.broadcast(index), k, least, radius, at), out.schema)
+        held = build_items(own["item_id"].to_pylist(), own["text"].to_pylist(), k)
+        if held is not None:
+            out = out.mapInArrow(_pass(spark.sparkContext.broadcast(held), k, least, radius, at), out.schema)
     return out
 
 
