@@ -42,9 +42,9 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 MIN_GROUP = 30
 #: Spreads in standard deviations, and the least relative widths.
-SIGMAS, FERTILITY_WIDTH, ENTROPY_WIDTH, BYTE_WIDTH = 6.0, 0.10, 0.15, 0.05
+SIGMAS, FERTILITY_WIDTH, ENTROPY_WIDTH, BYTE_WIDTH = 8.0, 0.10, 0.15, 0.05
 #: Words whose pieces are remembered by a task.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 #: Texts are tokenised in parts of about this many characters, cut at white space.
 PART_CHARS = 1 << 16
 
@@ -79,7 +79,7 @@ class Vocabularies:
         self.size = max(ranks.values()) + 1
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=f"{folder}/{PIECE_BPE}")
         self.fallback = frozenset(i for i in range(self.pieces.get_piece_size()) if self.pieces.is_byte(i))
-        self.seen: dict[str, tuple[int, int]] = {}
+        self.seen: dict[str, int] = {}
 
     def byte_tokens(self, text: str) -> np.ndarray:
         """Counts of the byte-level tokens that occur in a text."""
@@ -94,25 +94,22 @@ class Vocabularies:
     def piece_tokens(self, tokens: list[str]) -> tuple[int, int]:
         """(pieces, byte pieces) of a list of words: its merges never cross white space."""
         seen = self.seen
-        new = [w for w in set(tokens) if w not in seen]
+        new = set(tokens).difference(seen)
         if new:
             if len(seen) > CACHE_WORDS:
                 seen.clear()
-                new = list(set(tokens))
-            fallback = self.fallback
-            cut = [p for w in new for p in (parts(w) if len(w) > PART_CHARS else (w,))]
-            out = self.pieces.encode(cut, num_threads=1)
-            if len(cut) == len(new):
-                for w, ids in zip(new, out):
-                    seen[w] = (len(ids), sum(i in fallback for i in ids))
-            else:
-                at = 0
-                for w in new:
-                    k = len(list(parts(w))) if len(w) > PART_CHARS else 1
-                    seen[w] = (sum(map(len, out[at: at + k])), sum(i in fallback for ids in out[at: at + k] for i in ids))
-                    at += k
-        got = [seen[w] for w in tokens]
-        return sum(g[0] for g in got), sum(g[1] for g in got)
+                new = set(tokens)
+            short, none = [w for w in new if len(w) <= PART_CHARS], self.fallback.isdisjoint
+            for w, ids in zip(short, self.pieces.encode(short, num_threads=1)):
+                seen[w] = len(ids) if none(ids) else self._packed(ids)
+            for w in new.difference(short):
+                seen[w] = sum(map(self._packed, self.pieces.encode(list(parts(w)), num_threads=1)))
+        total = sum(map(seen.__getitem__, tokens))
+        return total & 0xFFFFFFFF, total >> 32
+
+    def _packed(self, ids: list[int]) -> int:
+        """Pieces in the low 32 bits, byte pieces above."""
+        return len(ids) + (sum(i in self.fallback for i in ids) << 32)
 
 
 def parts(text: str) -> Iterator[str]:
@@ -180,7 +177,7 @@ def measure(column: pa.Array, folder: str) -> dict[str, list]:
             counts = vocab.byte_tokens(text)
             tokens = int(counts.sum())
             p = counts / max(tokens, 1)
-            pieces, fallback = vocab.piece_tokens(text.translate(_SPACES).split(" ") if n else [])
+            pieces, fallback = vocab.piece_tokens(text.split())
             chars = int(letters[offs[i + 1]] - letters[offs[i]])
             row = (n, chars, int(kinds[list(SYMBOLS)].sum()), dup_lines(text), repeat_words(found.of(i)), tokens,
                    SCRIPTS[int(np.argmax(share))] if any(share) else "none",
@@ -191,9 +188,6 @@ def measure(column: pa.Array, folder: str) -> dict[str, list]:
     return out
 
 
-_SPACES = {c: " " for c in range(0x09, 0x0E)}
-
-
 def measured(docs: DataFrame, folder: str = TOKENIZERS) -> DataFrame:
     """``docs`` without its text unless kept by the caller: every column but ``_text``, and the struct ``_m`` of METRICS."""
     ship(docs.sparkSession)
