@@ -50,3 +50,13 @@ def test_awkward_rows(spark):
     got = L.op6_license_dice(awkward(spark)).collect()
     assert len(got) == 13 and all(tuple(r)[1:] == (0, "", 0.0) for r in got)
     assert L.op6_license_dice(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("percent", [60, 80, 95])
+def test_every_similar_unit_holds_an_anchor_word(percent):
+    anchors = set(L.anchor_words(percent))
+    for _, grams in L.template_grams():
+        size = sum(grams.values())
+        free = sum(k for g, k in grams.items() if not set(g.split()) & anchors)
+        # with no anchor at most `free` bigrams can be shared, too few for any unit size
+        assert free * (200 - percent) < percent * size

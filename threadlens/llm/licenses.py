@@ -4,8 +4,8 @@ Units of a text are its lines, its paragraphs of several lines, and the whole
 text, normalised to lower-case words of letters and digits.  A unit with a
 bigrams and a template with b share at least t (a + b) / 2 of them, so only
 templates with t / (2 - t) <= a / b <= (2 - t) / t are compared, and units
-outside the bounds of all templates, or without any template's bigram, leave
-before that.  Bigrams count as often as they occur.  Everything is an
+outside the bounds of all templates, without any of a few words of which every
+similar unit holds one, or without any template's bigram, leave before that.  Bigrams count as often as they occur.  Everything is an
 expression over one row: nothing is shuffled.
 
 Defined cases: a null or empty text has no units and no licence; units that
@@ -17,6 +17,8 @@ result; other columns are ignored.
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +58,28 @@ def template_grams() -> list[tuple[str, Counter]]:
     return out
 
 
+def anchor_words(percent: int = PERCENT) -> list[str]:
+    """Words of which every similar unit holds one.
+
+    A similar unit shares at least t / (2 - t) of a template's bigrams.  Words
+    are taken, those in most open bigrams first, until the bigrams with a
+    chosen word are more than the rest of every template.
+    """
+    chosen: list[str] = []
+    while True:
+        left: Counter = Counter()
+        for _, grams in template_grams():
+            held = sum(k for g, k in grams.items() if set(g.split()) & set(chosen))
+            if held * (200 - percent) <= sum(grams.values()) * (200 - 2 * percent):
+                for g, k in grams.items():
+                    for w in set(g.split()) - set(chosen):
+                        if not set(g.split()) & set(chosen):
+                            left[w] += k * (1000 if len(w) > 5 else 1)  # long words are rare in prose
+        if not left:
+            return sorted(chosen)
+        chosen.append(min(left, key=lambda w: (-left[w], w)))
+
+
 def units(text: Column) -> Column:
     """Distinct normalised units of a text, words separated by one space."""
     plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\n]+", " ")
@@ -78,8 +102,12 @@ def scan(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     low, high = percent / (200 - percent) * min(sizes), (200 - percent) / percent * max(sizes)
     every = F.array(*[F.lit(g) for g in sorted({g for _, c in grams for g in c})])
     spaces = lambda u: F.length(u) - F.length(F.replace(u, F.lit(" "), F.lit("")))
-    fitting = F.filter(units(F.col("text")), lambda u: spaces(u).between(low, high))
+    anchors = anchor_words(percent)
+    anchored = lambda u: reduce(or_, [F.contains(u, F.lit(w)) for w in anchors])
+    fitting = F.filter(units(F.col("text")), lambda u: spaces(u).between(low, high) & anchored(u))
     maybe = F.filter(F.transform(fitting, _grams), lambda g: F.arrays_overlap(g, every))
+    # most texts hold no anchor and aren't cut up
+    maybe = F.when(anchored(F.lower(F.col("text"))), maybe).otherwise(F.array().cast("array<array<string>>"))
 
     table = F.array(*[
         F.struct(F.lit(name).alias("name"), F.lit(size).alias("size"), F.array(*[F.struct(F.lit(g).alias("g"), F.lit(k).alias("k")) for g, k in own.items()]).alias("grams"))
