@@ -81,6 +81,20 @@ def test_large_groups_are_cut_into_blocks_without_loss(spark, monkeypatch):
     assert run(spark, texts) == brute(texts)
 
 
+@pytest.mark.parametrize("percent", [80, 85, 90])
+def test_cut_groups_link_shorter_and_longer_copies(spark, monkeypatch, percent):
+    texts = copies(3, 30, 3, 5)
+    for words in (21, 30, 60, 90, 399):
+        longer = words * 100 // percent
+        own = [f"w{words}x{i}" for i in range(longer + 4)]  # 5-word shingles: n + 4 words
+        for text in (own, own[: words + 4], own[longer - words:]):
+            texts[len(texts)] = " ".join(text)
+    want = brute(texts, 5, percent)
+    monkeypatch.setattr(J, "BLOCK_NODES", 1)
+    assert run(spark, texts, k=5, percent=percent) == want
+    assert all(want[i][2] for i in range(90, len(texts)))  # the shorter and the longer copies are links
+
+
 def test_keys_share_an_adjacent_pair():
     rng, excess = np.random.default_rng(0), np.zeros(1 << J.SKETCH_BITS)
     excess[rng.integers(0, len(excess), len(excess) // 10)] = 500

@@ -270,14 +270,15 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return np.array([find(x) for x in range(n)], np.int64)
 
 
-def _tasks(nodes: DataFrame) -> DataFrame:
+def _tasks(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, n, copies, group) -> one row per node and task: ``task`` and ``side`` (0 and 1 are compared with each other only, 2 with all)."""
     sizes = nodes.groupBy("group").agg(F.count("*").alias("g_nodes"), F.sum("n").alias("g_shingles"))
     whole = (F.col("g_nodes") <= BLOCK_NODES) & (F.col("g_shingles") <= BLOCK_SHINGLES)
     nodes = nodes.join(sizes, "group")
     one = nodes.where(whole).select("node", "n", "copies", F.concat_ws(":", F.col("group")).alias("task"), F.lit(2).alias("side"))
-    # classes of ratio 1/t, found on whole numbers so that both sides agree
-    many = nodes.where(~whole).withColumn("cls", F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / PERCENT)) + F.lit(1e-9)))
+    # classes of ratio 1/t, found on whole numbers so that both sides agree (at t = 1 only equal sizes are similar: any ratio serves)
+    ratio = math.log(100 / min(percent, 99))
+    many = nodes.where(~whole).withColumn("cls", F.floor(F.log(F.col("n").cast("double")) / F.lit(ratio) + F.lit(1e-9)))
     cut = many.groupBy("group", "cls").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     many = many.join(cut, ["group", "cls"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -336,7 +337,7 @@ def similar(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     groups = components(holders(signed))
     nodes = sets.where("node is not null").groupBy("node").agg(F.max("n").alias("n"), F.max("copies").alias("copies"), F.min("a").alias("a")).join(
         groups.select(F.col("node").alias("a"), F.col("component").alias("group")), "a")
-    tasks = _tasks(written(nodes, "jaccard-nodes"))
+    tasks = _tasks(written(nodes, "jaccard-nodes"), percent)
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(tasks, "node")
     found = texts.groupBy("task").applyInArrow(_compare(excess, k, percent), "node long, root long, links long")
     found = written(found, "jaccard-links")
