@@ -1,4 +1,5 @@
 import collections
+import re
 
 import pytest
 
@@ -38,6 +39,21 @@ def test_base_figures_equal_brute_force(spark):
     assert sum(good) / len(good) > 0.98 and sum(bad) / len(bad) < 0.5
 
 
+def test_junk_that_the_base_rules_leave_is_rejected_by_kind(spark):
+    docs = table(spark, "documents", "sf0.1")
+    labels = {r.doc_id: r.quality for r in table(spark, "labels", "sf0.1").collect()}
+    texts = {r.doc_id: r.text for r in docs.collect() if r.doc_id in labels}
+    kept = collections.defaultdict(list)
+    for r in Q.op2_token_fertility(docs.repartition(16)).collect():
+        if r.doc_id in labels and not r.base_failed:
+            text = texts[r.doc_id]
+            junk = "table" if len(re.findall(r" \| ", text)) > 5 else "symbols" if re.search(r"[#%$*&<>!]{3}", text) else "other"
+            kept["good" if labels[r.doc_id] else junk].append(r.kept)
+    share = {k: sum(v) / len(v) for k, v in kept.items()}
+    assert len(kept["table"]) > 100 and len(kept["symbols"]) > 100 and len(kept["good"]) > 3000
+    assert share["good"] > 0.99 and share["table"] < 0.25 and share["symbols"] < 0.05
+
+
 def test_measures_equal_whole_text_tokenisation(monkeypatch):
     import numpy as np
     import pyarrow as pa

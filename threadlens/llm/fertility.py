@@ -6,8 +6,8 @@ tokens, and the entropy of the former's tokens.  Rejection bands are medians
 plus and minus a spread, per language and script, from all rows of the table:
 
 * characters per token: the spread shrinks with the root of the token count,
-  and is a tenth of the median at least;
-* entropy: per language, script and power of two of the token count, 15 % of
+  and is 5 % of the median at least;
+* entropy: per language, script and power of two of the token count, 8 % of
   the median at least;
 * byte tokens: an upper limit, five points above the median at least.
 
@@ -41,8 +41,8 @@ BYTE_BPE, PIECE_BPE = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 MIN_GROUP = 30
-#: Spreads in standard deviations, and the least relative widths.
-SIGMAS, FERTILITY_WIDTH, ENTROPY_WIDTH, BYTE_WIDTH = 8.0, 0.10, 0.15, 0.05
+#: Spreads in standard deviations, and the least relative widths (README: measured spreads and shares rejected).
+SIGMAS, FERTILITY_WIDTH, ENTROPY_WIDTH, BYTE_WIDTH = 4.0, 0.05, 0.08, 0.05
 #: Words whose pieces are remembered by a task.
 CACHE_WORDS = 600_000
 #: Texts are tokenised in parts of about this many characters, cut at white space.
