@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from tests.llm.cases import PROSE, SCHEMA, awkward, empty, row
+from tests.llm.cases import PROSE, SCHEMA, awkward, empty, row, table
 from threadlens.llm import licenses as L
 
 
@@ -38,6 +38,34 @@ def test_lines_paragraphs_and_altered_notices(spark):
     assert hits >= 8
 
 
+LINES = {
+    "This work is licensed under the GNU General Public License, version 3.": "GPL", "Released under the MIT License.": "MIT", "All rights reserved.": "Proprietary",
+    "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+}
+
+
+def test_every_licence_line_of_the_documents_is_found(spark):
+    docs = table(spark, "documents", "sf0.1")
+    lines = {r.doc_id: {x.strip() for x in r.text.split("\n") if re.search("licen[sc]|rights reserved|copyright", x, re.I)} for r in docs.where("text is not null").collect()}
+    assert {x for own in lines.values() for x in own} == set(LINES)
+    for r in L.op6_license_dice(docs.repartition(16)).collect():
+        assert r.licenses == ",".join(sorted(LINES[x] for x in lines.get(r.doc_id, ()))), r.doc_id
+
+
+@pytest.mark.parametrize("before", ["Licensed", "This work is licensed", "This software is licensed"])
+def test_short_notices_are_found(spark, before):
+    names = {"GNU General Public License, version 2": "GPL", "GNU General Public License, version 3": "GPL", "GNU Lesser General Public License, version 2.1": "LGPL",
+             "GNU Lesser General Public License, version 3": "LGPL", "GNU Affero General Public License, version 3": "AGPL", "Mozilla Public License, version 2.0": "MPL-2.0",
+             "BSD License": "BSD", "BSD 2-Clause License": "BSD", "BSD 3-Clause License": "BSD", "ISC License": "ISC"}
+    texts = [f"{before} under the {name}." for name in names]
+    docs = spark.createDataFrame([row(i, f"{PROSE}\n{t}\n{PROSE}") for i, t in enumerate(texts)], SCHEMA)
+    for r in L.op6_license_dice(docs).collect():
+        want = list(names.values())[r.doc_id]
+        assert want in r.licenses.split(","), texts[r.doc_id]
+        if before != "Licensed":  # one word apart of few: the GPL's shortest notices are similar to each other's
+            assert r.licenses == want
+
+
 def test_size_bounds_lose_no_match():
     for t in (50, 80, 95):
         for b in range(1, 40):

@@ -38,6 +38,18 @@ TEMPLATES = (
     ("GPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
     ("AGPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL", "Licensed under the GNU General Public License, version 2."),
+    ("GPL", "Licensed under the GNU General Public License, version 3."),
+    ("LGPL", "Licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL", "Licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL", "Licensed under the GNU Affero General Public License, version 3."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    ("BSD", "Licensed under the BSD License."),
+    ("BSD", "Is licensed under the BSD License."),
+    ("BSD", "Licensed under the BSD 2-Clause License."),
+    ("BSD", "Licensed under the BSD 3-Clause License."),
+    ("ISC", "Licensed under the ISC License."),
+    ("ISC", "Is licensed under the ISC License."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
