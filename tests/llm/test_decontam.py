@@ -48,6 +48,32 @@ def test_query_equals_brute_force_on_planted_and_given_rows(spark):
     assert found > 20
 
 
+def test_documents_shorter_than_an_item_are_the_window(spark):
+    items = [(r.item_id, r.text) for r in table(spark, "benchmark").collect()]
+    items += [(9000, "a b c d e f g a b c d e f g a b c d e f g"), (9001, "one two three four five six seven eight nine"), (9002, "one two three four")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rng, texts = np.random.default_rng(5), ["one two three four five six seven eight", "one two three", "two three four five six seven eight nine", "one two three four five six"]
+    for i, (_, text) in enumerate(items[:40] + items[-3:-2]):
+        own = text.split()
+        for cut in (1, 2, 4, 7):
+            texts += [" ".join(own[cut:]), " ".join(own[:-cut])]
+        own[int(rng.integers(len(own)))] = "changed"
+        texts += [" ".join(own[1:]), " ".join(own[1:-1])]
+    asked = [[(item, WORD.findall(text.lower())) for item, text in items], [WORD.findall(t.lower()) for t in texts]]
+    found = 0
+    for r in D.op1_simhash_decontam(spark.createDataFrame([row(i, t) for i, t in enumerate(texts)], SCHEMA), bench).collect():
+        words, want = asked[1][r.doc_id], brute(texts[r.doc_id], items)
+        for item, own in asked[0]:
+            if len(words) < len(own) and len(words) >= 5:
+                a, b = (collections.Counter(zip(*[x[i:] for i in range(5)])) for x in (own, words))
+                j = sum((a & b).values()) / sum((a | b).values())
+                if j >= 0.8:
+                    want[item], found = j, found + 1
+        assert r.item_ids == ",".join(map(str, sorted(want))), texts[r.doc_id]
+        assert r.similarity == pytest.approx(max(want.values(), default=0))
+    assert found > 100
+
+
 def test_blocks_find_every_fingerprint_within_the_radius(monkeypatch):
     rng = np.random.default_rng(1)
     prints = rng.integers(0, 1 << 63, 300, dtype=np.uint64)

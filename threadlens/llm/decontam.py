@@ -11,6 +11,11 @@ radius is a candidate, which finds all fingerprints within the radius
 (pigeonhole); there is one multi-index per item length.  Candidates are verified by the exact weighted Jaccard
 similarity of the shingle multisets.
 
+A document shorter than an item is itself the window, as an item that was cut
+off.  It is similar only if its shingles are at least t of the item's in number
+and t/(1+t) of both are shared, so few items come into question; they are
+looked up by their shingles, without fingerprints.
+
 The benchmark reaches the tasks in blocks of at most BLOCK_WORDS words, one
 pass each in the same stage; nothing is shuffled and documents are never cut.
 
@@ -82,6 +87,15 @@ class Index:
     grams: list[np.ndarray]
     prints: np.ndarray
     blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # distinct values, first, items in order of value
+    held: tuple[np.ndarray, np.ndarray]  # distinct shingles of each item in order, and their items
+
+    def holders(self, grams: np.ndarray, enough: int) -> np.ndarray:
+        """Items that may share ``enough`` shingles, counted as often as in ``grams``."""
+        own, many = np.unique(grams, return_counts=True)
+        lo, hi = (np.searchsorted(self.held[0], own, side) for side in ("left", "right"))
+        size = hi - lo
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
+        return np.flatnonzero(np.bincount(self.held[1][at], np.repeat(many, size), len(self.ids)) >= enough)
 
     def candidates(self, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) pairs within the radius, through the blocks."""
@@ -116,7 +130,10 @@ def index_of(length: int, ids: list[int], grams: list[np.ndarray]) -> Index:
         order = np.argsort(own, kind="stable")
         values, first = np.unique(own[order], return_index=True)
         blocks.append((values, np.append(first, len(own)), order))
-    return Index(length, np.array(ids, np.int64), grams, prints, blocks)
+    distinct = [np.unique(g) for g in grams]
+    flat, item = np.concatenate(distinct), np.repeat(np.arange(len(grams)), [len(g) for g in distinct])
+    order = np.argsort(flat, kind="stable")
+    return Index(length, np.array(ids, np.int64), grams, prints, blocks, (flat[order], item[order]))
 
 
 def build_items(ids: list[int], texts: list[str], k: int = K) -> Items | None:
@@ -153,9 +170,19 @@ def search(words: np.ndarray, items: Items, hit: np.ndarray, k: int, least: floa
     total = np.concatenate([[0], np.cumsum(hit)])
     asked = []  # (index, shingles, window starts) of each length with a window that may be similar
     for index in items.lengths:
-        if index.length > n:
-            break
         size = max(index.length - k + 1, 1)
+        if index.length > n:  # the whole document is the window
+            if n < k or n - k + 1 < least * size - 1e-9:
+                break
+            enough = math.ceil(least / (1 + least) * (size + n - k + 1) - 1e-9)
+            if total[-1] < enough:
+                break
+            whole = W.shingles(words, k) if whole is None else whole
+            for i in index.holders(whole, enough).tolist():
+                s, item = similarity(whole, index.grams[i]), int(index.ids[i])
+                if s >= least and s > best.get(item, (0.0,))[0]:
+                    best[item] = (s, 0, n)
+            continue
         if index.length < k:
             grams = W.shingles(words, index.length)
             starts = np.flatnonzero(np.isin(grams, items.vocabulary))
