@@ -1,0 +1,120 @@
+import collections
+import hashlib
+import zlib
+
+import pytest
+
+from tests.llm.cases import SCHEMA, awkward, awkward_rows, empty, row, table
+from threadlens.llm import merkle as M
+
+
+def h(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf_of(r, text):
+    values = (r["doc_id"], r["source"], r["lang"], r["n_chars"], text)
+    return h("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def levels(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([h("".join(out[-1][i: i + 8])) for i in range(0, len(out[-1]), 8)])
+    return out
+
+
+def siblings(tree, at):
+    out = []
+    for level in tree[:-1]:
+        lo = at // 8 * 8
+        out.append((level[lo:at], level[at + 1: lo + 8]))
+        at //= 8
+    return out
+
+
+def brute(rows):
+    """Multiset of result rows."""
+    groups = collections.defaultdict(list)
+    for r in rows:
+        text = r["text"]
+        leaf = leaf_of(r, text)
+        tampered = r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 == 0
+        low = text if text is None else "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+        groups[r["lang"]].append((r["doc_id"], leaf, leaf_of(r, low) if tampered else leaf))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {}
+    for g in order:
+        groups[g].sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        trees[g] = levels([x[1] for x in groups[g]])
+    top = levels([trees[g][-1][0] for g in order])
+    out = collections.Counter()
+    for k, g in enumerate(order):
+        for i, (doc_id, leaf, changed) in enumerate(groups[g]):
+            path = siblings(trees[g], i) + siblings(top, k)
+            node = changed
+            for left, right in path:
+                node = h("".join(left) + node + "".join(right))
+            proof = h("".join("".join(a) + "".join(b) for a, b in path))
+            out[doc_id, leaf, trees[g][-1][0], top[-1][0], proof, node, node == top[-1][0]] += 1
+    return out
+
+
+COLUMNS = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+
+
+def same(df, rows):
+    assert df.columns == COLUMNS
+    assert collections.Counter(tuple(r) for r in df.collect()) == brute(rows)
+
+
+def test_documents_equal_brute_force(spark):
+    docs = table(spark, "documents", "sf0.01")
+    same(M.op12_merkle_versions(docs), [r.asDict() for r in docs.collect()])
+
+
+@pytest.mark.parametrize("height", [1, 2])
+def test_many_levels_of_blocks(spark, height):
+    sizes = {"a": 1, "b": 2, "c": 8, "d": 9, "e": 64, "f": 65, "g": 513, None: 130}
+    rows, k = [], 0
+    for lang, n in sizes.items():
+        for _ in range(n):
+            rows.append(row(k * 7 % 1009, f"Text {k} IT", lang))
+            k += 1
+    rows += [row(5000 + i, "One", f"l{i:03}") for i in range(70)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    same(M.op12_merkle_versions(docs, height), [r.asDict() for r in docs.collect()])
+
+
+def test_awkward_and_empty_tables(spark):
+    names = [f.strip("`").split()[0] for f in SCHEMA.split(", ")]
+    rows = [dict(zip(names, r)) for r in awkward_rows()]
+    same(M.op12_merkle_versions(awkward(spark)), rows)
+    assert M.op12_merkle_versions(empty(spark)).count() == 0
+    one = awkward(spark).where("doc_id = 4")
+    got = M.op12_merkle_versions(one).collect()
+    assert len(got) == 1 and got[0].leaf == got[0].subroot == got[0].root and got[0].proof_sha256 == h("")
+
+
+def test_versions_share_all_but_the_ancestors():
+    tree = M.Version.build([h(str(i)) for i in range(600)], M.HEIGHT)
+    new = tree.replaced(77, h("x"))
+
+    def nodes(node):
+        yield node
+        for c in node.children:
+            yield from nodes(c)
+
+    old = {id(n) for n in nodes(tree.root)}
+    fresh = [n for n in nodes(new.root) if id(n) not in old]
+    assert len(fresh) == M.HEIGHT + 1
+    assert new.root.digest == M.Version.build([h(str(i)) if i != 77 else h("x") for i in range(600)], M.HEIGHT).root.digest
+    assert M.raised(h("x"), tree.path(77)) == new.root.digest
+
+
+def test_paths_of_the_operator(spark):
+    docs = table(spark, "documents").limit(100)
+    rows = M.manifest(M.document_leaves(docs, M.F.lit(False)), with_path=True).collect()
+    for r in rows:
+        assert M.raised(r.leaf, [s.asDict() for s in r.path]) == r.root == r.folded_root
+        assert r.proof_sha256 == h("".join(s.left + s.right for s in r.path))
