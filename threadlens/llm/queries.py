@@ -21,6 +21,9 @@ OPERATORS = {
     "op8_ngram_jaccard": ("ngram_join", "documents"),
     "op9_centroid_language": ("centroids", "documents"),
     "op10_hilbert_shards": ("hilbert", "documents"),
+    "op11_bpe_backtrack": ("bpe", "documents"),
+    "op12_merkle_versions": ("merkle", "documents"),
+    "op13_conversation_repair": ("repair", "conversations"),
 }
 #: query -> name of its DuckDB SQL in that module
 SQL = {
