@@ -4,10 +4,12 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SMOKE
+from threadlens.plans import catalog, files_catalog
 
 ONE_ROW = {"null_wide", "rescued_rows"}
 ROWS_PER_ITEM = {"null_profile": 13, "column_stats": 8, "expect_report": 4, "checks": 14,
-                 "file_inventory": 2}
+                 "file_inventory": 2, "expect_warn_counts": 1}
+NAMES = sorted({**catalog.QUERIES, **files_catalog.QUERIES})
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +20,7 @@ def empty_dir(spark, tmp_path_factory):
     return d
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_on_empty_tables(spark, empty_dir, name):
     rows = E.queries()[name](spark, empty_dir).collect()
     if name in ONE_ROW:

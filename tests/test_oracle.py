@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SMOKE
+from threadlens.plans import catalog, files_catalog
 from tools.oracle_check import digest, duck
 
-NAMES = sorted(E.queries())
+NAMES = sorted({**catalog.QUERIES, **files_catalog.QUERIES})
 SQL = E.oracle_sql()
 
 

@@ -9,7 +9,7 @@ well defined; Spark plans ``orderBy().limit(k)`` as TakeOrderedAndProject
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadlens.functions.schemas import END_AT, START_AT
@@ -30,8 +30,19 @@ def user_metrics_recent(gold_user: DataFrame, as_of, days: int = 7) -> DataFrame
     )
 
 
-def team_dashboard(gold_team: DataFrame, as_of, days: int = 30) -> DataFrame:
-    """R2: team activity with checkpoints per user."""
+def newest_day(gold_team: DataFrame) -> DataFrame:
+    """The team summary with its newest date as ``_newest``.
+
+    It has one row per team and day, so the window over all of it is small;
+    the date comes with the rows, without a second pass over the feed.
+    """
+    return gold_team.withColumn("_newest", F.max("checkpoint_date").over(Window.partitionBy()))
+
+
+def team_dashboard(gold_team: DataFrame, as_of=None, days: int = 30) -> DataFrame:
+    """R2: team activity with checkpoints per user, up to ``as_of`` (default: the newest date of the summary)."""
+    if as_of is None:
+        gold_team, as_of = newest_day(gold_team), F.col("_newest")
     per_user = F.round(F.try_divide(F.col("checkpoint_count"), F.col("user_count")), 2)
     return (
         gold_team.filter(F.col("checkpoint_date") >= _since(as_of, days))
@@ -41,8 +52,10 @@ def team_dashboard(gold_team: DataFrame, as_of, days: int = 30) -> DataFrame:
     )
 
 
-def team_summary_recent(gold_team: DataFrame, as_of, days: int = 7) -> DataFrame:
-    """Team summary for the last ``days`` days."""
+def team_summary_recent(gold_team: DataFrame, as_of=None, days: int = 7) -> DataFrame:
+    """Team summary for the last ``days`` days up to ``as_of`` (default: the newest date of the summary)."""
+    if as_of is None:
+        gold_team, as_of = newest_day(gold_team), F.col("_newest")
     return (
         gold_team.filter(F.col("checkpoint_date") >= _since(as_of, days))
         .select("team", "checkpoint_date", "checkpoint_count", "user_count",

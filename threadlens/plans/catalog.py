@@ -123,8 +123,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "processing_lag": _q(lambda L: monitor.processing_lag(L.silver, L.bronze, with_time=False)),
     "volume_by_date": _q(lambda L: monitor.volume_by_date(L.silver)),
     "user_metrics_last7": _q(lambda L: reports.user_metrics_recent(L.gold_user, L.newest_date(), 7)),
-    "team_summary_last7": _q(lambda L: reports.team_summary_recent(L.gold_team, L.newest_date(), 7)),
-    "team_dashboard": _q(lambda L: reports.team_dashboard(L.gold_team, L.newest_date(), 30)),
+    "team_summary_last7": _q(lambda L: reports.team_summary_recent(L.gold_team, days=7)),
+    "team_dashboard": _q(lambda L: reports.team_dashboard(L.gold_team, days=30)),
     "latest_bronze": _q(lambda L: reports.latest_bronze(L.bronze, 10)),
     "latest_lookup": _q(lambda L: reports.latest_lookup(L.history, 50)),
     "latest_silver": _q(lambda L: reports.latest_silver(L.silver, 20)),

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 
 _SCANS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+_SPLITS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return cache[path]
 
 
+def spread(events: DataFrame) -> DataFrame:
+    """The events over as many partitions as there are cores, if their files give fewer splits.
+
+    A table of one Parquet row group is read by one task, and building and
+    parsing the JSON payloads after it would run on one core.  Rows are
+    hashed by ``event_id`` (the same rows meet whenever a task is retried).  A
+    large table has many splits and comes back unchanged: no shuffle at scale.
+    """
+    spark = events.sparkSession
+    splits = _SPLITS.setdefault(spark, {})
+    key = tuple(sorted(events.inputFiles()))
+    if key not in splits:
+        splits[key] = events.rdd.getNumPartitions()
+    cores = spark.sparkContext.defaultParallelism
+    return events.repartition(cores, "event_id") if 0 < splits[key] < cores else events
+
+
 def _s(col: Column) -> Column:
     return col.cast("string")
 
@@ -53,7 +71,7 @@ def checkpoint_feed(events: DataFrame) -> DataFrame:
     # every 50th event is delivered a second time: one row per delivery,
     # generated from the same scan (no second pass, no self-union)
     eid = F.col("event_id")
-    deliveries = events_with_threads(events).select(
+    deliveries = events_with_threads(spread(events)).select(
         "thread_id", "event_id", "ts", "user_id", "event_type",
         F.explode(F.when(eid % 50 == 0, F.array(F.lit(0), F.lit(1)))
                   .otherwise(F.array(F.lit(0)))).alias("_d"),
