@@ -152,6 +152,70 @@ def as_of(history: DataFrame, instant, start_col: str = START_AT, end_col: str =
     )
 
 
+def asof_join(
+    facts: DataFrame,
+    history: DataFrame,
+    keys: list[str],
+    at: str,
+    columns: list[str],
+    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
+    split_hot_keys: bool = True,
+    start_col: str = START_AT,
+    end_col: str = END_AT,
+) -> DataFrame:
+    """J5/C5 for a table of instants: every fact with the ``columns`` of the version valid at its own time ``at``.
+
+    Facts and versions of a key are put in one order (time, versions before
+    facts), where a fact's version is the last one before it; that is one
+    window, linear in the rows, however many versions a key has.  No interval
+    is compared with another, and no row is emitted twice.  Keys with more
+    than ``hot_key_rows`` facts and versions are cut by range, as in
+    ``scd2_history``: a chunk takes the version that is open where it begins
+    from a table with one row per hot chunk.
+
+    Facts before the first version, after a closed last one, or with a NULL
+    key or time come back with NULLs.  ``history`` is what ``scd2_history``
+    gives: the versions of a key don't overlap, and those without a duration
+    are never valid.
+    """
+    def complete(time: str) -> Column:
+        rule = F.col(time).isNotNull()
+        for k in keys:
+            rule = rule & F.col(k).isNotNull()
+        return rule
+
+    version = F.struct(F.col(start_col).alias("start"), F.col(end_col).alias("end"), F.struct(*columns).alias("value"))
+    fact = F.struct(*[F.col(c) for c in facts.columns])
+    moment = facts.schema[at].dataType
+    versions = history.filter(complete(start_col)).select(
+        *keys, F.col(start_col).cast(moment).alias("_at"), F.lit(0).alias("_kind"), F.col(end_col).isNull().alias("_open"),
+        F.col(end_col).cast(moment).alias("_until"), F.lit(None).cast(facts.select(fact.alias("f")).schema["f"].dataType).alias("_fact"), version.alias("_version"))
+    kind = versions.schema["_version"].dataType
+    dated = facts.filter(complete(at)).select(
+        *keys, F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("boolean").alias("_open"),
+        F.lit(None).cast(moment).alias("_until"), fact.alias("_fact"), F.lit(None).cast(kind).alias("_version"))
+    order = ["_at", "_kind", "_open", "_until"]
+    both = versions.unionByName(dated)
+    chunked = with_chunks(both, keys, order, hot_key_rows) if split_hot_keys else None
+    if chunked is None:
+        so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        found = both.withColumn("_found", F.last("_version", ignorenulls=True).over(so_far))
+    else:
+        part = [*keys, _CHUNK]
+        so_far = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)  # one row per hot chunk
+        ranks = F.struct(*order)
+        tails = chunked.filter("_hot").groupBy(*part).agg(F.max_by("_version", F.when(F.col("_kind") == 0, ranks)).alias("_tail")).select(
+            *part, F.last("_tail", ignorenulls=True).over(earlier).alias("_before"))
+        found = chunked.withColumn("_own", F.last("_version", ignorenulls=True).over(so_far)).join(tails, part, "left").withColumn(
+            "_found", F.coalesce("_own", "_before"))
+    valid = F.col("_found.end").isNull() | (F.col("_at") < F.col("_found.end").cast(moment))
+    value = F.when(valid, F.col("_found.value"))
+    out = found.filter("_kind = 1").select("_fact.*", *[value[c].alias(c) for c in columns])
+    rest = facts.filter(~complete(at)).select("*", *[F.lit(None).cast(history.schema[c].dataType).alias(c) for c in columns])
+    return out.unionByName(rest)
+
+
 def key_history(history: DataFrame, keys: DataFrame, start_col: str = START_AT) -> DataFrame:
     """C4: all versions of the given keys (a DataFrame of key rows), in order.
 

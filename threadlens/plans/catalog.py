@@ -65,6 +65,11 @@ def _split_history(L: Layers) -> DataFrame:
     ).select(*HISTORY_COLS)
 
 
+def _owner_at_the_time(L: Layers, **how) -> DataFrame:
+    """Every parsed checkpoint with the owner its thread had at the checkpoint's own time."""
+    return scd2.asof_join(parse_checkpoints(L.bronze), L.history, ["thread_id"], "checkpoint_ts", ["user_id", "team"], **how)
+
+
 # The silver rule and the gold user-metrics rules, counted on the enriched rows.
 REPORT_RULES = SILVER_RULES + [
     Rule("valid_user_id", "user_id IS NOT NULL"),
@@ -109,6 +114,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_current": _q(lambda L: reports.current_ownership(L.history)),
     "scd2_asof": _q(lambda L: scd2.as_of(L.history, _feed_asof(L)).select(
         "thread_id", "user_id", "team", "__START_AT", "__END_AT")),
+    "scd2_asof_join": _q(lambda L: _owner_at_the_time(L).select(
+        "thread_id", "checkpoint_ns", "checkpoint_id", "checkpoint_ts", "user_id", "team")),
+    "scd2_asof_join_split": _q(lambda L: _owner_at_the_time(L, hot_key_rows=16).select(
+        "thread_id", "checkpoint_ns", "checkpoint_id", "checkpoint_ts", "user_id", "team")),
     "scd2_orders_ties": _q(lambda L: _orders_history(L).select(
         "o_custkey", "o_orderstatus", "o_orderdate", "o_orderkey", "__START_AT", "__END_AT")),
     "thread_history": _q(lambda L: reports.thread_history(L.history, reports.most_changed_thread(L.history))),

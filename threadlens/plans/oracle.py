@@ -311,6 +311,10 @@ FROM gold_user GROUP BY team, checkpoint_date""",
 SELECT thread_id, user_id, team, __START_AT, __END_AT FROM hist
 WHERE __START_AT <= (SELECT CAST(max(CAST(updated_at AS DATE)) - INTERVAL 15 DAY AS TIMESTAMP) FROM feed)
   AND (__END_AT IS NULL OR (SELECT CAST(max(CAST(updated_at AS DATE)) - INTERVAL 15 DAY AS TIMESTAMP) FROM feed) < __END_AT)""",
+    **dict.fromkeys(("scd2_asof_join", "scd2_asof_join_split"), """
+SELECT f.thread_id, checkpoint_ns, checkpoint_id, checkpoint_ts, h.user_id, h.team
+FROM fields f LEFT JOIN hist h ON f.thread_id = h.thread_id
+  AND h.__START_AT <= f.checkpoint_ts AND (h.__END_AT IS NULL OR f.checkpoint_ts < h.__END_AT)"""),
     "scd2_orders_ties": """
 SELECT o_custkey, o_orderstatus, o_orderdate, o_orderkey, o_orderdate AS __START_AT,
   lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS __END_AT

@@ -96,6 +96,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder (any Hadoop file system)."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def publish(spark: SparkSession, staged: str, final: str) -> None:
     """Make a fully written folder visible under its final name.
 

@@ -1,34 +1,42 @@
 """SCD2 history maintained by a stream on plain parquet.
 
-There is no MERGE on plain parquet, so each micro-batch (``foreachBatch``):
+There is no MERGE on plain parquet, so the history is kept as deltas.  Each
+micro-batch (``foreachBatch``):
 
 1. appends its cleaned change rows to a change log, partitioned by
    ``bucket = pmod(xxhash64(keys), buckets)``, at ``log/_batch=<id>``;
-2. recomputes, with the batch operator ``scd2_history``, the history of the
-   keys it touched from their whole log (partition pruning reads only the
-   touched buckets), so late and out-of-order rows land in the right place;
-   the versions of other keys in those buckets are carried over unchanged;
-3. writes the touched buckets to ``history/_batch=<id>/bucket=<b>``.
-
-The current table is, per bucket, the folder of the newest batch that wrote
-it (``read_history``).  Every write replaces only its own ``_batch=<id>``
-folder, so a retried micro-batch is idempotent; every folder is written
-under a staging name and published by one rename, so a reader never lists
-half of a batch.  ``compact_history`` folds the newest state of every
-bucket into one snapshot folder when many batches have accumulated.
+2. finds what its keys' versions become.  A key whose rows all come after its
+   last known one needs only its open version, which is closed or confirmed.
+   A key with a late row is recomputed from its log with the batch operator
+   ``scd2_history``, so late and out-of-order rows land in the right place;
+   the log is read only if there are such keys, and only their buckets;
+3. writes the versions that are new or changed, and tombstones of those that
+   are gone, to ``history/_batch=<id>/bucket=<b>``: as much as the batch
+   changes, however long the history is.
+
+A version's identity is its key, sequence, tiebreak and place among equal
+ones; the current table is the newest row of every identity, without the
+tombstones (``read_history``).  Open versions carry the order of the key's last
+row (``_last``), which tells late rows.  Every write replaces only its own
+``_batch=<id>`` folder and is computed from the batches before it, so a retried
+micro-batch is idempotent; every folder is written under a staging name and
+published by one rename, so a reader never lists half of a batch.
+``compact_history`` folds all deltas into one snapshot folder and drops them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from threadlens.functions.schemas import END_AT
+from threadlens.functions.schemas import END_AT, START_AT
 from threadlens.operators.scd2 import scd2_history
-from threadlens.session import path_exists, publish
+from threadlens.session import batch_ids, path_exists, publish, remove
 
 BATCH_COL = "_batch"
 BUCKET_COL = "bucket"
+#: Columns of the deltas that are no part of the history.
+ID, LAST, GONE = "_id", "_last", "_gone"
 
 
 def with_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
@@ -40,24 +48,77 @@ def apply_changes(changes: DataFrame, batch_id: int, log_dir: str, history_dir:
                   track_columns: list[str] | None = None, buckets: int = 64) -> None:
     """Fold one micro-batch of change rows into the history (steps 1-3)."""
     spark = changes.sparkSession
+    order = [sequence_by, *tiebreak]
     batch = with_bucket(changes, keys, buckets)
     _write_batch(batch, log_dir, batch_id)
     # at most `buckets` values reach the driver: they become a partition filter
     touched = [r[0] for r in batch.select(BUCKET_COL).distinct().collect()]
     if not touched:
         return
-    touched_keys = batch.select(*keys).distinct()
-    log = (spark.read.parquet(log_dir).filter(F.col(BUCKET_COL).isin(touched)).drop(BATCH_COL)
-           .join(touched_keys, keys, "left_semi"))
-    hist = scd2_history(log, keys=keys, sequence_by=sequence_by, tiebreak=tiebreak,
-                        track_columns=track_columns)
-    if path_exists(spark, history_dir):
-        # versions of keys this batch did not touch are carried over as they are
-        kept = (read_history(spark, history_dir, keep_bucket=True)
-                .filter(F.col(BUCKET_COL).isin(touched))
-                .join(touched_keys, keys, "left_anti"))
-        hist = hist.unionByName(kept)
-    _write_batch(hist, history_dir, batch_id)
+    rows = spark.read.parquet(f"{log_dir}/{BATCH_COL}={batch_id}").filter(_complete([*keys, sequence_by]))
+    touched_keys = rows.select(*keys).distinct()
+
+    def versions(points: DataFrame) -> DataFrame:
+        return scd2_history(points, keys=keys, sequence_by=sequence_by, tiebreak=tiebreak, track_columns=track_columns)
+
+    old = _state(spark, history_dir, batch_id - 1, touched)
+    if old is None:
+        points = rows
+    else:
+        old = old.join(touched_keys, keys, "left_semi")
+        now_open = old.filter(F.col(END_AT).isNull())
+        first = rows.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
+        late = first.join(now_open.select(*keys, LAST, ID), keys).filter(
+            (F.col("_first") <= F.col(LAST)) | (F.col(f"{ID}._n") > 1)).select(*keys)
+        any_late = not late.isEmpty()
+        points = rows
+        if any_late:
+            points = points.join(late, keys, "left_anti")
+            now_open = now_open.join(late, keys, "left_anti")
+        points = points.unionByName(now_open.select(*rows.columns))
+        if any_late:
+            log = spark.read.parquet(log_dir).filter((F.col(BATCH_COL) <= batch_id) & F.col(BUCKET_COL).isin(touched))
+            points = points.unionByName(log.drop(BATCH_COL).join(late, keys, "left_semi"))
+            old = now_open.unionByName(old.join(late, keys, "left_semi"))
+        else:
+            old = now_open
+    last = points.filter(_complete([*keys, sequence_by])).groupBy(*keys).agg(F.max(F.struct(*order)).alias(LAST))
+    equals = Window.partitionBy(*keys, *order).orderBy(F.xxhash64(*changes.columns))
+    new = versions(points).withColumn("_n", F.row_number().over(equals)).join(last, keys).select(
+        *rows.columns, START_AT, END_AT, F.struct(*keys, *order, F.col("_n")).alias(ID),
+        F.when(F.col(END_AT).isNull(), F.col(LAST)).alias(LAST), F.lit(False).alias(GONE))
+    if old is not None:
+        before = old.select(F.col(ID).alias("_old_id"), F.struct(END_AT, LAST).alias("_old"))
+        same = F.col("_old").eqNullSafe(F.struct(END_AT, LAST))
+        changed = new.join(before, F.col(ID).eqNullSafe(F.col("_old_id")), "left").filter(F.col("_old_id").isNull() | ~same).select(*new.columns)
+        ids = new.select(F.col(ID).alias("_new_id"))
+        gone = old.join(ids, F.col(ID).eqNullSafe(F.col("_new_id")), "left_anti").withColumn(GONE, F.lit(True))
+        new = changed.unionByName(gone.select(*new.columns))
+    _write_batch(new, history_dir, batch_id)
+
+
+def _complete(columns: list[str]) -> Column:
+    rule = F.lit(True)
+    for c in columns:
+        rule = rule & F.col(c).isNotNull()
+    return rule
+
+
+def _state(spark: SparkSession, history_dir: str, until: int | None = None, buckets: list[int] | None = None) -> DataFrame | None:
+    """The versions after batch ``until``, with their delta columns; None if nothing has been written."""
+    ids = batch_ids(spark, history_dir)
+    if until is not None:
+        ids = [b for b in ids if b <= until]
+    if not ids:
+        return None
+    files = spark.read.parquet(history_dir)
+    if until is not None:
+        files = files.filter(F.col(BATCH_COL) <= until)
+    if buckets is not None:
+        files = files.filter(F.col(BUCKET_COL).isin(buckets))
+    row = F.struct(*[c for c in files.columns if c not in (BATCH_COL, BUCKET_COL)])
+    newest = files.groupBy(BUCKET_COL, ID).agg(F.max_by(row, BATCH_COL).alias("_row"))
+    return newest.filter(~F.col(f"_row.{GONE}")).select("_row.*", BUCKET_COL)
 
 
 def _write_batch(df: DataFrame, table_dir: str, batch_id: int) -> None:
@@ -69,19 +130,18 @@ def _write_batch(df: DataFrame, table_dir: str, batch_id: int) -> None:
 
 def read_history(spark: SparkSession, history_dir: str, schema: str | None = None,
                  keep_bucket: bool = False, until: int | None = None) -> DataFrame:
-    """Per bucket, the rows written by the newest batch that touched it.
+    """The newest state of every version.
 
     Before any batch has written history, an empty frame of ``schema``.
     ``until`` reads the state after that batch.
     """
-    if schema is not None and not path_exists(spark, history_dir):
+    state = _state(spark, history_dir, until)
+    if state is None:
+        if schema is None:
+            raise ValueError(f"no history at {history_dir}")
         return spark.createDataFrame([], schema)
-    files = spark.read.parquet(history_dir)
-    if until is not None:
-        files = files.filter(F.col(BATCH_COL) <= until)
-    newest = files.groupBy(BUCKET_COL).agg(F.max(BATCH_COL).alias(BATCH_COL))
-    current = files.join(newest, [BUCKET_COL, BATCH_COL], "left_semi").drop(BATCH_COL)
-    return current if keep_bucket else current.drop(BUCKET_COL)
+    state = state.drop(ID, LAST, GONE)
+    return state if keep_bucket else state.drop(BUCKET_COL)
 
 
 def write_owner_changes(changes: DataFrame, batch_id: int, history_dir: str, out_dir: str, *,
@@ -95,7 +155,10 @@ def write_owner_changes(changes: DataFrame, batch_id: int, history_dir: str, out
     touched = changes.select(*keys).distinct()
 
     def open_versions(until: int, name: str) -> DataFrame:
-        state = read_history(spark, history_dir, until=until).filter(F.col(end_col).isNull())
+        state = _state(spark, history_dir, until)
+        if state is None:
+            return touched.select(*keys, F.lit(None).cast(changes.select(F.struct(*track_columns).alias("s")).schema["s"].dataType).alias(name)).limit(0)
+        state = state.filter(F.col(end_col).isNull())
         return state.join(touched, keys, "left_semi").select(*keys, F.struct(*track_columns).alias(name))
 
     if path_exists(spark, history_dir):
@@ -133,9 +196,11 @@ def run_scd2_stream(spark: SparkSession, source_dir: str, log_dir: str, history_
 
 
 def compact_history(spark: SparkSession, history_dir: str, snapshot_batch: int) -> None:
-    """Write the current state of every bucket as one new batch folder."""
-    current = spark.read.parquet(history_dir)
-    newest = current.groupBy(BUCKET_COL).agg(F.max(BATCH_COL).alias(BATCH_COL))
-    state = current.join(newest, [BUCKET_COL, BATCH_COL], "left_semi").drop(BATCH_COL)
+    """Write the current state as one new batch folder and drop the deltas before it (between updates)."""
+    state = _state(spark, history_dir, snapshot_batch)
+    if state is None:
+        return
     _write_batch(state, history_dir, snapshot_batch)
-
+    for batch in batch_ids(spark, history_dir):
+        if batch < snapshot_batch:
+            remove(spark, f"{history_dir}/{BATCH_COL}={batch}")
