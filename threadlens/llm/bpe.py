@@ -43,7 +43,7 @@ from threadlens.llm.shared import ship
 
 VOCABULARY = "word_bpe_49k.json"
 #: Words whose tokens a task remembers, the longest such word, and remembered pairs of tokens.
-CACHE_WORDS, CACHE_CHARS, CACHE_PAIRS = 300_000, 64, 2_000_000
+CACHE_WORDS, CACHE_CHARS, CACHE_PAIRS = 150_000, 64, 500_000
 
 
 def vocabulary_path() -> str:
@@ -79,7 +79,7 @@ class Pieces(dict):
 
 
 class Bpe:
-    """A word-end BPE vocabulary: encoder, pair table and decoder."""
+    """Encoder of a word-end BPE vocabulary, with its table of pairs."""
 
     def __init__(self, path: str):
         import ahocorasick
@@ -103,7 +103,6 @@ class Bpe:
             self.automaton.add_word(s[::-1], t)
         self.automaton.make_automaton()
         self.shorter = {t: next((own[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in own), -1) for s, t in own.items()}
-        self._offsets()
 
     def _symbols(self, merges: list) -> None:
         """Spelling in symbols, parts and creating rank of every token."""
@@ -216,9 +215,14 @@ class Bpe:
                     out += pieces[word]
         return out
 
-    def _offsets(self) -> None:
-        """Spellings of all ids, each with the space that joins it to the one before, in one buffer."""
-        spelled = {**{i: t for t, i in self.ids.items()}, **{i: t for t, i in self.added.items()}}
+
+class Spellings:
+    """Decoder: the spellings of all ids, each with the space that joins it to the one before, in one buffer with offsets."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        spelled = {**{i: t for t, i in spec["model"]["vocab"].items()}, **{t["id"]: t["content"] for t in spec["added_tokens"]}}
         coded = [(" " + spelled[i]).encode("utf-8") if i in spelled else b"" for i in range(max(spelled) + 1)]
         self.buffer = np.frombuffer(b"".join(coded), np.uint8)
         self.offsets = np.zeros(len(coded) + 1, np.int64)
@@ -236,13 +240,14 @@ class Bpe:
         return self.buffer[place], ends[first]
 
 
-_loaded: dict[str, Bpe] = {}
+_loaded: dict[tuple, Bpe | Spellings] = {}
 
 
-def vocabulary(path: str) -> Bpe:
-    if path not in _loaded:
-        _loaded[path] = Bpe(path)
-    return _loaded[path]
+def vocabulary(path: str, kind: type = Bpe) -> Bpe | Spellings:
+    """A task's one encoder or decoder of a vocabulary file."""
+    if (path, kind) not in _loaded:
+        _loaded[path, kind] = kind(path)
+    return _loaded[path, kind]
 
 
 def _replaced(df: DataFrame, column: str, out: str, kind: T.DataType) -> tuple[DataFrame, T.StructType]:
@@ -278,7 +283,7 @@ def decoded(docs: DataFrame, column: str = "ids", out: str = "decoded", path: st
     schema = T.StructType([f for f in rows.schema if f.name != "_in"] + [T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = vocabulary(path)
+        spellings = vocabulary(path, Spellings)
         for batch in batches:
             lists = batch.column(batch.num_columns - 1).cast(pa.large_list(pa.int32()))
             sizes = np.asarray(lists.value_lengths().fill_null(0), np.int64)
@@ -286,7 +291,7 @@ def decoded(docs: DataFrame, column: str = "ids", out: str = "decoded", path: st
             first = np.zeros(len(sizes) + 1, np.int64)
             np.cumsum(sizes, out=first[1:])
             for lo, hi in W.slices(first):
-                data, ends = bpe.decode(flat[first[lo]: first[hi]], first[lo: hi + 1] - first[lo])
+                data, ends = spellings.decode(flat[first[lo]: first[hi]], first[lo: hi + 1] - first[lo])
                 texts = pa.LargeStringArray.from_buffers(hi - lo, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns[:-1], texts], names=schema.names)
 
