@@ -48,7 +48,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from threadlens.llm.ranks import ranked
 from threadlens.llm.shared import ship, written
 
-CHUNK = 256
+CHUNK = 64
 #: Sequences of codes whose traces a task remembers.
 CACHE = 100_000
 
