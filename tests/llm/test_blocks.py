@@ -63,3 +63,43 @@ def test_awkward_rows(spark):
     assert sorted((r.text, r.n_chars) for r in got) == [("", 0)] * 3 + [("Some text", 9)] * 2
     assert B.extract(spark.createDataFrame(rows, schema)).columns == ["page_id", "url", "a b", "text", "n_chars"]
     assert B.op4_main_text(spark.createDataFrame([], schema)).count() == 0
+
+
+P = f"<p>{STORY}</p><p>{STORY} {STORY}</p><p>Short one.</p><p>{STORY}</p>"
+MAIN = f"{STORY}\n{STORY} {STORY}\nShort one.\n{STORY}"
+MENU = "<ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul>"
+
+
+@pytest.mark.parametrize("page,want", [
+    # names of wrappers, layouts and topics say nothing about what is in them
+    (f'<div id="page" class="has-sidebar"><nav>{MENU}</nav><div class="content"><h1>A title</h1>{P}</div><div class="sidebar"><p>{STORY}</p></div></div>', f"A title\n{MAIN}"),
+    (f'<div id="page" class="has-sidebar"><article><h1>A title</h1>{P}</article><div class="sidebar"><p>{STORY}</p></div></div>', f"A title\n{MAIN}"),
+    (f'<article class="post tags-news"><h1>A title</h1>{P}</article><footer>{STORY}</footer>', f"A title\n{MAIN}"),
+    (f'<article class="post category-social tag-newsletter hentry"><h1>A title</h1>{P}</article>', f"A title\n{MAIN}"),
+    (f'<article><header class="entry-header"><h1>Title here</h1></header>{P}</article>', f"Title here\n{MAIN}"),
+    (f'<article><div class="article-header"><h1>Title here</h1></div>{P}</article>', f"Title here\n{MAIN}"),
+    (f'<form id="aspnetForm"><div id="nav">{MENU}</div><div id="main-content"><h1>A title</h1>{P}</div><div id="footer">{STORY}</div></form>', f"A title\n{MAIN}"),
+    (f'<nav class="navbar">{MENU}</nav><div class="row"><div class="col-md-8 blog-main"><h2 class="blog-post-title">A title</h2>{P}</div><div class="col-md-4 blog-sidebar"><h4>About</h4><p>{STORY}</p></div></div>', f"A title\n{MAIN}"),
+    # side parts by name, by heading and by element, inside the article and outside
+    (f'<article><h1>A title</h1>{P}<section><h3>Comments (3)</h3><p>I think {STORY}</p><p>Agreed</p></section></article>', f"A title\n{MAIN}"),
+    (f'<article><h1>A title</h1>{P}<h2>2 Comments</h2><p>I think {STORY}</p><h2>Afterwards</h2><p>{STORY}</p></article>', f"A title\n{MAIN}\nAfterwards\n{STORY}"),
+    (f'<article><h1>A title</h1><p class="advert">{STORY}</p>{P}<div class="ad ad-300">Buy now</div></article>', f"A title\n{MAIN}"),
+    (f'<article>{P}</article><div id="comments" class="comments-area"><h2>One thought</h2><ol class="comment-list"><li class="comment"><article class="comment-body"><p>{STORY}</p></article></li></ol></div>', MAIN),
+    (f'<div class="cookie-banner"><p>{STORY}</p></div><main><h1>A title</h1>{P}</main><div style="display: none"><p>{STORY}</p></div>', f"A title\n{MAIN}"),
+])
+def test_common_site_markup(page, want):
+    assert text_of(page) == want
+
+
+def test_words_and_links_alone_flip_the_verdict():
+    """The same markup with other words and links."""
+    link = "<a href=x>{}</a>"
+    page = "<div>{0}</div><div>{1}</div><div>{2}</div><div>{1}</div><div>{0}</div>"
+    assert text_of(page.format(STORY, STORY, STORY)) == "\n".join([STORY] * 5)
+    assert text_of(page.format(link.format("Home"), link.format("World news"), link.format(STORY))) == ""
+    middle = "<article><p>" + STORY + "</p>{}<p>" + STORY + "</p></article>"
+    assert text_of(middle.format("<p>A few words of the text</p>")).count("\n") == 2
+    linked = "".join(f"<li>{link.format(w)}</li>" for w in ("One story", "Another story of the week", "The third", "A fourth one"))
+    assert text_of(middle.format(f"<ul>{linked}</ul>")) == f"{STORY}\n{STORY}"
+    tree = B.trained_tree()
+    assert {"words", "density", "around_density"} <= {B.FEATURES[f] for f in tree.feature if f >= 0}
