@@ -351,7 +351,9 @@ def training_pages() -> list[str]:
         f"<header><p>The Paper</p>{menu}</header><article><header><h1>+A bridge</h1><p>+By A Writer</p></header>{body}<h2>+More of it</h2>{few}<aside>{notice}</aside>{few}</article><aside>{menu}{notice}</aside>",
         f"<div>{notice}</div><article><h1>+Title</h1>{few}<p>+a<p>+{_LONG}</article><div>{menu}</div><footer>{foot}</footer>",
         f"<article><p>+{_SHORT}</article><footer>{foot}</footer>", f"<article><p>+Word<p>+Two words<p>+{_MID}</article><ul>{cards}</ul>",
-        "<article><p>+Some text</article>", f"<main><h1>+News</h1><p>+{_SHORT}</main>", f"<article><h1>+T</h1><p>+{_LONG}</article>", "<main><p>+One<p>+Two</main><footer>Three</footer>",
+        "<article><p>+Some text</article>", f"<article><p>+{_LONG}<p>+Ends</article>", "<article><h1>+T</h1><p>+One two</article>", f"<main><h2>+A title</h2><p>+{_MID}<p>+Three last words</main>",
+        f"<article><p>+{_MID}<p>+{_LONG}<p>+So<p>+it is</article>", f"<div>{menu}</div><article><h1>+T</h1><p>+{_LONG}<p>+Yes</article>", f"<div>{_MID}</div><article><p>+One<p>+{_LONG}<p>+End</article>",
+        f"<main><h1>+News</h1><p>+{_SHORT}</main>", f"<article><h1>+T</h1><p>+{_LONG}</article>", "<main><p>+One<p>+Two</main><footer>Three</footer>",
         f"<article><p>+{_LONG} {_LONG} {_LONG}</article>", f"<main><p>+<a>{_MID}</a></main>", f"<div>{menu}</div><article><p>+{_SHORT}</article><div>{menu}</div>",
         f"<article><p>+{_LONG}<table><tr><td>+Cost<td>+12<tr><td>+Length<td>+300 m</table><p>+{_LONG}<ol><li>+{_MID}<li>+{_SHORT}</ol></article>",
         f"<div>{_SHORT}</div><article>{body}<div>+{_MID}</div><div class=share><a>Tweet</a> <a>Mail</a></div><section class=comments>{comments}</section></article>{menu}",
