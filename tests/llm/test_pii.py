@@ -109,3 +109,64 @@ def test_awkward_rows(spark):
     got = P.op3_bilstm_pii(awkward(spark)).collect()
     assert len(got) == 13 and all(r.base_sha256 == hashlib.sha256(b"").hexdigest() and r.spans == "" for r in got)
     assert P.op3_bilstm_pii(empty(spark)).count() == 0
+
+
+def _forms(rng):
+    """One maker per form of an added span; none of their words are in the training text."""
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    name = lambda: (rng.choice(["john", "maria.lopez", "jane_doe", "k.schmidt99", "peter-pan"]), rng.choice(["mail", "company", "my-host", "uni7", "shop"]), rng.choice(["com", "org", "de", "fr"]))
+    out = {}
+    for at in (" (at) ", "(at)", " [at] ", "[at]", " at "):
+        for dot in (".", " (dot) ", "[dot]", " [dot] ", " dot "):
+            out[f"x{at}y{dot}z"] = lambda at=at, dot=dot: (lambda n: f"{n[0]}{at}{n[1]}{dot}{n[2]}")(name())
+    for shape in ("ddd-ddd-dddd", "ddd.ddd.dddd", "(ddd) ddd-dddd", "(ddd) ddd dddd", "0049 ddd ddddddd", "0044 ddd ddd dddd"):
+        out[shape] = lambda shape=shape: "".join(rng.choice("123456789") if c == "d" else c for c in shape)
+    for sep in (".", "  "):
+        def card(sep=sep):
+            body = "4" + digits(14)
+            number = next(body + str(c) for c in range(10) if P.luhn(body + str(c)))
+            return sep.join(number[i: i + 4] for i in range(0, 16, 4))
+        out[f"card by {sep!r}"] = card
+    out["of 85 characters"] = lambda: "a" * 35 + " (at) " + "hosting-provider-of-mails [dot] example [dot] com"
+    return out
+
+
+def test_recall_by_form_and_look_alikes(spark):
+    import random
+    rng, net = random.Random(77), P.trained()
+    docs = [r.text for r in table(spark, "documents", "sf0.01").where("length(text) between 300 and 3000").orderBy("doc_id").limit(300).collect()]
+
+    def put(piece):
+        text = rng.choice(docs)
+        at = rng.choice([i for i, c in enumerate(text) if c == " "]) + 1
+        return text[:at] + piece + text[at - 1:], at, at + len(piece)
+
+    recall = {}
+    for form, make in _forms(rng).items():
+        hits = 0
+        for _ in range(40):
+            text, a, z = put(make())
+            base, added = P.find_spans(text, net)
+            hits += any((x, y) == (a, z) for x, y, _ in base + added)
+        recall[form] = hits / 40
+    assert min(recall.values()) >= 0.8 and sum(recall.values()) / len(recall) >= 0.95, recall
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    wrong = 0
+    for make in (lambda: " ".join(digits(3) for _ in range(4)), lambda: "00 11 22 33 44 55", lambda: f"20{digits(2)}-11-2{digits(1)}", lambda: f"978-3-16-{digits(6)}-0",
+                 lambda: "look at him. Then", lambda: "met at noon.Then", lambda: digits(10), lambda: f"{digits(4)}-{digits(4)}", lambda: "the dot product", lambda: f"{digits(3)}.{digits(3)}.{digits(3)}"):
+        for _ in range(40):
+            text, a, z = put(make())
+            wrong += any(x < z and y > a for x, y, _ in P.find_spans(text, net)[1])
+    assert wrong <= 2
+
+
+def test_every_form_holds_a_trigger_and_short_texts_are_scanned():
+    import random
+    for make in _forms(random.Random(3)).values():
+        for _ in range(20):
+            piece = make()
+            assert P.TRIGGER.search(piece) and P.TRIGGER_BYTES.search(piece.encode())
+    net = P.trained()
+    for text in ("", "7", "a@", "at", " at x.y", "call 575-041-1701 now"):
+        P.find_spans(text, net)
+    assert P.LONGEST <= P.WINDOW - P.STRIDE

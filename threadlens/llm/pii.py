@@ -6,17 +6,19 @@ the base patterns and in forms that those miss (``name (at) host dot org``,
 phone numbers without a plus sign, cards grouped by dots), and with look-alikes
 that carry no label (dates, prices, versions, hex strings).
 
-A text is cut into overlapping windows; those that hold a digit, an ``@`` or a
-spelled-out ``at``/``dot`` are decoded by Viterbi (no span is accepted without
-one, so the others can't add any).  Spans cut off by a window's edge are left to the
-window that holds them whole; of all spans of a text the non-overlapping
-choice with the largest total score is taken, after exact checks (digits and
-check sum of cards, digits of phones, parts of addresses).  Base spans always
-stay; the network adds spans outside them.
-
-Defined cases: a null or empty text has no spans; spans longer than half a
-window are found by the base patterns only; repeated rows are scanned alike;
-an empty table gives an empty result; other columns are ignored.
+A text is cut into windows that overlap by half, more than the longest form of
+an added span (LONGEST).  Windows that hold a digit, an ``@`` or a spelled-out
+separator of an address are decoded by Viterbi; every form of FORMS holds one of
+these, so the others can't add a span.  Spans cut off by a window's edge are
+left to the window that holds them whole; of all spans of a text the
+non-overlapping choice with the largest total score is taken, after exact checks
+(digits and check sum of cards, digits of phones, parts of addresses).  Base
+spans always stay; the network adds spans outside them.
+
+Defined cases: a null or empty text has no spans; spans longer than LONGEST
+characters are found by the base patterns only; a text shorter than a window is
+padded; repeated rows are scanned alike; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,14 +42,17 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
-TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]| dot ", re.I)
+# What every form of an added span holds: a digit, an at sign or a spelled-out separator (" at " only before a name with a dot).
+_TRIGGER = r"[0-9@]|[(\[](?:at|dot)[)\]]|\x20dot\x20|\x20at\x20[a-z0-9-]+\.[a-z0-9-]"
+TRIGGER, TRIGGER_BYTES = re.compile(_TRIGGER, re.I), re.compile(_TRIGGER.encode(), re.I)
 
-#: Characters of a window and between windows.
-WINDOW, STRIDE = 96, 48
+#: Characters of a window and between windows; the longest added span; characters of a training window.
+WINDOW, STRIDE, LONGEST, TRAINING = 192, 96, 96, 96
 #: Windows decoded at once.
 CHUNK = 256
-#: Sizes of the network, its training, and the least log odds of a span.
-EMBED, HIDDEN, STEPS, BATCH, SEED, LEAST_SCORE = 10, 16, 600, 48, 20240917, 3.0
+#: Sizes of the network and its training; the least log odds of a span (an address must have its form as well).
+EMBED, HIDDEN, SAMPLES, STEPS, BATCH, SEED = 10, 20, 4000, 1000, 48, 20240917
+LEAST_SCORE = {"email": 0.0, "email with a plain at": 1.0, "ip": 3.0, "card": 3.0, "phone": 1.0}
 
 LABELS = ["O", *(f"{p}-{k}" for k in KINDS for p in "BI")]
 _PUNCT = "@.-+() _:/,\n[]#%$€&*'\"="
@@ -106,14 +111,11 @@ def _digits(rng: np.random.Generator, n: int) -> str:
 def _email(rng: np.random.Generator) -> str:
     local = _name(rng) + rng.choice([".", "_", "", "-"]) + (_digits(rng, 2) if rng.random() < 0.5 else _name(rng))
     host, tld = _name(rng) + (_digits(rng, 1) if rng.random() < 0.3 else ""), rng.choice(_TLDS)
-    style = rng.integers(0, 8)
-    if style == 0:
-        return f"{local} (at) {host}.{tld}"
-    if style == 1:
-        return f"{local}[at]{host}[dot]{tld.split('.')[0]}"
-    if style == 2:
-        return f"{local} at {host} dot {tld.split('.')[0]}"
-    return f"{local}@{host}.{tld}"
+    if rng.random() < 0.45:
+        return f"{local}@{host}.{tld}"
+    at = str(rng.choice(["@", " (at) ", "(at)", " [at] ", "[at]", " at ", " at "]))
+    dot = str(rng.choice([".", " (dot) ", "(dot)", " [dot] ", "[dot]", " dot ", " dot "]))
+    return f"{local}{at}{host}{tld.replace('.', dot).join([dot, ''])}"
 
 
 def _card(rng: np.random.Generator) -> str:
@@ -125,7 +127,10 @@ def _card(rng: np.random.Generator) -> str:
 
 def _phone(rng: np.random.Generator) -> str:
     a, b, c = _digits(rng, 3), _digits(rng, 3), _digits(rng, 4)
-    return str(rng.choice([f"+1 ({a}) {b}-{c}", f"+1 ({a}) {b}-{c}", f"+{rng.integers(20, 99)} {a} {b} {c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"00{rng.integers(20, 99)} {a} {b}{c}", f"+{rng.integers(20, 99)}{a}{b}{c}", f"({a}) {b} {c}"]))
+    cc, d = rng.integers(20, 99), _digits(rng, 7)
+    return str(rng.choice([
+        f"+1 ({a}) {b}-{c}", f"+{cc} {a} {b} {c}", f"+{cc}{a}{b}{c}", f"({a}) {b}-{c}", f"({a}) {b}-{c}", f"({a}) {b} {c}", f"{a}-{b}-{c}", f"{a}-{b}-{c}",
+        f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a}.{b}.{c}", f"00{cc} {a} {b}{c}", f"00{cc} {a} {d}", f"00{cc} {a} {d}", f"00{cc}{a}{d}", f"00{cc} {a} {b} {c}"]))
 
 
 def _ip(rng: np.random.Generator) -> str:
@@ -139,32 +144,37 @@ def _look_alike(rng: np.random.Generator) -> str:
         f"{n(1900, 2100)}-{n(1, 13):02d}-{n(1, 29):02d}", f"{n(1, 29)}.{n(1, 13)}.{n(1900, 2100)}", f"{n(0, 24):02d}:{n(0, 60):02d}", f"{n(1, 999)},{n(0, 1000):03d}.{n(0, 100):02d}",
         f"{n(1, 20)}.{n(0, 20)}.{n(0, 20)}", f"{n(0, 100000)}", f"#{n(1000, 99999999)}", f"{n(1900, 2000)}-{n(2000, 2030)}", f"{n(1, 100)}%", f"${n(1, 9999)}.{n(0, 100):02d}",
         hexes, f"password={hexes}", f'token = "{hexes}"', "AKIA" + "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), 16)), f"4.0 {_word(rng)}",
-        _digits(rng, n(9, 24)), f"{_digits(rng, 4)} {_digits(rng, 4)}", f"@{_name(rng)}", f"{_word(rng)} at {_word(rng)}", f"{n(1, 9)}/{n(1, 20)}", f"{n(1, 20)}-{n(1, 400)}", f"{_word(rng)} dot {_word(rng)}"]))
+        _digits(rng, n(9, 24)), f"{_digits(rng, 4)} {_digits(rng, 4)}", f"@{_name(rng)}", f"{_word(rng)} at {_word(rng)}", f"{n(1, 9)}/{n(1, 20)}", f"{n(1, 20)}-{n(1, 400)}", f"{_word(rng)} dot {_word(rng)}",
+        " ".join(_digits(rng, 3) for _ in range(n(2, 6))), " ".join(_digits(rng, 3) for _ in range(4)), " ".join(_digits(rng, 2) for _ in range(n(3, 8))), " ".join(_digits(rng, n(1, 5)) for _ in range(n(2, 7))),
+        f"978-{n(0, 10)}-{n(10, 100)}-{n(100000, 999999)}-{n(0, 10)}", f"{_digits(rng, 2)}-{_digits(rng, 3)}-{_digits(rng, 3)}", f"{n(1, 999)}.{n(0, 1000):03d}.{n(0, 1000):03d}", "-".join(_digits(rng, n(2, 6)) for _ in range(n(2, 5))),
+        f"{_digits(rng, 8)}-{_digits(rng, 4)}-{_digits(rng, 4)}", f"{_word(rng)} at {_word(rng)}.{_word(rng).capitalize()}", f"{_word(rng)} at {_word(rng)}.{_word(rng).capitalize()}", f"{_word(rng)} at {_word(rng)}. {_word(rng).capitalize()}", f"{_word(rng)} [dot] {_word(rng)}", f"({_word(rng)}) {n(1, 9999)}"]))
 
 
 def labelled_windows(n: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """(character ids, labels) of n windows."""
+    """(character ids, labels) of n windows; every fourth is the end of a text, padded."""
     makers = {"email": _email, "ip": _ip, "card": _card, "phone": _phone}
-    x, y = np.zeros((n, WINDOW), np.int64), np.zeros((n, WINDOW), np.int64)
+    x, y = np.zeros((n, TRAINING), np.int64), np.zeros((n, TRAINING), np.int64)
     for row in range(n):
         text, marks = "", []
-        while len(text) < WINDOW + 40:
+        size = TRAINING if row % 4 else int(rng.integers(8, TRAINING))
+        while len(text) < size + 40:
             r = rng.random()
             kind = None
-            if r < 0.13:
-                kind = str(rng.choice(KINDS))
+            if r < 0.15:
+                kind = str(rng.choice(KINDS, p=[0.45, 0.1, 0.15, 0.3]))
                 piece = makers[kind](rng)
             else:
-                piece = _look_alike(rng) if r < 0.24 else _word(rng)
+                piece = _look_alike(rng) if r < 0.3 else _word(rng)
             if kind:
                 marks.append((len(text), len(text) + len(piece), kind))
             text += piece + str(rng.choice([" ", " ", " ", ", ", ". ", "\n"]))
         cut = int(rng.integers(0, 40))
-        x[row] = encode(text)[cut: cut + WINDOW]
+        ids = encode(text)[cut: cut + size]
+        x[row, : len(ids)] = ids
         for a, b, kind in marks:
             own = 1 + 2 * KINDS.index(kind)
-            a, b = max(a - cut, 0), b - cut
-            if b > 0 and a < WINDOW:
+            a, b = max(a - cut, 0), min(b - cut, size)
+            if b > a:
                 y[row, a:b] = own + 1
                 y[row, a] = own
     return x, y
@@ -294,7 +304,7 @@ class Network:
 
     def fit(self, steps: int = STEPS, seed: int = SEED) -> float:
         rng = np.random.default_rng(seed)
-        x, y = labelled_windows(1600, rng)
+        x, y = labelled_windows(SAMPLES, rng)
         m, v = {k: np.zeros_like(w) for k, w in self.p.items()}, {k: np.zeros_like(w) for k, w in self.p.items()}
         loss = 0.0
         for step in range(1, steps + 1):
@@ -335,7 +345,7 @@ def trained() -> Network:
 
 # ---------------------------------------------------------------- texts
 
-#: Exact forms that a proposed span must hold; it is trimmed to the form.
+#: Exact forms that a proposed span must hold; it is trimmed to the form, or for addresses, whose parts are words, widened to it.
 FORMS = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+(?:@|\x20?[(\[]at[)\]]\x20?|\x20at\x20)[A-Za-z0-9-]+(?:(?:\.|\x20?[(\[]dot[)\]]\x20?|\x20dot\x20)[A-Za-z0-9-]+)+", re.I),
     "ip": IP,
@@ -344,10 +354,14 @@ FORMS = {
 }
 
 
-def accepted(text: str, kind: str) -> tuple[int, int] | None:
-    """Where a proposed span holds its kind's form, if it passes the exact checks."""
-    m = FORMS[kind].search(text)
-    if m is None or not TRIGGER.search(m[0]):
+def accepted(text: str, start: int, end: int, kind: str) -> tuple[int, int] | None:
+    """The form that a proposed span of a text holds, if it passes the exact checks."""
+    if kind == "email":
+        around = FORMS[kind].finditer(text, max(0, start - LONGEST), end + LONGEST)
+        m = next((m for m in around if 2 * (min(m.end(), end) - max(m.start(), start)) >= end - start), None)
+    else:
+        m = FORMS[kind].search(text, start, end)
+    if m is None or m.end() - m.start() > LONGEST:
         return None
     digits = digits_of(m[0])
     if kind == "card" and not (12 <= len(digits) <= 19 and luhn(digits)):
@@ -411,9 +425,11 @@ def proposals(text: str, net: Network) -> list[tuple[int, int, str, float]]:
                 o, first, inner = 0, int(row[b]), int(row[b]) + 1
                 steps = trans[o, first] + (trans[first, inner] + (e - b - 2) * trans[inner, inner] + trans[inner, o] if e - b > 1 else trans[first, o])
                 score, kind = float(lead[w, b:e].sum() + steps - (e - b + 1) * trans[o, o]), KINDS[(first - 1) // 2]
-                where = accepted(text[a:z], kind) if score >= LEAST_SCORE else None
-                if where:
-                    out.append((a + where[0], a + where[1], kind, score))
+                where = accepted(text, a, z, kind) if score >= LEAST_SCORE[kind] else None
+                found = text[slice(*where)] if where else ""
+                plain = kind == "email" and " at " in found.lower()
+                if found and not (plain and (score < LEAST_SCORE["email with a plain at"] or found.rpartition(".")[2][:1].isupper())):
+                    out.append((*where, kind, score))
     return out
 
 
@@ -448,7 +464,7 @@ def scan(docs: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 own = data[offsets[i]: offsets[i + 1]]
                 raw = own.tobytes()
-                if _ANY[own].any() or b"at)" in (low := raw.lower()) or b"at]" in low or b" dot " in low:
+                if _ANY[own].any() or TRIGGER_BYTES.search(raw):
                     text = raw.decode("utf-8", "replace")
                     one, two = find_spans(text, net.value)
                 else:
