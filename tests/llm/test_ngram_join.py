@@ -148,3 +148,15 @@ def test_awkward_rows(spark):
 def test_short_texts(text, n):
     import pyarrow as pa
     assert len(next(J.doc_sets(pa.array([text]), 4))) == n
+
+
+def test_an_id_with_several_texts_is_linked_through_all_of_them(spark):
+    """Id 5 has two texts; copies of the second are 7 and 8, near copies of the first 1 and 2."""
+    words = [f"w{i}" for i in range(400)]
+    one, two, alone = " ".join(words[:120]), " ".join(words[200:330]), " ".join(words[340:400])
+    near = " ".join([*words[:119], "other"])
+    rows = [row(5, one), row(5, two), row(7, two), row(8, two), row(1, near), row(2, near), row(3, alone), row(9, alone), row(9, two), row(11, "x y"), row(11, one)]
+    got = collections.defaultdict(set)
+    for r in J.op8_ngram_jaccard(spark.createDataFrame(rows, SCHEMA)).collect():
+        got[r.doc_id].add(r.component_id)
+    assert got == {i: {1} for i in (1, 2, 3, 5, 7, 8, 9, 11)}

@@ -27,7 +27,8 @@ of nodes is emitted, dropped or capped.
 
 Defined cases: a null or empty text has no set, links with nothing and is its
 own component; a text of fewer than four words is one shingle; rows of one
-doc_id are one document, linked through any of their texts; rows with a null
+doc_id are one document, linked through any of their texts (each distinct set is
+compared, and the sets of one doc_id are joined); rows with a null
 doc_id link with nothing and have a null component, unless their set equals
 that of a document with an id; an empty table gives an empty result; extra
 columns are ignored.
@@ -307,9 +308,9 @@ def _compare(excess, k: int, percent: int):
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         # rows of one doc_id are one document: each text is compared
-        node, side, copies = (table[c].to_numpy() for c in ("node", "side", "copies"))
+        node, side, copies, size = (table[c].to_numpy() for c in ("node", "side", "copies", "n"))
         sets = list(doc_sets(table["text"], k))
-        use = [x for x in range(len(sets)) if len(sets[x])]
+        use = [x for x in range(len(sets)) if len(sets[x]) == size[x] > 0]
         node, side, copies, sets = node[use], side[use], copies[use], [sets[x] for x in use]
         got = [prefix(s, excess.value, percent) for s in sets]
         allowed = ((side[:, None] != side[None, :]) | (side[:, None] == 2)) & (node[:, None] != node[None, :])
@@ -326,6 +327,15 @@ def _compare(excess, k: int, percent: int):
     return run
 
 
+def _same_id(signed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Edges (a, b) between the nodes of the sets of one doc_id."""
+    one = F.struct("n", "a", "b")
+    several = signed.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min(one).alias("lo"), F.max(one).alias("hi")).where("lo <> hi").select("doc_id")
+    held = signed.where("n > 0").join(several, "doc_id", "left_semi").join(sets, ["n", "a", "b"]).select("doc_id", "node").distinct()
+    least = held.groupBy("doc_id").agg(F.min("node").alias("least"))
+    return held.join(least, "doc_id").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+
+
 def similar(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links of every document."""
     spark = docs.sparkSession
@@ -335,13 +345,14 @@ def similar(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     sets = signed.where("n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
     sets = written(sets, "jaccard-sets")
     groups = components(holders(signed))
-    nodes = sets.where("node is not null").groupBy("node").agg(F.max("n").alias("n"), F.max("copies").alias("copies"), F.min("a").alias("a")).join(
-        groups.select(F.col("node").alias("a"), F.col("component").alias("group")), "a")
+    # a doc_id with several texts is a node once for each of its sets
+    nodes = sets.where("node is not null").join(groups.select(F.col("node").alias("a"), F.col("component").alias("group")), "a").groupBy(
+        "node", "group", "n").agg(F.max("copies").alias("copies"))
     tasks = _tasks(written(nodes, "jaccard-nodes"), percent)
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(tasks, "node")
     found = texts.groupBy("task").applyInArrow(_compare(excess, k, percent), "node long, root long, links long")
     found = written(found, "jaccard-links")
-    joined = components(found.select(F.col("root").alias("a"), F.col("node").alias("b")))
+    joined = components(found.select(F.col("root").alias("a"), F.col("node").alias("b")).union(_same_id(signed, sets)))
     degree = found.groupBy("node").agg(F.sum("links").alias("links"))
     classes = sets.join(degree, "node", "left").join(joined, "node", "left").select(
         "n", "a", "b", "node", F.coalesce("component", "node").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
