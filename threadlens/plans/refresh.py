@@ -19,12 +19,17 @@ each step a plain Spark job reading the previous step's table:
    old checkpoints).  They are read from the parsed table through date
    partition pruning and written with dynamic partition overwrite,
    clustered by the gold keys inside each date;
-5. the monitoring views (full recompute).
+5. the monitoring views.  Daily counts and NULL percentages are sums over
+   partial aggregates of batches, history deltas and dates (``view_state``): an
+   update reads only what is new.  Duplicates and processing lag are recomputed.
 
 6. the cross-layer checks, run on the written tables, into ``check_results``.
 
 Expectation counts of every parsed batch are appended to ``expectation_log``
-(observed while the batch is written, no extra pass).
+(observed while the batch is written, no extra pass).  ``on_violation`` says what
+becomes of rows that break a rule: they go to ``checkpoints_quarantine``, beside
+their batch, are dropped, or fail the update before any row of the batch is
+visible in the parsed table.
 
 What is still to be applied is read from the tables, not from memory:
 ``applied_batches`` holds the last batch of either feed that silver, gold, the
@@ -52,11 +57,12 @@ from threadlens.functions.schemas import (
 )
 from threadlens.operators import checks, metrics, monitor, scd2, upkeep
 from threadlens.operators.enrich import SILVER_COLUMNS, clean_thread_lookup, parse_checkpoints
-from threadlens.operators.expectations import apply_rules, observe_rules
+from threadlens.operators.expectations import apply_rules
+from threadlens.plans import view_state
 from threadlens.plans.layers import LOOKUP_RULES, SILVER_RULES, TRACKED
-from threadlens.session import batch_ids, ensure_defaults, path_exists, publish
+from threadlens.session import batch_ids, ensure_defaults, path_exists, publish, work_dir
 from threadlens.sources.csv_feed import DELIVERY_ORDER, SOURCE_FILE, SOURCE_LINE, SOURCE_TIME
-from threadlens.streaming import ingest, scd2_stream
+from threadlens.streaming import ingest, scd2_stream, split_sink
 
 
 @dataclass
@@ -69,7 +75,8 @@ class Tables:
 
 def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
             checkpoint_files: str = "checkpoints_*.csv", lookup_files: str = "thread_teams_*.csv",
-            buckets: int = 64, incremental: bool = True, materialize_silver: bool = True) -> dict:
+            buckets: int = 64, incremental: bool = True, materialize_silver: bool = True,
+            on_violation: str = "quarantine") -> dict:
     ensure_defaults(spark)
     t = Tables(out_dir)
     chk = f"{out_dir.rstrip('/')}/_checkpoints"
@@ -77,12 +84,9 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     # 1. bronze checkpoints; each new batch is parsed and checked once, into
     #    checkpoints_parsed/_batch=<id>/checkpoint_date=<d> (staged, published)
     def parse_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed, obs = observe_rules(parse_checkpoints(batch), SILVER_RULES, f"parse_{batch_id}")
-        staged = f"{t.checkpoints_parsed}/_staging_{batch_id}"
-        (apply_rules(parsed, SILVER_RULES, "drop")
-         .write.mode("overwrite").partitionBy("checkpoint_date").parquet(staged))
-        publish(spark, staged, f"{t.checkpoints_parsed}/{ingest.BATCH_COL}={batch_id}")
-        log_expectations(spark, t.expectation_log, "silver_checkpoints", SILVER_RULES, obs.get, batch_id)
+        counts = split_sink.write_split(parse_checkpoints(batch), SILVER_RULES, batch_id, t.checkpoints_parsed,
+                                        t.checkpoints_quarantine, action=on_violation, partition_by="checkpoint_date")
+        log_expectations(spark, t.expectation_log, "silver_checkpoints", SILVER_RULES, counts, batch_id)
 
     ingest.ingest_csv(spark, f"{raw_dir}/{checkpoint_files}", CHECKPOINT_FEED_COLUMNS,
                       t.bronze_checkpoints, f"{chk}/bronze_checkpoints", on_batch=parse_batch)
@@ -118,7 +122,7 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     targets = [t.gold_user_team_metrics, t.gold_team_summary] + ([t.silver_checkpoints] if materialize_silver else [])
     missing = not all(path_exists(spark, p) for p in targets)
     if incremental and changed and not missing:
-        dates = touched_dates(spark, t, parsed, new_batches)
+        dates = _kept(spark, touched_dates(spark, t, parsed, new_batches), "touched_dates")
         source = silver_view.join(dates, "checkpoint_date", "left_semi")
     else:
         dates, source = None, silver_view
@@ -144,9 +148,10 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
         return new_batches
     gold_user = spark.read.schema(gold_user.schema).parquet(t.gold_user_team_metrics)
     gold_team = spark.read.schema(gold_team.schema).parquet(t.gold_team_summary)
+    update_view_state(spark, t, new_batches, dates, bronze, history, silver, gold_user, gold_team)
     views = {
-        t.monitoring_daily_counts: monitor.daily_counts(bronze, history, silver, gold_user, gold_team),
-        t.monitoring_null_percentages: monitor.layer_null_profile(bronze, history, silver),
+        t.monitoring_daily_counts: view_state.daily_counts(spark, t.out),
+        t.monitoring_null_percentages: view_state.null_profile(spark, t.out),
         t.monitoring_duplicates: monitor.duplicates(bronze, history, silver),
         t.monitoring_processing_lag: monitor.processing_lag(silver, bronze),
     }
@@ -168,6 +173,31 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     return new_batches
 
 
+def update_view_state(spark: SparkSession, t: Tables, new_batches: dict, dates: DataFrame | None, bronze: DataFrame,
+                      history: DataFrame, silver: DataFrame, gold_user: DataFrame, gold_team: DataFrame) -> None:
+    """The partial aggregates of the views, from the new batches and touched dates alone where they exist."""
+    base = view_state.base_batch(spark, t.out)
+    if dates is None or base is None or any(b <= base for b in new_batches["lookup"]):
+        last = max(batch_ids(spark, t.bronze_thread_lookup_stream), default=-1)
+        view_state.rebuild(spark, t.out, bronze, history, last, silver, gold_user, gold_team)
+        return
+    if new_batches["checkpoints"]:
+        view_state.fold_batches(t.out, "bronze_checkpoints", bronze.filter(F.col(ingest.BATCH_COL).isin(new_batches["checkpoints"])))
+    deltas = [b for b in batch_ids(spark, t.silver_thread_lookup_history) if b in new_batches["lookup"]]
+    if deltas:
+        rows = spark.read.parquet(t.silver_thread_lookup_history).filter(F.col(ingest.BATCH_COL).isin(deltas))
+        view_state.fold_batches(t.out, monitor.HISTORY_LAYER, rows, view_state.delta_weight())
+    for layer, df in zip(view_state.BY_DATE, (silver, gold_user, gold_team)):
+        view_state.replace_dates(t.out, layer, df.join(dates, "checkpoint_date", "left_semi"), dates)
+
+
+def _kept(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A small table that several steps use, written once."""
+    path = work_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # Columns of the ownership history before any batch has written it.
 HISTORY_SCHEMA = (f"thread_id string, user_id string, team string, updated_at timestamp, {SOURCE_TIME} timestamp, "
                   f"{SOURCE_FILE} string, {SOURCE_LINE} bigint, {START_AT} timestamp, {END_AT} timestamp")

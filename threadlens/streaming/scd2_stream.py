@@ -36,7 +36,7 @@ from threadlens.session import batch_ids, path_exists, publish, remove
 BATCH_COL = "_batch"
 BUCKET_COL = "bucket"
 #: Columns of the deltas that are no part of the history.
-ID, LAST, GONE = "_id", "_last", "_gone"
+ID, LAST, GONE, NEW = "_id", "_last", "_gone", "_new"
 
 
 def with_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
@@ -86,13 +86,14 @@ def apply_changes(changes: DataFrame, batch_id: int, log_dir: str, history_dir:
     equals = Window.partitionBy(*keys, *order).orderBy(F.xxhash64(*changes.columns))
     new = versions(points).withColumn("_n", F.row_number().over(equals)).join(last, keys).select(
         *rows.columns, START_AT, END_AT, F.struct(*keys, *order, F.col("_n")).alias(ID),
-        F.when(F.col(END_AT).isNull(), F.col(LAST)).alias(LAST), F.lit(False).alias(GONE))
+        F.when(F.col(END_AT).isNull(), F.col(LAST)).alias(LAST), F.lit(False).alias(GONE), F.lit(True).alias(NEW))
     if old is not None:
         before = old.select(F.col(ID).alias("_old_id"), F.struct(END_AT, LAST).alias("_old"))
         same = F.col("_old").eqNullSafe(F.struct(END_AT, LAST))
-        changed = new.join(before, F.col(ID).eqNullSafe(F.col("_old_id")), "left").filter(F.col("_old_id").isNull() | ~same).select(*new.columns)
+        changed = new.join(before, F.col(ID).eqNullSafe(F.col("_old_id")), "left").filter(F.col("_old_id").isNull() | ~same).withColumn(
+            NEW, F.col("_old_id").isNull()).select(*new.columns)
         ids = new.select(F.col(ID).alias("_new_id"))
-        gone = old.join(ids, F.col(ID).eqNullSafe(F.col("_new_id")), "left_anti").withColumn(GONE, F.lit(True))
+        gone = old.join(ids, F.col(ID).eqNullSafe(F.col("_new_id")), "left_anti").withColumn(GONE, F.lit(True)).withColumn(NEW, F.lit(False))
         new = changed.unionByName(gone.select(*new.columns))
     _write_batch(new, history_dir, batch_id)
 
@@ -140,7 +141,7 @@ def read_history(spark: SparkSession, history_dir: str, schema: str | None = Non
         if schema is None:
             raise ValueError(f"no history at {history_dir}")
         return spark.createDataFrame([], schema)
-    state = state.drop(ID, LAST, GONE)
+    state = state.drop(ID, LAST, GONE, NEW)
     return state if keep_bucket else state.drop(BUCKET_COL)
 
 
