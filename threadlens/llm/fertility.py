@@ -201,6 +201,7 @@ def measured(docs: DataFrame, folder: str = TOKENIZERS) -> DataFrame:
             struct = pa.StructArray.from_arrays([pa.array(got[f.name], kinds.field(i).type) for i, f in enumerate(METRICS)], fields=list(kinds))
             keep = [i for i in range(batch.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in keep], struct], names=[*[batch.schema.names[i] for i in keep], "_m"])
+        vocabularies(folder).seen.clear()  # the worker goes on to other stages
 
     return docs.mapInArrow(run, schema)
 
