@@ -44,6 +44,36 @@ def test_ownership_tells_examples_from_live_tokens(spark):
     assert spans[10][0].owners == 1 and spans[10][0].repositories == 2
 
 
+HARMLESS = [
+    "/usr/local/lib/python3/site-packages/requests", "docs/2024/annual-report-of-the-council/index", "550e8400-e29b-41d4-a716-446655440000",
+    "550E8400-E29B-41D4-A716-446655440000", "the-2nd-edition-of-the-handbook-of-stuff", "getUserAccountInformationById2", "ABSTRACT_FACTORY_BEAN_CONFIGURATION_2",
+    "Donaudampfschifffahrtsgesellschaft1", "1111111111111111111111111111zz", "2024-01-01/2024-12-31/monthly-totals", "zzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzz1",
+    "sk-learn-pipeline-with-3-steps", "content/uploads/2019/05/picture-of-the-bridge-at-night", "________________________________1a",
+]
+
+
+def test_harmless_long_strings_are_no_tokens(spark):
+    docs = spark.createDataFrame([row(i, f"{PROSE} {h} {PROSE} https://example.org/{h}?x=1") for i, h in enumerate(HARMLESS)], SCHEMA)
+    assert {r.doc_id: r.spans for r in C.op7_credential_ownership(docs).collect()} == {i: "" for i in range(len(HARMLESS))}
+
+
+def test_random_tokens_are_found(spark):
+    import random
+    import string
+    rng = random.Random(6)
+    kinds = {"base62": string.ascii_letters + string.digits, "base64": string.ascii_letters + string.digits + "+/", "lower": string.ascii_lowercase + string.digits, "HEX": "0123456789ABCDEF"}
+    rows, made = [], {}
+    for name, alphabet in kinds.items():
+        for n in (24, 32, 40, 64):
+            for _ in range(25):
+                made[len(rows)] = name, n
+                rows.append(row(len(rows), "key " + "".join(rng.choice(alphabet) for _ in range(n)) + " end"))
+    found = {r.doc_id: f"token:4:{4 + made[r.doc_id][1]}" in r.spans for r in C.op7_credential_ownership(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for name in kinds:
+        own = [found[i] for i, (k, _) in made.items() if k == name]
+        assert sum(own) / len(own) >= 0.85, name
+
+
 def test_copied_base_values_stay_but_are_marked(spark):
     docs = spark.createDataFrame([row(i, "password=changeme123", "en", f"owner{i}") for i in range(5)] + [row(9, "password=changeme123", "en", None)], SCHEMA)
     assert {(r.n_assign, r.n_example, r.n_live) for r in C.op7_credential_ownership(docs).collect()} == {(1, 1, 0)}

@@ -30,8 +30,13 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"
 #: Kinds in the order in which spans of one start are listed: name, pattern, value group, least length of the value.
 BASE = (("assign", ASSIGN, 2, 6), ("access", ACCESS, 0, 20), ("hex", HEX, 0, 24))
-#: Token-like strings: known prefixes and long mixed runs.
-TOKEN = r"(?:gh[pousr]_|sk[-_]|xox[abprs]-|AIza|glpat-|eyJ)[A-Za-z0-9_.-]{16,}|[A-Za-z0-9+/_-]{24,}"
+#: Token-like strings: known prefixes and long runs; what is none of them: identifiers in five groups, words joined by hyphens after a prefix.
+PREFIX = r"(?:gh[pousr]_|sk[-_]|xox[abprs]-|AIza|glpat-|eyJ)"
+TOKEN = PREFIX + r"[A-Za-z0-9_.-]{16,}|[A-Za-z0-9+/_-]{24,}"
+UUID = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+SLUG = r"^[a-z]+([-_.][a-z0-9]{1,9})+$"
+#: A run without a prefix: its longest part between separators, digits and letters, changes of character class in hundredths of its length, bits a character.
+TOKEN_PART, TOKEN_DIGITS, TOKEN_CHANGES, MIXED_ENTROPY, PLAIN_ENTROPY = 16, 2, 30, 3.8, 3.3
 #: Owners that make a value a copied example; least entropy (bits a character) and length of a live-looking one.
 EXAMPLE_OWNERS, LIVE_ENTROPY, LIVE_LENGTH = 3, 3.0, 12
 
@@ -67,14 +72,30 @@ def entropy(value: Column) -> Column:
     return F.aggregate(F.array_distinct(F.filter(chars, lambda c: c != "")), F.lit(0.0), lambda a, c: a - p(c) * F.log2(p(c)))
 
 
+def token_like(value: Column) -> Column:
+    """Whether a match of TOKEN looks random: with a known prefix, or by its parts, digits, changes of class and entropy.
+
+    Paths, slugs and names in mixed case are words between separators, with few
+    digits and few changes between lower case, upper case and digits; the
+    entropy asked for is what random strings of the same classes have.
+    """
+    n = F.length(value)
+    count = lambda of: n - F.length(F.regexp_replace(value, of, ""))
+    longest = F.array_max(F.transform(F.split(value, "[/_-]"), lambda p: F.length(p)))
+    changes = F.length(F.regexp_replace(value, "[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+", "x"))
+    mixed = value.rlike("[a-z]") & value.rlike("[A-Z]")
+    random = ((longest >= TOKEN_PART) & (count("[0-9]") >= TOKEN_DIGITS) & (count("[A-Za-z]") >= TOKEN_DIGITS) & (100 * changes >= TOKEN_CHANGES * n)
+              & (entropy(value) >= F.when(mixed, F.lit(MIXED_ENTROPY)).otherwise(F.lit(PLAIN_ENTROPY))))
+    known = value.rlike("^" + PREFIX) & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & ~value.rlike(SLUG)
+    return known | (random & ~value.rlike(UUID))
+
+
 def candidates(docs: DataFrame, repository: str = "doc_id", owner: str = "source") -> DataFrame:
     """``_id``, doc_id, repository, owner and candidate spans of every document."""
     text = F.coalesce(F.col("text"), F.lit(""))
     seen = {"assign": text.rlike(r"(?i)passw|secret|token|api_?key"), "access": F.contains(text, F.lit("AKIA")), "hex": text.rlike(HEX)}
     base = [_spans(text, kind, i, pattern, group, least, seen[kind]) for i, (kind, pattern, group, least) in enumerate(BASE)]
-    more = F.filter(
-        _spans(text, "token", len(BASE), TOKEN, 0, 16, text.rlike(TOKEN)),
-        lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
+    more = F.filter(_spans(text, "token", len(BASE), TOKEN, 0, 16, text.rlike(TOKEN)), lambda s: token_like(s["value"]))
     return docs.select(
         F.monotonically_increasing_id().alias("_id"), F.col("doc_id"), F.col(repository).cast("string").alias("repository"),
         F.col(owner).cast("string").alias("owner"), F.concat(*base).alias("base"), more.alias("more"))
