@@ -47,7 +47,7 @@ def test_ownership_tells_examples_from_live_tokens(spark):
 HARMLESS = [
     "/usr/local/lib/python3/site-packages/requests", "docs/2024/annual-report-of-the-council/index", "550e8400-e29b-41d4-a716-446655440000",
     "550E8400-E29B-41D4-A716-446655440000", "the-2nd-edition-of-the-handbook-of-stuff", "getUserAccountInformationById2", "ABSTRACT_FACTORY_BEAN_CONFIGURATION_2",
-    "Donaudampfschifffahrtsgesellschaft1", "1111111111111111111111111111zz", "2024-01-01/2024-12-31/monthly-totals", "zzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzz1",
+    "Donaudampfschifffahrtsgesellschaft1", "11111111111111zz11111111111111", "2024-01-01/2024-12-31/monthly-totals", "zzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzz1",
     "sk-learn-pipeline-with-3-steps", "content/uploads/2019/05/picture-of-the-bridge-at-night", "________________________________1a",
 ]
 
