@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from threadlens.functions.schemas import CHECKPOINT_FEED_COLUMNS, RESCUE_COLUMN
 from threadlens.operators import upkeep
-from threadlens.plans.layers import Layers
-from threadlens.session import work_dir
-from threadlens.streaming import ingest, scd2_stream
+from threadlens.operators.enrich import parse_checkpoints
+from threadlens.plans import oracle, view_state
+from threadlens.plans.layers import SILVER_RULES, TRACKED, Layers
+from threadlens.session import path_exists, work_dir
+from threadlens.streaming import ingest, scd2_stream, split_sink
 
 LOOKUP_EVENT_COLUMNS = ["thread_id", "user_id", "team", "updated_at", "event_id"]
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -132,7 +134,42 @@ def _compact(spark: SparkSession, sf_dir: str, zorder: bool) -> DataFrame:
     return spark.read.parquet(dst)
 
 
+def _split_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6: kept and quarantined checkpoints of two batches, each from one staged write."""
+    base = work_dir(spark, "split_sink")
+    parsed = parse_checkpoints(Layers(spark, sf_dir).bronze)
+    for batch in (0, 1):
+        rows = parsed.filter(F.pmod(F.crc32(F.col("checkpoint_id").cast("binary")), F.lit(2)) == batch)
+        split_sink.write_split(rows, SILVER_RULES, batch, f"{base}/kept", f"{base}/aside", partition_by="checkpoint_date")
+
+    def part(folder: str, verdict: str) -> DataFrame:
+        columns = ["thread_id", "checkpoint_ns", "checkpoint_id", "checkpoint_ts"]
+        rows = spark.read.schema(parsed.schema).parquet(f"{base}/{folder}") if path_exists(spark, f"{base}/{folder}") else parsed.limit(0)
+        return rows.select(*columns, F.lit(verdict).alias("verdict"))
+
+    return part("kept", "kept").unionByName(part("aside", "quarantined")).withColumn("checkpoint_ts", F.col("checkpoint_ts").cast("timestamp_ntz"))
+
+
+def _daily_counts_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts summed from partials of two batches, two history deltas and dates."""
+    L = Layers(spark, sf_dir)
+    base = work_dir(spark, "daily_counts_state")
+    late = F.pmod(F.crc32(F.col("thread_id").cast("binary")), F.lit(2)).cast("int")
+    for batch in (0, 1):
+        view_state.fold_batches(base, "bronze_checkpoints", L.bronze.withColumn(view_state.BATCH_COL, late).filter(F.col(view_state.BATCH_COL) == batch))
+        # every other delivery comes a batch late, so versions appear, change and vanish
+        scd2_stream.apply_changes(L.lookup_feed.filter(F.col("event_id") % 2 == batch), batch, f"{base}/log", f"{base}/history",
+                                  keys=["thread_id"], sequence_by="updated_at", tiebreak=["event_id"], track_columns=TRACKED, buckets=8)
+    if path_exists(spark, f"{base}/history"):
+        view_state.fold_batches(base, view_state.HISTORY, spark.read.parquet(f"{base}/history"), view_state.delta_weight())
+    for layer, df in zip(view_state.BY_DATE, (L.silver, L.gold_user, L.gold_team)):
+        view_state.replace_dates(base, layer, df, None)
+    return view_state.daily_counts(spark, base)
+
+
 QUERIES = {
+    "split_sink": _split_sink,
+    "daily_counts_state": _daily_counts_state,
     "ingest_checkpoints": _ingest_checkpoints,
     "ingest_lookup": _ingest_lookup,
     "rescue_feed": _rescue_feed,
@@ -146,6 +183,10 @@ _BRONZE_ALL = ("thread_id, checkpoint_ns, checkpoint_id, parent_checkpoint_id, t
                "metadata, _rescued_data, ingested_at")
 
 FILE_ORACLE_SQL = {
+    "split_sink": """
+SELECT thread_id, checkpoint_ns, checkpoint_id, checkpoint_ts,
+  CASE WHEN checkpoint_ts IS NOT NULL THEN 'kept' ELSE 'quarantined' END AS verdict FROM fields""",
+    "daily_counts_state": oracle.QUERIES_SQL["daily_counts"],
     "ingest_checkpoints": """
 SELECT thread_id, checkpoint_ns, checkpoint_id, parent_checkpoint_id, type, checkpoint, metadata,
   CAST(substr(checkpoint_id, 2) AS BIGINT) % 3 = 2 AS rescued

@@ -100,7 +100,9 @@ def rebuild(spark: SparkSession, out: str, bronze: DataFrame, history: DataFrame
 
 
 def read_state(spark: SparkSession, out: str, layer: str) -> DataFrame:
-    return spark.read.schema("date date, rows long, nulls array<long>").parquet(state_dir(out, layer))
+    schema = "date date, rows long, nulls array<long>"
+    path = state_dir(out, layer)
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def daily_counts(spark: SparkSession, out: str) -> DataFrame:
