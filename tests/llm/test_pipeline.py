@@ -42,6 +42,6 @@ def test_awkward_and_empty_tables(spark, scratch):
 
 
 def test_registry_has_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(queries.queries())
     assert ngram_join.PERCENT == 85 and corpus_pipeline.PERCENT == 80
