@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.functions.schemas import CHECKPOINT_FEED_COLUMNS, RESCUE_COLUMN
+from threadlens.functions.schemas import CHECKPOINT_FEED_COLUMNS, INGESTED_AT, RESCUE_COLUMN
 from threadlens.operators import upkeep
 from threadlens.operators.enrich import parse_checkpoints
-from threadlens.plans import oracle, view_state
+from threadlens.plans import gold_state, lag_state, oracle, stats_state, view_state
+from threadlens.plans.batch_state import write_batch
 from threadlens.plans.layers import SILVER_RULES, TRACKED, Layers
 from threadlens.session import path_exists, work_dir
 from threadlens.streaming import ingest, scd2_stream, split_sink
@@ -167,7 +168,49 @@ def _daily_counts_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view_state.daily_counts(spark, base)
 
 
+def _halves(df: DataFrame, key: str) -> list[DataFrame]:
+    """The rows in two batches, by a hash of ``key``."""
+    return [df.filter(F.pmod(F.crc32(F.col(key).cast("binary")), F.lit(2)) == batch) for batch in (0, 1)]
+
+
+def _lag_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles from the merged sketches of two batches, beside the exact bounds of their rank error."""
+    path = work_dir(spark, "lag_sketch")
+    rows = parse_checkpoints(Layers(spark, sf_dir).bronze, keep=[INGESTED_AT])
+    for batch, part in enumerate(_halves(rows, "checkpoint_id")):
+        lag_state.fold(part, path, batch)
+    return lag_state.compare(spark, path, rows)
+
+
+def _column_stats_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: column statistics merged from two batches, beside the exact number of distinct values."""
+    base = work_dir(spark, "column_stats_state")
+    bronze = Layers(spark, sf_dir).bronze
+    for batch, part in enumerate(_halves(bronze, "checkpoint_id")):
+        write_batch(part, f"{base}/table", batch)
+        stats_state.refresh_stats(spark, f"{base}/table", f"{base}/stats", STATS_COLUMNS)
+    stats = stats_state.column_stats(spark, f"{base}/stats", bronze, STATS_COLUMNS)
+    return stats_state.with_exact_distinct(stats, spark.read.parquet(f"{base}/table"), STATS_COLUMNS)
+
+
+def _gold_state(spark: SparkSession, sf_dir: str, which: int) -> DataFrame:
+    """A1/A2/A4: a gold table merged from the partials of two batches."""
+    L = Layers(spark, sf_dir)
+    path = work_dir(spark, "gold_state")
+    parsed = parse_checkpoints(L.bronze).filter("checkpoint_ts IS NOT NULL")
+    for batch, part in enumerate(_halves(parsed, "checkpoint_id")):
+        gold_state.fold(part, path, batch)
+    out = gold_state.gold(spark, path, L.current_owner)[which]
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_checkpoint_ts", "last_checkpoint_ts")})
+
+
+STATS_COLUMNS = ["thread_id", "checkpoint_ns", "checkpoint_id", "parent_checkpoint_id", "type", "checkpoint", "metadata", "_rescued_data"]
+
 QUERIES = {
+    "lag_sketch": _lag_sketch,
+    "column_stats_state": _column_stats_state,
+    "gold_user_state": lambda spark, sf: _gold_state(spark, sf, 0),
+    "gold_team_state": lambda spark, sf: _gold_state(spark, sf, 1),
     "split_sink": _split_sink,
     "daily_counts_state": _daily_counts_state,
     "ingest_checkpoints": _ingest_checkpoints,
@@ -182,7 +225,38 @@ QUERIES = {
 _BRONZE_ALL = ("thread_id, checkpoint_ns, checkpoint_id, parent_checkpoint_id, type, checkpoint, "
                "metadata, _rescued_data, ingested_at")
 
+_STATS_ARMS = "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+  min({c}) AS min_value, max({c}) AS max_value, count(DISTINCT {c}) AS distinct_count, true AS within FROM bronze"""
+    for c in STATS_COLUMNS)
+
+
+def _at_rank(p: float) -> str:
+    return f"min(lag) FILTER (WHERE cum >= greatest(1, least(n, ceil(n * CAST({p} AS DOUBLE)))))"
+
+
+_LAG_SKETCH = f"""
+SELECT event_date, CAST(max(n) AS BIGINT) AS record_count, min(lag) AS min_lag, max(lag) AS max_lag,
+  CAST(sum(lag * w) AS BIGINT) AS total_lag,
+  {_at_rank(0.49)} AS median_low, {_at_rank(0.51)} AS median_high, {_at_rank(0.94)} AS p95_low, {_at_rank(0.96)} AS p95_high,
+  true AS median_within, true AS p95_within
+FROM (
+  SELECT event_date, lag, w, sum(w) OVER (PARTITION BY event_date ORDER BY lag) AS cum, sum(w) OVER (PARTITION BY event_date) AS n
+  FROM (
+    SELECT CAST(f.checkpoint_ts AS DATE) AS event_date, b.lag_end - date_diff('second', TIMESTAMP '1970-01-01', date_trunc('second', f.checkpoint_ts)) AS lag,
+      count(*) AS w
+    FROM (
+      SELECT CASE WHEN json_valid(checkpoint) THEN TRY_CAST(json_extract_string(checkpoint, '$.ts') AS TIMESTAMP) END AS checkpoint_ts,
+        ingested_at FROM bronze) f,
+      LATERAL (SELECT date_diff('second', TIMESTAMP '1970-01-01', date_trunc('second', f.ingested_at)) AS lag_end) b
+    WHERE f.checkpoint_ts IS NOT NULL GROUP BY ALL))
+GROUP BY event_date"""
+
 FILE_ORACLE_SQL = {
+    "lag_sketch": _LAG_SKETCH,
+    "column_stats_state": _STATS_ARMS,
+    "gold_user_state": oracle.QUERIES_SQL["gold_user_team_metrics"],
+    "gold_team_state": oracle.QUERIES_SQL["gold_team_summary"],
     "split_sink": """
 SELECT thread_id, checkpoint_ns, checkpoint_id, checkpoint_ts,
   CASE WHEN checkpoint_ts IS NOT NULL THEN 'kept' ELSE 'quarantined' END AS verdict FROM fields""",

@@ -16,11 +16,13 @@ each step a plain Spark job reading the previous step's table:
 4. gold tables: recomputed for the touched dates only -- dates of newly
    ingested checkpoints, and every date of threads whose ownership changed
    (silver joins the *current* owner, so an ownership change re-attributes
-   old checkpoints).  They are read from the parsed table through date
-   partition pruning and written with dynamic partition overwrite,
-   clustered by the gold keys inside each date;
+   old checkpoints).  They are merged from the partials by thread and day that
+   every batch leaves (``gold_state``), without a look at old checkpoints, and
+   written with dynamic partition overwrite, clustered by the gold keys inside
+   each date;
 5. the monitoring views.  Daily counts and NULL percentages are sums over
-   partial aggregates of batches, history deltas and dates (``view_state``): an
+   partial aggregates of batches, history deltas and dates (``view_state``), the
+   delivery lag merges a quantile sketch per batch and day (``lag_state``): an
    update reads only what is new.  Duplicates and processing lag are recomputed.
 
 6. the cross-layer checks, run on the written tables, into ``check_results``.
@@ -55,10 +57,11 @@ from threadlens.functions.schemas import (
     RESCUE_COLUMN,
     START_AT,
 )
-from threadlens.operators import checks, metrics, monitor, scd2, upkeep
+from threadlens.operators import checks, monitor, scd2, upkeep
 from threadlens.operators.enrich import SILVER_COLUMNS, clean_thread_lookup, parse_checkpoints
 from threadlens.operators.expectations import apply_rules
-from threadlens.plans import view_state
+from threadlens.plans import gold_state, lag_state, view_state
+from threadlens.plans.batch_state import missing_batches
 from threadlens.plans.layers import LOOKUP_RULES, SILVER_RULES, TRACKED
 from threadlens.session import batch_ids, ensure_defaults, path_exists, publish, work_dir
 from threadlens.sources.csv_feed import DELIVERY_ORDER, SOURCE_FILE, SOURCE_LINE, SOURCE_TIME
@@ -84,9 +87,13 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     # 1. bronze checkpoints; each new batch is parsed and checked once, into
     #    checkpoints_parsed/_batch=<id>/checkpoint_date=<d> (staged, published)
     def parse_batch(batch: DataFrame, batch_id: int) -> None:
-        counts = split_sink.write_split(parse_checkpoints(batch), SILVER_RULES, batch_id, t.checkpoints_parsed,
+        parsed = parse_checkpoints(batch, keep=[INGESTED_AT])
+        counts = split_sink.write_split(parsed, SILVER_RULES, batch_id, t.checkpoints_parsed,
                                         t.checkpoints_quarantine, action=on_violation, partition_by="checkpoint_date")
         log_expectations(spark, t.expectation_log, "silver_checkpoints", SILVER_RULES, counts, batch_id)
+        rows = spark.read.schema(parsed.schema).parquet(f"{t.checkpoints_parsed}/{ingest.BATCH_COL}={batch_id}")
+        lag_state.fold(rows, t._lag_state, batch_id)
+        gold_state.fold(rows, t._gold_state, batch_id)
 
     ingest.ingest_csv(spark, f"{raw_dir}/{checkpoint_files}", CHECKPOINT_FEED_COLUMNS,
                       t.bronze_checkpoints, f"{chk}/bronze_checkpoints", on_batch=parse_batch)
@@ -109,6 +116,7 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     lookup = _table(spark, t.bronze_thread_lookup_stream, _empty_feed(spark, LOOKUP_FEED_COLUMNS)).drop(ingest.BATCH_COL)
     history = scd2_stream.read_history(spark, t.silver_thread_lookup_history, HISTORY_SCHEMA)
     new_batches = pending_batches(spark, t)
+    fold_missing(spark, t, bronze)
 
     # 3. silver = parsed checkpoints LEFT JOIN the current owner; the parsed
     #    rows are never parsed again.  Touched dates are the only silver/gold
@@ -122,7 +130,7 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     targets = [t.gold_user_team_metrics, t.gold_team_summary] + ([t.silver_checkpoints] if materialize_silver else [])
     missing = not all(path_exists(spark, p) for p in targets)
     if incremental and changed and not missing:
-        dates = _kept(spark, touched_dates(spark, t, parsed, new_batches), "touched_dates")
+        dates = _kept(spark, touched_dates(spark, t, new_batches), "touched_dates")
         source = silver_view.join(dates, "checkpoint_date", "left_semi")
     else:
         dates, source = None, silver_view
@@ -131,14 +139,11 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
         if rewrite:
             _write_layer(source, t, "silver_checkpoints")
         silver = spark.read.schema(silver_view.schema).parquet(t.silver_checkpoints)
-        # gold reads the silver partitions just written instead of joining again
-        if dates is not None:
-            source = silver.join(dates, "checkpoint_date", "left_semi")
     else:
         silver = silver_view
 
-    # 4. gold, touched dates only
-    gold_user, gold_team = metrics.gold_user_team_metrics(source), metrics.gold_team_summary(source)
+    # 4. gold, touched dates only, from the partials
+    gold_user, gold_team = gold_state.gold(spark, t._gold_state, owners, dates)
     if rewrite:
         _write_layer(gold_user, t, "gold_user_team_metrics")
         _write_layer(gold_team, t, "gold_team_summary")
@@ -154,6 +159,7 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
         t.monitoring_null_percentages: view_state.null_profile(spark, t.out),
         t.monitoring_duplicates: monitor.duplicates(bronze, history, silver),
         t.monitoring_processing_lag: monitor.processing_lag(silver, bronze),
+        t.monitoring_delivery_lag: lag_state.delivery_lag(spark, t._lag_state),
     }
     for path, df in views.items():
         replace_table(spark, path, lambda p, df=df: df.write.mode("overwrite").parquet(p))
@@ -173,6 +179,17 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     return new_batches
 
 
+def fold_missing(spark: SparkSession, t: Tables, bronze: DataFrame) -> None:
+    """Partials of batches that have none: those of an update that failed after parsing, or of an older release."""
+    for batch in missing_batches(spark, t.checkpoints_parsed, t._lag_state):
+        rows = parse_checkpoints(bronze.filter(F.col(ingest.BATCH_COL) == batch), keep=[INGESTED_AT])
+        lag_state.fold(rows, t._lag_state, batch)
+    for batch in missing_batches(spark, t.checkpoints_parsed, f"{t._gold_state}/ids"):
+        schema = parse_checkpoints(bronze.limit(0)).schema
+        rows = spark.read.schema(schema).parquet(f"{t.checkpoints_parsed}/{ingest.BATCH_COL}={batch}")
+        gold_state.fold(rows, t._gold_state, batch)
+
+
 def update_view_state(spark: SparkSession, t: Tables, new_batches: dict, dates: DataFrame | None, bronze: DataFrame,
                       history: DataFrame, silver: DataFrame, gold_user: DataFrame, gold_team: DataFrame) -> None:
     """The partial aggregates of the views, from the new batches and touched dates alone where they exist."""
@@ -257,7 +274,7 @@ def log_expectations(spark: SparkSession, path: str, dataset: str, rules, counts
      .write.mode("overwrite").parquet(f"{path}/{ingest.BATCH_COL}={batch_id}"))
 
 
-def touched_dates(spark: SparkSession, t: Tables, parsed: DataFrame, new_batches: dict) -> DataFrame:
+def touched_dates(spark: SparkSession, t: Tables, new_batches: dict) -> DataFrame:
     """Dates whose silver and gold rows can change in this update (distributed, distinct)."""
     parts = []
     if new_batches["checkpoints"]:
@@ -269,7 +286,7 @@ def touched_dates(spark: SparkSession, t: Tables, parsed: DataFrame, new_batches
         moved = (spark.read.parquet(t.owner_changes)
                  .filter(F.col(ingest.BATCH_COL).isin(new_batches["lookup"]))
                  .select("thread_id").distinct())
-        parts.append(parsed.join(moved, "thread_id", "left_semi").select("checkpoint_date"))
+        parts.append(gold_state.thread_days(spark, t._gold_state).join(moved, "thread_id", "left_semi").select("checkpoint_date"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
