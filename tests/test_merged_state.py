@@ -62,7 +62,7 @@ def test_gold_plan_reads_partials_of_the_dates_without_expand(spark, scratch):
     gold_state.fold(spark.createDataFrame(rows, schema), scratch, 0)
     owners = spark.createDataFrame([(f"t{i}", f"u{i // 2}", "a") for i in range(5)], "thread_id string, user_id string, team string")
     dates = spark.createDataFrame([(DAY.date(),)], "checkpoint_date date")
-    users, teams = gold_state.gold(spark, scratch, owners, dates)
+    users, teams = gold_state.gold(spark, scratch, owners, gold_state.prunable(dates))
     for df in (users, teams):
         plan = df._jdf.queryExecution().toString()
         assert "Expand" not in plan and "dynamicpruning" in plan

@@ -52,6 +52,11 @@ def thread_days(spark: SparkSession, path: str) -> DataFrame:
     return read_batches(spark, f"{path.rstrip('/')}/threads", THREADS).select("thread_id", DAY)
 
 
+def prunable(dates: DataFrame) -> DataFrame:
+    """``dates`` with a comparison that holds for every date: partitions are pruned at run time only by a filtered side."""
+    return dates.filter(F.col(DAY) >= F.expr("DATE '0001-01-01'"))
+
+
 def _of_dates(df: DataFrame, dates: DataFrame | None) -> DataFrame:
     return df if dates is None else df.join(dates.select(DAY), DAY, "left_semi")
 

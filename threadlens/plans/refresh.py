@@ -130,7 +130,7 @@ def refresh(spark: SparkSession, raw_dir: str, out_dir: str, *,
     targets = [t.gold_user_team_metrics, t.gold_team_summary] + ([t.silver_checkpoints] if materialize_silver else [])
     missing = not all(path_exists(spark, p) for p in targets)
     if incremental and changed and not missing:
-        dates = _kept(spark, touched_dates(spark, t, new_batches), "touched_dates")
+        dates = gold_state.prunable(_kept(spark, touched_dates(spark, t, new_batches), "touched_dates"))
         source = silver_view.join(dates, "checkpoint_date", "left_semi")
     else:
         dates, source = None, silver_view
