@@ -48,7 +48,7 @@ def check(rows, records):
             assert r[name] == (cells[at] if at is not None and at < len(cells) else None)
 
 
-@pytest.mark.parametrize("multi_line", [False, True])
+@pytest.mark.parametrize("multi_line", [False, True, "split"])
 @settings(max_examples=6, deadline=None, phases=[Phase.explicit, Phase.generate], suppress_health_check=list(HealthCheck))
 @given(files=FILES)
 def test_every_cell_lands_somewhere(spark, multi_line, files):
@@ -57,7 +57,7 @@ def test_every_cell_lands_somewhere(spark, multi_line, files):
     check(read_feed(spark, f"{folder}/*.csv", EXPECTED, multi_line=multi_line).collect(), records)
 
 
-@pytest.mark.parametrize("multi_line", [False, True])
+@pytest.mark.parametrize("multi_line", [False, True, "split"])
 def test_a_hundred_extra_columns(spark, scratch, multi_line):
     os.makedirs(f"{scratch}/raw")
     names = ["team", *[f"x{i}" for i in range(100)], "thread_id"]

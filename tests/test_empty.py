@@ -8,7 +8,7 @@ from threadlens.plans import catalog, files_catalog
 
 ONE_ROW = {"null_wide", "rescued_rows"}
 ROWS_PER_ITEM = {"null_profile": 13, "column_stats": 8, "expect_report": 4, "checks": 14,
-                 "file_inventory": 2, "expect_warn_counts": 1}
+                 "file_inventory": 2, "expect_warn_counts": 1, "column_stats_state": 8}
 NAMES = sorted({**catalog.QUERIES, **files_catalog.QUERIES})
 
 

@@ -57,6 +57,17 @@ def _ingest_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select(*CHECKPOINT_FEED_COLUMNS, F.col(RESCUE_COLUMN).isNotNull().alias("rescued"))
 
 
+def _ingest_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose JSON cells hold line breaks, ingested in splits."""
+    base = work_dir(spark, "ingest_multiline")
+    broken = F.replace(F.col("checkpoint"), F.lit(',"'), F.lit(',\n"'))
+    feed = Layers(spark, sf_dir).bronze.withColumn("checkpoint", broken).select(*CHECKPOINT_FEED_COLUMNS)
+    glob = write_csv_feed(feed, f"{base}/raw", _layout_group("checkpoint_id"))
+    ingest.ingest_csv(spark, glob, CHECKPOINT_FEED_COLUMNS, f"{base}/bronze", f"{base}/_chk", multi_line="split")
+    t = ingest.read_table(spark, f"{base}/bronze")
+    return t.select(*CHECKPOINT_FEED_COLUMNS, F.col(RESCUE_COLUMN).isNotNull().alias("rescued"))
+
+
 def _lookup_text(L: Layers) -> DataFrame:
     return L.lookup_feed.select(
         "thread_id", "user_id", "team",
@@ -215,6 +226,7 @@ QUERIES = {
     "daily_counts_state": _daily_counts_state,
     "ingest_checkpoints": _ingest_checkpoints,
     "ingest_lookup": _ingest_lookup,
+    "ingest_multiline": _ingest_multiline,
     "rescue_feed": _rescue_feed,
     "scd2_stream": _scd2_stream,
     "file_inventory": _file_inventory,
@@ -264,6 +276,11 @@ SELECT thread_id, checkpoint_ns, checkpoint_id, checkpoint_ts,
     "ingest_checkpoints": """
 SELECT thread_id, checkpoint_ns, checkpoint_id, parent_checkpoint_id, type, checkpoint, metadata,
   CAST(substr(checkpoint_id, 2) AS BIGINT) % 3 = 2 AS rescued
+FROM bronze""",
+    "ingest_multiline": """
+SELECT thread_id, checkpoint_ns, checkpoint_id, parent_checkpoint_id, type,
+  replace(checkpoint, ',"', ',' || chr(10) || '"') AS checkpoint, metadata,
+  CAST(substr(checkpoint_id, 2) AS BIGINT) % 3 = 2 AS rescued
 FROM bronze""",
     "ingest_lookup": """
 SELECT thread_id, user_id, team, strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f') AS updated_at,

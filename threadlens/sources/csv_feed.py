@@ -21,7 +21,8 @@ pass, all with built-in expressions:
 By default lines are records (the reference's feeds do not set multi-line
 quoting).  With ``multi_line=True`` Spark's CSV reader splits records whose
 quoted values hold line breaks, and the same header binding and rescue
-apply; records wider than the widest header are rescued whole.  The same
+apply; records wider than the widest header are rescued whole; a file is one
+task.  ``multi_line="split"`` reads such files in splits (``csv_split``).  The same
 functions serve batch reads and streaming micro-batches.
 """
 
@@ -31,8 +32,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.functions.schemas import INGESTED_AT, RESCUE_COLUMN
+from threadlens.sources import csv_split
 
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
+# A record's text may hold line breaks, which are kept as they are.
+RECORD_OPTIONS = {"multiLine": "true"}
 SOURCE_FILE = "_source_file"
 SOURCE_LINE = "_source_line"
 SOURCE_TIME = "_source_time"
@@ -183,10 +187,12 @@ def bind_multiline(records: DataFrame, expected: list[str]) -> DataFrame:
 
 
 def read_feed(spark: SparkSession, paths: str | list[str], expected: list[str],
-              options: dict | None = None, multi_line: bool = False,
+              options: dict | None = None, multi_line: bool | str = False,
               max_columns: int | None = None) -> DataFrame:
     """Batch read of a CSV feed by header name, stamped with ``ingested_at``."""
-    if multi_line:
+    if multi_line == "split":
+        rows = parse_by_name(csv_split.records(csv_split.lines_of(spark, paths)), expected, {**RECORD_OPTIONS, **(options or {})}, max_columns)
+    elif multi_line:
         width = max(max_columns or widest_header(spark, paths), len(expected))
         rows = bind_multiline(multiline_records(spark.read, paths, width, options), expected)
     else:

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from threadlens.functions.schemas import INGESTED_AT
 from threadlens.session import publish
+from threadlens.sources import csv_split
 from threadlens.sources.csv_feed import (
+    RECORD_OPTIONS,
     bind_multiline,
     multiline_records,
     parse_by_name,
@@ -30,9 +32,12 @@ BATCH_COL = "_batch"
 MAX_FILES_PER_TRIGGER = 10_000
 
 
-def stream_lines(spark: SparkSession, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def stream_lines(spark: SparkSession, source: str, max_files_per_trigger: int | None = None,
+                 line_separator: str | None = None) -> DataFrame:
     reader = spark.readStream.format("text").option(
         "maxFilesPerTrigger", str(max_files_per_trigger or MAX_FILES_PER_TRIGGER))
+    if line_separator is not None:
+        reader = reader.option("lineSep", line_separator)
     return reader.load(source).select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
@@ -43,21 +48,26 @@ def stream_lines(spark: SparkSession, source: str, max_files_per_trigger: int |
 
 def ingest_csv(spark: SparkSession, source: str, expected: list[str], table_dir: str,
                checkpoint: str, max_files_per_trigger: int | None = None,
-               options: dict | None = None, on_batch=None, multi_line: bool = False,
+               options: dict | None = None, on_batch=None, multi_line: bool | str = False,
                max_columns: int | None = None):
     """Run the ingestion stream until the files present now are consumed.
 
     ``on_batch(batch_df, batch_id)`` is called after each batch was written
-    (used to chain the change-data-capture step).  Returns the finished query.
+    (used to chain the change-data-capture step).  ``multi_line`` accepts quoted
+    line breaks: True reads a file by one task, "split" by many (``csv_split``).
+    Returns the finished query.
     """
+    in_splits = multi_line == "split"
 
     def parse(batch: DataFrame) -> DataFrame:
-        if multi_line:
+        if multi_line and not in_splits:
             return bind_multiline(batch, expected)
         lines = batch.select(
             F.col("value").alias("line"), "file_path", "block_start", "file_time",
             F.monotonically_increasing_id().alias("line_no"),
         )
+        if in_splits:
+            return parse_by_name(csv_split.records(lines), expected, {**RECORD_OPTIONS, **(options or {})}, max_columns)
         return parse_by_name(lines, expected, options, max_columns)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -69,7 +79,9 @@ def ingest_csv(spark: SparkSession, source: str, expected: list[str], table_dir:
         if on_batch is not None:
             on_batch(batch.sparkSession.read.parquet(out), batch_id)
 
-    if multi_line:
+    if in_splits:
+        source_df = stream_lines(spark, source, max_files_per_trigger, csv_split.LINE_SEPARATOR)
+    elif multi_line:
         # of the files present now; records of later, wider files are rescued whole
         width = max(max_columns or widest_header(spark, source), len(expected))
         reader = spark.readStream.option(
