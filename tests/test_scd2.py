@@ -121,3 +121,19 @@ def test_chunks_are_bounded_whatever_the_sequence(spark, feed):
     a = scd2.scd2_history(df, hot_key_rows=100, **kw)
     b = scd2.scd2_history(df, split_hot_keys=False, **kw)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_small_chunks_cost_no_tasks_of_their_own(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(5000).select(
+        F.concat(F.lit("k"), (F.col("id") % 40).cast("string")).alias("thread_id"), F.lit("u").alias("user_id"),
+        (F.floor(F.col("id") / 90) % 3).cast("string").alias("team"), F.timestamp_seconds(F.col("id")).alias("updated_at"), F.col("id").alias("seq_no"))
+    chunked = scd2.with_chunks(df, ["thread_id"], ["updated_at", "seq_no"], 4)
+    sizes = chunked.groupBy("thread_id", "_scd_chunk").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 4 and sizes.count() >= 1250
+    assert len(chunked.inputFiles()) <= 2
+    kw = dict(keys=["thread_id"], sequence_by="updated_at", tiebreak=["seq_no"], track_columns=["team"])
+    a = scd2.scd2_history(df, hot_key_rows=4, **kw)
+    b = scd2.scd2_history(df, split_hot_keys=False, **kw)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0

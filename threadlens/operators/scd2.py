@@ -16,9 +16,11 @@ Skew.  A plain ``lead() OVER (PARTITION BY key)`` sends every row of a key to
 one task, so a key holding a third of the feed becomes a third of the job in
 one task.  Here an exact per-key count (a partial aggregate, whatever the size of
 the feed) marks keys with more than ``hot_key_rows`` rows as hot.  Their rows
-are cut by range on the total order (key, sequence, tiebreak, hash of the row),
-so the cuts fall on quantiles of the rows: neither equal sequence values nor
-outliers make a large chunk.  The cut rows are written to the shared scratch
+are cut by range on the total order (key, sequence, tiebreak, hash of the row)
+into as many partitions as their number needs, each is sorted, and every
+``hot_key_rows`` consecutive rows are a chunk: neither equal sequence values nor
+outliers make a large chunk, and small chunks cost no tasks or files of their
+own.  The cut rows are written to the shared scratch
 folder, so that every consumer and every retry sees the same chunks.  Windows
 run per (key, chunk).  The neighbour of a chunk's first/last row lives in the
 previous/next chunk of its key; it comes from a table with one row per hot
@@ -38,6 +40,8 @@ from threadlens.session import work_dir
 
 _CHUNK = "_scd_chunk"
 DEFAULT_HOT_KEY_ROWS = 1_000_000
+#: Rows that a task cuts at least, however small the chunks.
+TASK_ROWS = 250_000
 
 
 def hot_keys(valid: DataFrame, keys: list[str], hot_key_rows: int) -> DataFrame:
@@ -52,12 +56,13 @@ def with_chunks(valid: DataFrame, keys: list[str], order: list[str], hot_key_row
     if not rows:
         return None
     ranks = [*keys, *order, "_row_hash"]
-    # half as many rows again as parts: the range bounds come from a sample
-    parts = -(-3 * rows // (2 * hot_key_rows))
+    # half as many parts again as rows need: the range bounds come from a sample
+    parts = -(-3 * rows // (2 * max(hot_key_rows, TASK_ROWS)))
     cut = (
         valid.join(hot.select(*keys), keys, "left_semi").select(*valid.columns)
         .withColumn("_row_hash", F.xxhash64(*valid.columns))
-        .repartitionByRange(parts, *ranks).withColumn(_CHUNK, F.spark_partition_id().cast("long")).drop("_row_hash")
+        .repartitionByRange(parts, *ranks).sortWithinPartitions(*ranks)
+        .withColumn(_CHUNK, F.expr(f"monotonically_increasing_id() div {hot_key_rows}")).drop("_row_hash")
     )
     path = work_dir(valid.sparkSession, "scd2_hot")
     cut.write.parquet(path)
