@@ -65,3 +65,13 @@ def test_empty_sides_and_ties_at_one_instant(spark):
     facts = [("a", 4, 0), ("a", 5, 1), ("a", 8, 2), ("a", 9, 3), ("a", 9, 3)]
     for hot in (1_000_000, 1):
         assert sorted(map(tuple, run(spark, facts, history, hot_key_rows=hot).collect()), key=repr) == brute(facts, history)
+
+
+def test_small_chunks_need_few_files(spark, monkeypatch):
+    facts, history = feed(random.Random(5), [f"k{i}" for i in range(9)], 12, 2000, 10)
+    cut = []
+    real = scd2.with_chunks
+    monkeypatch.setattr(scd2, "with_chunks", lambda *a: cut.append(real(*a)) or cut[-1])
+    got = run(spark, facts, history, hot_key_rows=4)
+    assert len(cut[0].inputFiles()) <= 2
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(facts, history)
