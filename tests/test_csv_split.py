@@ -92,3 +92,13 @@ def test_lines_without_quotes_are_records(spark, scratch):
     path = f"{scratch}/raw/*.csv"
     assert got(read_feed(spark, path, COLUMNS, multi_line="split")) == got(read_feed(spark, path, COLUMNS))
     assert csv_split.records(lines_of(spark, path)).count() == 51
+
+
+def test_lines_are_not_shuffled(spark, scratch, small_splits):
+    import os
+
+    os.makedirs(f"{scratch}/raw")
+    write_random(f"{scratch}/raw/a.csv", 4, 60)
+    plan = csv_split.records(csv_split.lines_of(spark, f"{scratch}/raw/*.csv"))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
