@@ -31,6 +31,7 @@ import os
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -64,15 +65,18 @@ def byte_letters() -> dict[str, int]:
 
 
 class Pieces(dict):
-    """word -> its token ids, filled on demand and bounded."""
+    """word -> its token ids, filled on demand and bounded: half of the words, and the half before it."""
 
     def __init__(self, encode):
-        self.encode = encode
+        self.encode, self.before = encode, {}
 
-    def __missing__(self, word: str) -> list[int]:
-        ids = self.encode(word)
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = tuple(self.encode(word))
         if len(word) <= CACHE_CHARS:
-            if len(self) >= CACHE_WORDS:
+            if 2 * len(self) >= CACHE_WORDS:
+                self.before = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -97,7 +101,7 @@ class Bpe:
         self.pieces = Pieces(self.encode_word)
         self.library = None
         #: tokens that merging never gives for their own spelling are no candidates
-        own = {s: t for s, t in self.token_of.items() if self._reachable(t)}
+        self.own = own = {s: t for s, t in self.token_of.items() if self._reachable(t)}
         self.automaton = ahocorasick.Automaton()
         for s, t in own.items():
             self.automaton.add_word(s[::-1], t)
@@ -160,26 +164,23 @@ class Bpe:
         """Token ids of one word, in time linear in its length."""
         raw = word.encode("utf-8")
         symbols = raw[:-1].decode("latin-1") + chr(256 + raw[-1])
-        whole = self.token_of.get(symbols)
-        n = len(symbols)
-        longest = [-1] * n
-        for end, token in self.automaton.iter(symbols[::-1]):
-            at = n - 1 - end
-            if longest[at] < 0 or self.length[token] > self.length[longest[at]]:
-                longest[at] = token
-        if whole is not None and longest[0] == whole:
+        whole = self.own.get(symbols)
+        if whole is not None:
             return [whole]
-        length, shorter = self.length, self.shorter
+        n = len(symbols)
+        # the automaton gives the longest match of a place first: from behind, it is the one that stays
+        found = dict(list(self.automaton.iter(symbols[::-1]))[::-1])
+        longest, length, shorter, known, compatible = found.get, self.length, self.shorter, self.pairs.get, self.compatible
         dead = bytearray(n + 1)
         out: list[int] = []
-        at, token = 0, longest[0]
+        at, token = 0, longest(n - 1, -1)
         while at < n:
-            while token >= 0 and (dead[at + length[token]] or (out and not self.compatible(out[-1], token))):
+            while token >= 0 and (dead[at + length[token]] or (out and not (known(out[-1] << 32 | token) or compatible(out[-1], token)))):
                 token = shorter[token]
             if token >= 0:
                 out.append(token)
                 at += length[token]
-                token = longest[at] if at < n else -1
+                token = longest(n - 1 - at, -1)
             else:
                 dead[at] = 1
                 token = out.pop()
@@ -211,8 +212,7 @@ class Bpe:
             if part in self.added:
                 out.append(self.added[part])
             elif part:
-                for word in self.words(part):
-                    out += pieces[word]
+                out.extend(chain.from_iterable(map(pieces.__getitem__, self.words(part))))
         return out
 
 
