@@ -82,3 +82,22 @@ def test_in_order_batches_do_not_read_the_log(spark, scratch):
     apply_changes(spark.createDataFrame(second, SCHEMA), 1, f"{scratch}/log", f"{scratch}/hist", buckets=2, **KW)
     same(spark, f"{scratch}/hist", first + second)
     assert delta_rows(spark, f"{scratch}/hist", 1) == 3  # t1 closed and opened, t2 confirmed
+
+
+def test_versions_are_worked_out_once(spark, scratch, monkeypatch):
+    from threadlens.streaming import scd2_stream
+
+    rng = random.Random(4)
+    first, second = rows_of(rng, 10, 6), late_batch(rng)
+    apply_changes(spark.createDataFrame(first, SCHEMA), 0, f"{scratch}/log", f"{scratch}/hist", buckets=2, **KW)
+    plans = []
+    real = scd2_stream._write_batch
+
+    def watched(df, table_dir, batch_id):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        real(df, table_dir, batch_id)
+
+    monkeypatch.setattr(scd2_stream, "_write_batch", watched)
+    apply_changes(spark.createDataFrame(second, SCHEMA), 1, f"{scratch}/log", f"{scratch}/hist", buckets=2, **KW)
+    assert plans[-1].count("row_number()") == 1
+    same(spark, f"{scratch}/hist", first + second)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from threadlens.functions.schemas import END_AT, START_AT
 from threadlens.operators.scd2 import scd2_history
-from threadlens.session import batch_ids, path_exists, publish, remove
+from threadlens.session import batch_ids, path_exists, publish, remove, work_dir
 
 BATCH_COL = "_batch"
 BUCKET_COL = "bucket"
@@ -52,7 +52,7 @@ def apply_changes(changes: DataFrame, batch_id: int, log_dir: str, history_dir:
     batch = with_bucket(changes, keys, buckets)
     _write_batch(batch, log_dir, batch_id)
     # at most `buckets` values reach the driver: they become a partition filter
-    touched = [r[0] for r in batch.select(BUCKET_COL).distinct().collect()]
+    touched = batch_ids(spark, f"{log_dir}/{BATCH_COL}={batch_id}", BUCKET_COL)
     if not touched:
         return
     rows = spark.read.parquet(f"{log_dir}/{BATCH_COL}={batch_id}").filter(_complete([*keys, sequence_by]))
@@ -65,7 +65,8 @@ def apply_changes(changes: DataFrame, batch_id: int, log_dir: str, history_dir:
     if old is None:
         points = rows
     else:
-        old = old.join(touched_keys, keys, "left_semi")
+        # used by several joins below, merged from the deltas once
+        old = _kept(old.join(touched_keys, keys, "left_semi"))
         now_open = old.filter(F.col(END_AT).isNull())
         first = rows.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
         late = first.join(now_open.select(*keys, LAST, ID), keys).filter(
@@ -88,16 +89,25 @@ def apply_changes(changes: DataFrame, batch_id: int, log_dir: str, history_dir:
         *rows.columns, START_AT, END_AT, F.struct(*keys, *order, F.col("_n")).alias(ID),
         F.when(F.col(END_AT).isNull(), F.col(LAST)).alias(LAST), F.lit(False).alias(GONE), F.lit(True).alias(NEW))
     if old is not None:
-        before = old.select(F.col(ID).alias("_old_id"), F.struct(END_AT, LAST).alias("_old"))
-        same = F.col("_old").eqNullSafe(F.struct(END_AT, LAST))
-        changed = new.join(before, F.col(ID).eqNullSafe(F.col("_old_id")), "left").filter(F.col("_old_id").isNull() | ~same).withColumn(
-            NEW, F.col("_old_id").isNull()).select(*new.columns)
-        ids = new.select(F.col(ID).alias("_new_id"))
-        gone = old.join(ids, F.col(ID).eqNullSafe(F.col("_new_id")), "left_anti").withColumn(GONE, F.lit(True)).withColumn(NEW, F.lit(False))
-        new = changed.unionByName(gone.select(*new.columns))
+        # one join tells new, changed and vanished versions: the versions are worked out once
+        after, before = F.struct(*new.columns).alias("_new_row"), F.struct(*new.drop(GONE, NEW).columns).alias("_old_row")
+        pair = new.select(F.col(ID).alias("_new_id"), after).join(
+            old.select(F.col(ID).alias("_old_id"), before), F.col("_new_id").eqNullSafe(F.col("_old_id")), "full")
+        appears, vanishes = F.col("_old_row").isNull(), F.col("_new_row").isNull()
+        same = F.struct(f"_new_row.{END_AT}", f"_new_row.{LAST}").eqNullSafe(F.struct(f"_old_row.{END_AT}", f"_old_row.{LAST}"))
+        new = pair.filter(appears | vanishes | ~same).select(
+            *[F.when(vanishes, F.col(f"_old_row.`{c}`")).otherwise(F.col(f"_new_row.`{c}`")).alias(c) for c in new.columns if c not in (GONE, NEW)],
+            vanishes.alias(GONE), appears.alias(NEW))
     _write_batch(new, history_dir, batch_id)
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """A table that is computed once and read from the scratch folder."""
+    path = work_dir(df.sparkSession, "scd2_state")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _complete(columns: list[str]) -> Column:
     rule = F.lit(True)
     for c in columns:
