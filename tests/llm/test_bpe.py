@@ -96,3 +96,15 @@ def test_operators_keep_other_columns_and_round_trip(spark, library):
     assert [r.decoded for r in out] == [library.decode(out[0].ids, skip_special_tokens=False), "", ""]
     lists = spark.createDataFrame([(1, None), (2, [3306, 49407])], "k long, ids array<int>")
     assert [r.decoded for r in B.decoded(lists).orderBy("k").collect()] == ["", library.decode([3306, 49407], skip_special_tokens=False)]
+
+
+def test_frequent_words_survive_a_full_cache(monkeypatch):
+    from threadlens.llm import bpe
+
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 8)
+    asked = []
+    pieces = bpe.Pieces(lambda w: asked.append(w) or [len(w)])
+    for i in range(40):
+        assert list(pieces["often"]) == [5] and list(pieces[f"w{i}"]) == [len(f"w{i}")]
+        assert len(pieces) + len(pieces.before) <= 8
+    assert asked.count("often") == 1
