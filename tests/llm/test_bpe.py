@@ -108,3 +108,19 @@ def test_frequent_words_survive_a_full_cache(monkeypatch):
         assert list(pieces["often"]) == [5] and list(pieces[f"w{i}"]) == [len(f"w{i}")]
         assert len(pieces) + len(pieces.before) <= 8
     assert asked.count("often") == 1
+
+
+def test_a_cache_holds_packed_ids_of_as_many_words_as_texts_bring(library):
+    """Ids are kept as 32-bit integers (no tuple of numbers a word), and 140,000 words that come in turn are each encoded once."""
+    bpe = B.Bpe(PATH)
+    words = ["".join(chr(97 + n // 26 ** k % 26) for k in range(4)) + "qx" for n in range(140_000)]
+    asked = []
+    bpe.pieces.encode = lambda w: asked.append(w) or [len(w)]
+    for _ in range(2):
+        for at in range(0, len(words), 5000):
+            bpe.encode(" ".join(words[at: at + 5000]))
+    assert len(asked) == len(words)
+    fresh, text = B.Bpe(PATH), "<|endoftext|>einpfkeitge and the, and <|startoftext|>"
+    ids = library.encode(text, add_special_tokens=False).ids
+    assert fresh.encode_packed(text) == B.packed(ids) and fresh.encode(text) == ids
+    assert all(isinstance(v, bytes) for v in fresh.pieces.values())

@@ -30,8 +30,8 @@ import json
 import os
 import re
 import unicodedata
-from collections.abc import Iterator
-from itertools import chain
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,7 @@ from threadlens.llm.shared import ship
 
 VOCABULARY = "word_bpe_49k.json"
 #: Words whose tokens a task remembers, the longest such word, and remembered pairs of tokens.
-CACHE_WORDS, CACHE_CHARS, CACHE_PAIRS = 150_000, 64, 500_000
+CACHE_WORDS, CACHE_CHARS, CACHE_PAIRS = 300_000, 64, 500_000
 
 
 def vocabulary_path() -> str:
@@ -64,16 +64,21 @@ def byte_letters() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(0x100 + i): b for i, b in enumerate(rest)}}
 
 
+def packed(ids: list[int]) -> bytes:
+    """Token ids as 32-bit integers."""
+    return array("i", ids).tobytes()
+
+
 class Pieces(dict):
     """word -> its token ids, filled on demand and bounded: half of the words, and the half before it."""
 
-    def __init__(self, encode):
-        self.encode, self.before = encode, {}
+    def __init__(self, encode: Callable, kept: Callable = tuple):
+        self.encode, self.kept, self.before = encode, kept, {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> tuple[int, ...] | bytes:
         ids = self.before.get(word)
         if ids is None:
-            ids = tuple(self.encode(word))
+            ids = self.kept(self.encode(word))
         if len(word) <= CACHE_CHARS:
             if 2 * len(self) >= CACHE_WORDS:
                 self.before = dict(self)
@@ -98,7 +103,7 @@ class Bpe:
         self.cut = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
         self.split = regex.compile(next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
         self.pairs: dict[int, bool] = {}
-        self.pieces = Pieces(self.encode_word)
+        self.pieces = Pieces(self.encode_word, packed)
         self.library = None
         #: tokens that merging never gives for their own spelling are no candidates
         self.own = own = {s: t for s, t in self.token_of.items() if self._reachable(t)}
@@ -204,16 +209,20 @@ class Bpe:
         normal = self.library.normalizer.normalize_str(text)
         return [normal[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
-    def encode(self, text: str) -> list[int]:
-        """Token ids of a whole text."""
-        out: list[int] = []
+    def encode_packed(self, text: str) -> bytes:
+        """Token ids of a whole text as 32-bit integers."""
+        out: list[bytes] = []
         pieces = self.pieces
         for part in self.cut.split(text) if self.cut else [text]:
             if part in self.added:
-                out.append(self.added[part])
+                out.append(packed([self.added[part]]))
             elif part:
-                out.extend(chain.from_iterable(map(pieces.__getitem__, self.words(part))))
-        return out
+                out.extend(map(pieces.__getitem__, self.words(part)))
+        return b"".join(out)
+
+    def encode(self, text: str) -> list[int]:
+        """Token ids of a whole text."""
+        return array("i", self.encode_packed(text)).tolist()
 
 
 class Spellings:
@@ -269,8 +278,11 @@ def encoded(docs: DataFrame, column: str = "text", out: str = "ids", path: str |
             _, offsets = W.buffers(batch.column(batch.num_columns - 1))
             for lo, hi in W.slices(offsets):
                 part = batch.slice(lo, hi - lo)
-                ids = [bpe.encode(t) if t else [] for t in part.column(part.num_columns - 1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(ids, pa.list_(pa.int32()))], names=schema.names)
+                ids = [bpe.encode_packed(t) if t else b"" for t in part.column(part.num_columns - 1).to_pylist()]
+                first = np.zeros(len(ids) + 1, np.int32)
+                np.cumsum([len(i) // 4 for i in ids], out=first[1:])
+                flat = pa.Array.from_buffers(pa.int32(), int(first[-1]), [None, pa.py_buffer(b"".join(ids))])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.ListArray.from_arrays(pa.array(first), flat)], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
