@@ -75,3 +75,29 @@ def test_small_chunks_need_few_files(spark, monkeypatch):
     got = run(spark, facts, history, hot_key_rows=4)
     assert len(cut[0].inputFiles()) <= 2
     assert sorted(map(tuple, got.collect()), key=repr) == brute(facts, history)
+
+
+def test_facts_are_worked_out_once(spark):
+    facts, history = feed(random.Random(6), [f"k{i}" for i in range(9)], 6, 600, 10)
+    rows = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    f = spark.createDataFrame([(k, at(t), n) for k, t, n in facts], "k string, t timestamp_ntz, n int")
+    h = spark.createDataFrame([(k, at(s), at(e), v) for k, s, e, v in history], "k string, __START_AT timestamp_ntz, __END_AT timestamp_ntz, team string")
+    got = scd2.asof_join(f.mapInArrow(counted, f.schema), h, ["k"], "t", ["team"], hot_key_rows=10).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(facts, history)
+    assert rows.value == len(facts)
+
+
+@pytest.mark.parametrize("hot_key_rows, share", [(200, 0.2), (200, 0.9)])
+def test_ordinary_keys_beside_one_hot_key(spark, hot_key_rows, share):
+    """Few hot rows are cut alone, many together with the others."""
+    rng = random.Random(4)
+    facts, history = feed(rng, [f"k{i}" for i in range(60)], 3, 1200, 10)
+    facts = [("k0" if rng.random() < share else k, t, n) for k, t, n in facts if k != "k0" or share > 0.5 or n % 2]
+    got = run(spark, facts, history, hot_key_rows=hot_key_rows)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(facts, history)

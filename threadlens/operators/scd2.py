@@ -20,7 +20,8 @@ are cut by range on the total order (key, sequence, tiebreak, hash of the row)
 into as many partitions as their number needs, each is sorted, and every
 ``hot_key_rows`` consecutive rows are a chunk: neither equal sequence values nor
 outliers make a large chunk, and small chunks cost no tasks or files of their
-own.  The cut rows are written to the shared scratch
+own.  Where most rows are of hot keys, the others are cut and written along,
+each key of theirs one chunk.  The cut rows are written to the shared scratch
 folder, so that every consumer and every retry sees the same chunks.  Windows
 run per (key, chunk).  The neighbour of a chunk's first/last row lives in the
 previous/next chunk of its key; it comes from a table with one row per hot
@@ -51,24 +52,29 @@ def hot_keys(valid: DataFrame, keys: list[str], hot_key_rows: int) -> DataFrame:
 
 def with_chunks(valid: DataFrame, keys: list[str], order: list[str], hot_key_rows: int) -> DataFrame | None:
     """The feed with ``_scd_chunk`` (rising with the order; -1 for ordinary keys) and ``_hot``; None without hot keys."""
-    hot = hot_keys(valid, keys, hot_key_rows)
-    rows = hot.agg(F.sum("_n")).first()[0]
+    hot = hot_keys(valid, keys, 0).withColumn("_hot", F.col("_n") > hot_key_rows)
+    total, rows = hot.agg(F.sum("_n"), F.sum(F.when(F.col("_hot"), F.col("_n")))).first()
     if not rows:
         return None
+    hot = hot.filter("_hot").select(*keys, "_hot")
+    # with few ordinary rows all are cut: no further pass over the feed for them
+    every = 2 * rows > total
     ranks = [*keys, *order, "_row_hash"]
     # half as many parts again as rows need: the range bounds come from a sample
-    parts = -(-3 * rows // (2 * max(hot_key_rows, TASK_ROWS)))
+    parts = -(-3 * (total if every else rows) // (2 * max(hot_key_rows, TASK_ROWS)))
     cut = (
-        valid.join(hot.select(*keys), keys, "left_semi").select(*valid.columns)
+        valid.join(hot, keys, "left" if every else "inner").select(*valid.columns, F.coalesce("_hot", F.lit(False)).alias("_hot"))
         .withColumn("_row_hash", F.xxhash64(*valid.columns))
         .repartitionByRange(parts, *ranks).sortWithinPartitions(*ranks)
-        .withColumn(_CHUNK, F.expr(f"monotonically_increasing_id() div {hot_key_rows}")).drop("_row_hash")
+        .withColumn(_CHUNK, F.expr(f"if(_hot, monotonically_increasing_id() div {hot_key_rows}, -1L)")).drop("_row_hash")
     )
     path = work_dir(valid.sparkSession, "scd2_hot")
     cut.write.parquet(path)
-    hot_rows = valid.sparkSession.read.schema(cut.schema).parquet(path)
-    cold = valid.join(hot.select(*keys), keys, "left_anti").select(*valid.columns).withColumn(_CHUNK, F.lit(-1).cast("long"))
-    return cold.withColumn("_hot", F.lit(False)).unionByName(hot_rows.withColumn("_hot", F.lit(True)))
+    cut_rows = valid.sparkSession.read.schema(cut.schema).parquet(path)
+    if every:
+        return cut_rows
+    cold = valid.join(hot, keys, "left_anti").select(*valid.columns, F.lit(False).alias("_hot"), F.lit(-1).cast("long").alias(_CHUNK))
+    return cold.unionByName(cut_rows)
 
 
 def scd2_history(
@@ -176,7 +182,9 @@ def asof_join(
     is compared with another, and no row is emitted twice.  Keys with more
     than ``hot_key_rows`` facts and versions are cut by range, as in
     ``scd2_history``: a chunk takes the version that is open where it begins
-    from a table with one row per hot chunk.
+    from a table with one row per hot chunk.  Facts and versions are worked out
+    once and written to the shared scratch folder, as they are read several
+    times; ``split_hot_keys=False`` leaves that out.
 
     Facts before the first version, after a closed last one, or with a NULL
     key or time come back with NULLs.  ``history`` is what ``scd2_history``
@@ -196,11 +204,17 @@ def asof_join(
         *keys, F.col(start_col).cast(moment).alias("_at"), F.lit(0).alias("_kind"), F.col(end_col).isNull().alias("_open"),
         F.col(end_col).cast(moment).alias("_until"), F.lit(None).cast(facts.select(fact.alias("f")).schema["f"].dataType).alias("_fact"), version.alias("_version"))
     kind = versions.schema["_version"].dataType
-    dated = facts.filter(complete(at)).select(
+    dated = facts.select(
         *keys, F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("boolean").alias("_open"),
         F.lit(None).cast(moment).alias("_until"), fact.alias("_fact"), F.lit(None).cast(kind).alias("_version"))
     order = ["_at", "_kind", "_open", "_until"]
-    both = versions.unionByName(dated)
+    every = versions.unionByName(dated)
+    if split_hot_keys:
+        # worked out once: the count, the cut and the join read it back
+        path = work_dir(facts.sparkSession, "scd2_asof")
+        every.write.parquet(path)
+        every = facts.sparkSession.read.schema(every.schema).parquet(path)
+    both = every.filter((F.col("_kind") == 0) | complete("_at"))
     chunked = with_chunks(both, keys, order, hot_key_rows) if split_hot_keys else None
     if chunked is None:
         so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -217,7 +231,7 @@ def asof_join(
     valid = F.col("_found.end").isNull() | (F.col("_at") < F.col("_found.end").cast(moment))
     value = F.when(valid, F.col("_found.value"))
     out = found.filter("_kind = 1").select("_fact.*", *[value[c].alias(c) for c in columns])
-    rest = facts.filter(~complete(at)).select("*", *[F.lit(None).cast(history.schema[c].dataType).alias(c) for c in columns])
+    rest = every.filter((F.col("_kind") == 1) & ~complete("_at")).select("_fact.*", *[F.lit(None).cast(history.schema[c].dataType).alias(c) for c in columns])
     return out.unionByName(rest)
 
 
